@@ -15,7 +15,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from safelabel.session import small_side
+from safelabel.catalog import CATEGORIES
+from safelabel.session import broadcast_if, is_small
 
 # Leading hex digits of the hash that split a key into ranges: 16**4 ranges.
 RANGE_DIGITS = 4
@@ -40,18 +41,19 @@ def hash_ranges(df: DataFrame, keys: list[str], seed: int, id_col: str) -> DataF
             .withColumn("_total", F.sum("_rows").over(of_key)))
 
 
-def cut_offs(df: DataFrame, ranges: DataFrame, keys: list[str], seed: int, id_col: str) -> DataFrame:
+def cut_offs(df: DataFrame, ranges: DataFrame, keys: list[str], seed: int, id_col: str, few: bool) -> DataFrame:
     """Hash and id of the row at position ``_cut`` of each key, for every ``_cut`` given.
 
-    ``ranges`` is the output of ``hash_ranges`` with a column ``_cut`` added.
+    ``ranges`` is the output of ``hash_ranges`` with a column ``_cut`` added; ``few``
+    says that the number of cuts is known to be small.
     """
     inside = (F.col("_before") < F.col("_cut")) & (F.col("_cut") <= F.col("_before") + F.col("_rows"))
     wanted = ranges.filter(inside).select(*keys, "_range", "_cut", (F.col("_cut") - F.col("_before")).alias("_nth"))
     in_range = Window.partitionBy(*keys, "_range").orderBy("_hash", "_id")
     ranked = (_hashed(df, keys, seed, id_col)
-              .join(F.broadcast(wanted.select(*keys, "_range").distinct()), [*keys, "_range"], "left_semi")
+              .join(broadcast_if(few, wanted.select(*keys, "_range").distinct()), [*keys, "_range"], "left_semi")
               .withColumn("_nth", F.row_number().over(in_range)))
-    return (ranked.join(F.broadcast(wanted), [*keys, "_range", "_nth"])
+    return (ranked.join(broadcast_if(few, wanted), [*keys, "_range", "_nth"])
             .select(*keys, "_cut", F.struct("_hash", "_id").alias("_last")))
 
 
@@ -86,6 +88,7 @@ def quota_sample(df: DataFrame, quotas: DataFrame, keys: list[str], seed: int =
     Quotas of zero or less draw nothing.  A pool smaller than its quota raises, or
     with ``on_short="all"`` is taken whole.
     """
+    few = is_small(quotas)  # there is at most one cut, and one last row, per quota
     picks = quota_picks(quotas, keys, pick)
     ranges = hash_ranges(df, keys, seed, id_col)
     if on_short == "error":
@@ -96,15 +99,15 @@ def quota_sample(df: DataFrame, quotas: DataFrame, keys: list[str], seed: int =
             row = short[0].asDict()
             raise ShortPool(f"need {row['_cut']} rows for {[row[k] for k in keys]} but have {row['_total'] or 0}")
     wanted = picks.select(*keys, "_cut", "_low", *([pick] if pick else []))
-    lasts = cut_offs(df, ranges.join(small_side(wanted.select(*keys, "_cut")), keys), keys, seed, id_col)
+    lasts = cut_offs(df, ranges.join(broadcast_if(few, wanted.select(*keys, "_cut")), keys), keys, seed, id_col, few)
     # Per key the draws in order; a draw past the end of its pool has no last row.
-    draws = (wanted.join(F.broadcast(lasts), [*keys, "_cut"], "left").groupBy(*keys).agg(F.array_sort(F.collect_list(
+    draws = (wanted.join(broadcast_if(few, lasts), [*keys, "_cut"], "left").groupBy(*keys).agg(F.array_sort(F.collect_list(
         F.struct("_cut", F.col(pick) if pick else F.lit(None).cast("string").alias("_pick"), "_last"))).alias("_draws")))
     name = pick or "_pick"
     place = _place(seed, id_col)
     # The first draw whose last row is not before this one owns it.
     owner = F.get(F.filter("_draws", lambda d: d["_last"].isNull() | (place <= d["_last"])), F.lit(0))
-    picked = df.join(small_side(draws), keys).withColumn("_owner", owner).filter(F.col("_owner").isNotNull())
+    picked = df.join(broadcast_if(few, draws), keys).withColumn("_owner", owner).filter(F.col("_owner").isNotNull())
     if pick:
         picked = picked.withColumn(pick, F.col("_owner")[name])
     return picked.drop("_draws", "_owner")
@@ -118,7 +121,7 @@ def _below_cut(df: DataFrame, cut: Column, seed: int, id_col: str, out: str) ->
     """
     keyed = df.withColumn("_all", F.lit(1))
     ranges = hash_ranges(keyed, ["_all"], seed, id_col).withColumn("_cut", cut)
-    last = cut_offs(keyed, ranges, ["_all"], seed, id_col).select("_all", "_last")
+    last = cut_offs(keyed, ranges, ["_all"], seed, id_col, few=True).select("_all", "_last")
     return (keyed.join(F.broadcast(last), "_all", "left")
             .withColumn(out, F.coalesce(_place(seed, id_col) <= F.col("_last"), F.lit(False)))
             .drop("_all", "_last"))
@@ -167,20 +170,22 @@ def _draw_counts(short: DataFrame, category: str, n: int, seed: int) -> DataFram
     return draws.groupBy(category, (number % F.col("_total") + 1).alias("_nth")).agg(F.count(F.lit(1)).alias("_times"))
 
 
-def balance(df: DataFrame, category: str, n: int, seed: int = 42, id_col: str = "id") -> DataFrame:
-    """Exactly ``n`` rows of every category that has any.
+def balance(df: DataFrame, category: str, n: int, seed: int = 42, id_col: str = "id",
+            categories: list[str] = CATEGORIES) -> DataFrame:
+    """Exactly ``n`` rows of every one of the ``categories`` that has any.
 
     Larger pools are cut to ``n`` rows, equal ones stay, and smaller ones are drawn
     ``n`` times with replacement, so that rows may repeat and others may be missing.
     Adds ``draw``, which tells copies of one row apart.
     """
+    df = df.filter(F.col(category).isin(categories))  # also bounds the broadcasts below
     ranges = hash_ranges(df, [category], seed, id_col)
-    lasts = cut_offs(df, ranges.withColumn("_cut", F.lit(n).cast("bigint")), [category], seed, id_col)
+    lasts = cut_offs(df, ranges.withColumn("_cut", F.lit(n).cast("bigint")), [category], seed, id_col, few=True)
     large = (df.join(F.broadcast(lasts.select(category, "_last")), category)
              .filter(_place(seed, id_col) <= F.col("_last")).drop("_last").withColumn("draw", F.lit(1).cast("bigint")))
 
     sizes = df.groupBy(category).agg(F.count(F.lit(1)).alias("_total"))
-    short = sizes.filter((F.col("_total") < n) & F.col(category).isNotNull())
+    short = sizes.filter(F.col("_total") < n)
     # A short pool has fewer than n rows, so ranking it in one task is bounded.
     ranked = (df.join(F.broadcast(short.select(category)), category, "left_semi")
               .withColumn("_nth", F.row_number().over(Window.partitionBy(category).orderBy(row_hash(seed, id_col), id_col))))

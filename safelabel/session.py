@@ -63,13 +63,22 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Hint a broadcast when ``df`` has at most ``max_rows`` rows, else leave it be.
+def is_small(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows; counts no further than that."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if(small: bool, df: DataFrame) -> DataFrame:
+    """Hint a broadcast of a side known to be small.
 
-    The check counts no further than the limit; past it the join stays a shuffled
-    join, which AQE can split on skewed keys.
+    Otherwise the join stays a shuffled join, which AQE can split on skewed keys.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    return F.broadcast(df) if small else df
+
+
+def small_side(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+    """Hint a broadcast when ``df`` has at most ``max_rows`` rows, else leave it be."""
+    return broadcast_if(is_small(df, max_rows), df)
 
 
 def collect_config(df: DataFrame, max_rows: int, what: str) -> list:
