@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from safelabel.catalog import CATEGORIES, SAFE, SMOOTHING, WIDTH
-from safelabel.functions.base import SPACE, as_col, let, total
+from safelabel.functions.base import SPACE, as_col, let, strip, total
 
 # Decimal digits of the scripts in use, mapped to ASCII.
 _DIGIT_ZEROS = [0x0966, 0x09E6, 0x0B66, 0x0CE6, 0x0D66]  # Devanagari, bn, or, kn, ml
@@ -83,10 +83,22 @@ def parse_distribution(col: Column | str, width: int = WIDTH) -> Column:
 
 
 def parse_kv(col: Column | str) -> Column:
-    """Map from ``k: v, k: v``; values that are no numbers become null."""
-    return F.transform_values(
-        F.str_to_map(as_col(col), F.lit(r"\s*,\s*"), F.lit(r"\s*:\s*")),
-        lambda _, v: F.trim(v).try_cast("double"))
+    """Map from ``k: v, k: v``; a value is read as far as it is a number, else null.
+
+    Of several entries with one key the last counts.
+    """
+    number = r"^[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?"
+
+    def entry(part: Column) -> Column:
+        return let(F.split(part, ":"), lambda kv: F.struct(
+            strip(F.get(kv, F.lit(0))).alias("key"),
+            F.regexp_extract(strip(F.get(kv, F.lit(1))), number, 0).try_cast("double").alias("value")))
+
+    def last_ones(entries: Column) -> Column:
+        return F.filter(entries, lambda e, i: ~F.exists(
+            F.slice(entries, i + 2, F.size(entries)), lambda later: later["key"] == e["key"]))
+
+    return let(F.transform(F.split(as_col(col), ","), entry), lambda es: F.map_from_entries(last_ones(es)))
 
 
 def parse_distribution_json(col: Column | str) -> Column:

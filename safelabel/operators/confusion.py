@@ -12,9 +12,16 @@ from pyspark.sql import functions as F
 
 from safelabel.catalog import BINARY_LABELS
 
-PRECISION = F.coalesce(F.try_divide("tp", "predicted"), F.lit(0.0))
-RECALL = F.coalesce(F.try_divide("tp", "support"), F.lit(0.0))
-F1 = F.coalesce(F.try_divide(2 * F.col("tp"), F.col("predicted") + F.col("support")), F.lit(0.0))
+
+def _ratio(top: Column, bottom: Column) -> Column:
+    """``top / bottom``, or 0 where undefined."""
+    return F.coalesce(F.try_divide(top, bottom), F.lit(0.0))
+
+
+def _class_metrics() -> list[Column]:
+    tp, predicted, support = F.col("tp"), F.col("predicted"), F.col("support")
+    return [_ratio(tp, predicted).alias("precision"), _ratio(tp, support).alias("recall"),
+            _ratio(2 * tp, predicted + support).alias("f1")]
 
 
 def confusion_counts(df: DataFrame, valid_gold: list[str] | None = BINARY_LABELS, by: list[str] | None = None,
@@ -48,7 +55,7 @@ def prf(df: DataFrame, labels: list[str] = BINARY_LABELS, valid_gold: list[str]
         by: list[str] | None = None) -> DataFrame:
     """Precision, recall, F1 and support of each label; 0 where undefined."""
     stats = class_stats(confusion_counts(df, valid_gold, by), by, labels).filter(F.col("label").isin(labels))
-    return stats.select(*(by or []), "label", PRECISION.alias("precision"), RECALL.alias("recall"), F1.alias("f1"), "support")
+    return stats.select(*(by or []), "label", *_class_metrics(), "support")
 
 
 def agreement(df: DataFrame, valid_gold: list[str] | None = BINARY_LABELS, by: list[str] | None = None) -> DataFrame:
@@ -121,9 +128,8 @@ def classification_report(df: DataFrame, labels: list[str] | str = BINARY_LABELS
     stats = class_stats(confusion_counts(df, valid_gold, by), by, fixed)
     listed = F.lit(True) if fixed is None else F.col("label").isin(fixed)
     stats = stats.withColumn("_listed", listed).withColumn("_left_out", F.max((~listed).cast("int")).over(Window.partitionBy(*by)))
-    rows = stats.filter("_listed").select(*by, "label", PRECISION.alias("precision"), RECALL.alias("recall"), F1.alias("f1"),
-                                          "support", "tp", "predicted", "_left_out")
-    weighted = lambda c: F.coalesce(F.try_divide(F.sum(F.col(c) * F.col("support")), F.sum("support")), F.lit(0.0))
+    rows = stats.filter("_listed").select(*by, "label", *_class_metrics(), "support", "tp", "predicted", "_left_out")
+    weighted = lambda c: _ratio(F.sum(F.col(c) * F.col("support")), F.sum("support"))
     sums = rows.groupBy(*by).agg(
         F.array_sort(F.collect_list(F.struct("label", "precision", "recall", "f1", "support"))).alias("_classes"),
         F.max("_left_out").alias("_left_out"), F.sum("support").alias("_n"), F.sum("tp").alias("_tp"), F.sum("predicted").alias("_p"),
@@ -134,11 +140,9 @@ def classification_report(df: DataFrame, labels: list[str] | str = BINARY_LABELS
         return F.struct(label.alias("label"), precision.alias("precision"), recall.alias("recall"),
                         f1.alias("f1"), F.col("_n").alias("support"))
 
-    zero = F.lit(0.0)
     averages = F.array(
         line(F.when(F.col("_left_out") == 1, "micro avg").otherwise("accuracy"),
-             F.coalesce(F.try_divide("_tp", "_p"), zero), F.coalesce(F.try_divide("_tp", "_n"), zero),
-             F.coalesce(F.try_divide(2 * F.col("_tp"), F.col("_p") + F.col("_n")), zero)),
+             _ratio(F.col("_tp"), F.col("_p")), _ratio(F.col("_tp"), F.col("_n")), _ratio(2 * F.col("_tp"), F.col("_p") + F.col("_n"))),
         *[line(F.lit(f"{name} avg"), *[F.col(f"_{name}_{c}") for c in ("precision", "recall", "f1")]) for name in ("macro", "weighted")])
     return sums.select(*by, F.inline(F.concat("_classes", averages)))
 

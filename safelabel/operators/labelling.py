@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from safelabel.functions.taxonomy import Taxonomy
 from safelabel.functions.text import clean_text, first_prompt, first_response
 from safelabel.functions.vectors import category_list, harm_flag, shares, total, vector_to_map
+from safelabel.operators.scanning import keep_computed
 
 VECTOR = "category_vector"
 
@@ -27,14 +28,8 @@ def with_dialogue_vector(df: DataFrame, taxonomy: Taxonomy, dialogue: str, out:
 
 
 def keep_labelled(df: DataFrame, vec: str = VECTOR) -> DataFrame:
-    """Drop rows whose vector is all zero.
-
-    Written as a generator, not as a filter: a filter would be pushed below the
-    projection that computes the vector, and the texts would be scanned twice.
-    """
-    columns = [c for c in df.columns if c != vec]
-    kept = F.when(total(F.col(vec)) > 0, F.array(F.col(vec)))
-    return df.select(*columns, F.explode(kept).alias(vec)).select(*df.columns)
+    """Drop rows whose vector is all zero; the texts are scanned only once."""
+    return keep_computed(df, vec, total(F.col(vec)) > 0)
 
 
 def label_coverage(df: DataFrame, vec: str = VECTOR) -> DataFrame:

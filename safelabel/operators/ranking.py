@@ -13,6 +13,7 @@ from safelabel.functions.text import not_empty
 from safelabel.functions.vectors import (
     average_precision, exact_match, jaccard, kl_divergence, parse_distribution, topk_recall, winner,
 )
+from safelabel.operators.scanning import keep_computed
 
 ROW_METRICS = ["kl", "ap", "top1_recall", "top3_recall", "jaccard", "exact_match", "top1_correct"]
 
@@ -78,7 +79,9 @@ def success_rate(scored: DataFrame) -> DataFrame:
 
 def winners(scored: DataFrame) -> DataFrame:
     """Top-1 labels of the parsed rows as ``gold`` and ``pred``, for the classification report."""
-    return scored.filter("parsed").withColumn("gold", winner("truth_vector")).withColumn("pred", winner("pred_vector"))
+    top = F.struct(winner("truth_vector").alias("gold"), winner("pred_vector").alias("pred"))
+    rows = keep_computed(scored.withColumn("_top", F.when(F.col("parsed"), top)), "_top", F.col("_top").isNotNull())
+    return rows.withColumns({"gold": F.col("_top.gold"), "pred": F.col("_top.pred")}).drop("_top")
 
 
 def best_by(df: DataFrame, group: str, metric: str, largest: bool = True) -> DataFrame:

@@ -14,11 +14,9 @@ from safelabel.functions.display import display_name, imbalance_band
 from safelabel.functions.vectors import winner
 from safelabel.operators.confusion import agreement, mcc, prf
 
-EVERYTHING = Window.partitionBy()  # only ever used on small aggregates
-
-
 def _share(count: str = "n") -> Column:
-    return F.try_divide(F.col(count), F.sum(count).over(EVERYTHING))
+    """Share of the total; for aggregates of a few rows, as the window is not partitioned."""
+    return F.try_divide(F.col(count), F.sum(count).over(Window.partitionBy()))
 
 
 def label_dimensions(df: DataFrame, category: str | None = "category", language: str | None = "language") -> DataFrame:

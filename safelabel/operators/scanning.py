@@ -14,6 +14,16 @@ from safelabel.functions.vectors import parse_distribution
 REJECTED = "_rejected"
 
 
+def keep_computed(df: DataFrame, column: str, condition: Column) -> DataFrame:
+    """Rows that meet a condition on one costly computed column.
+
+    Written as a generator, not as a filter: a filter would be pushed below the
+    projection that computes the column, and it would be computed twice.
+    """
+    kept = F.explode(F.when(condition, F.array(F.col(column)))).alias(column)
+    return df.select(*[c for c in df.columns if c != column], kept).select(*df.columns)
+
+
 def _all_present(cols: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
 

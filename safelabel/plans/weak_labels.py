@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from safelabel.catalog import DIALOGUE_COLUMNS, ROWS_PER_CATEGORY
 from safelabel.functions.taxonomy import Taxonomy
 from safelabel.functions.vectors import format_distribution, map_to_vector, parse_distribution, winner
 from safelabel.operators.labelling import VECTOR, keep_labelled, propagate_labels, with_dialogue_vector
 from safelabel.operators.sampling import balance, shuffle
+from safelabel.operators.scanning import keep_computed
 
 
 def label_dialogues(dialogues: DataFrame, taxonomy: Taxonomy, english: str = "eng_Latn",
@@ -21,7 +23,7 @@ def label_dialogues(dialogues: DataFrame, taxonomy: Taxonomy, english: str = "en
 def with_winner(labelled: DataFrame, distribution: str = "safety_distribution", out: str = "category") -> DataFrame:
     """Winning category of a distribution string; rows that do not parse are dropped."""
     rows = labelled.withColumn(out, winner(parse_distribution(distribution)))
-    return rows.filter(rows[out].isNotNull())
+    return keep_computed(rows, out, F.col(out).isNotNull())
 
 
 def with_distribution_text(labelled: DataFrame, distribution: str = "safety_distribution") -> DataFrame:

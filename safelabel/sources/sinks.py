@@ -11,8 +11,9 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
 
 
 def write_predictions(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """CSV with a header; quotes inside a value are doubled."""
-    df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
+    """CSV with a header; quotes inside a value are doubled and outer spaces kept."""
+    (df.write.mode(mode).option("header", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def write_split(df: DataFrame, path: str, split: str = "split", mode: str = "errorifexists") -> None:
