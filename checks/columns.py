@@ -21,6 +21,8 @@ from safelabel.operators.pairs import pair_predictions, render_prompt, sft_pairs
 from safelabel.operators.profanity import (
     drop_safety_columns, flag_profanity, minimise_lexicon, profanity_rows, term_hits, with_lexicon_terms,
 )
+from safelabel.operators.scanning import keep_computed
+from safelabel.session import spread
 from safelabel.operators.reports import join_dimension, label_dimensions
 from safelabel.plans.evaluation import normalised
 
@@ -53,7 +55,7 @@ _WORD_LEXICON = f"""{S.DOCS}, lexicon AS (SELECT DISTINCT language, w AS term FR
     SELECT language, term FROM lexicon l WHERE NOT EXISTS (SELECT 1 FROM parts p JOIN lexicon o ON o.language = p.language AND o.term = p.part
     WHERE p.language = l.language AND p.term = l.term AND p.part <> p.term)""")
 def _(spark, sf):
-    words = I.documents(spark, sf).select("language", F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("term"))
+    words = spread(I.documents(spark, sf), "doc_id").select("language", F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("term"))
     return minimise_lexicon(words.filter(F.length("term").between(3, 7)))
 
 
@@ -274,8 +276,9 @@ def _(spark, sf):
 # --- row metrics -----------------------------------------------------------------------
 def _pairs(spark, sf):
     rows = I.distributions(spark, sf).filter(F.col("truth") != "")
-    rows = rows.select("doc_id", "language", V.parse_distribution("truth").alias("t"), V.parse_distribution("pred_raw").alias("p"))
-    return rows.filter("t IS NOT NULL AND p IS NOT NULL")
+    both = F.struct(V.parse_distribution("truth").alias("t"), V.parse_distribution("pred_raw").alias("p"))
+    rows = keep_computed(rows.select("doc_id", both.alias("b")), "b", F.col("b.t").isNotNull() & F.col("b.p").isNotNull())
+    return rows.select("doc_id", "b.t", "b.p")
 
 
 _BOTH = "FROM scored WHERE t IS NOT NULL AND p IS NOT NULL"
@@ -320,7 +323,7 @@ _VOTES = ", ".join(f"{{n: len(list_filter(w, lambda x: x IN ({', '.join(map(S.qu
     votes AS (SELECT doc_id, language, list_max([{_VOTES}]) AS best FROM words)
     SELECT doc_id, language, CASE WHEN best.n > 0 THEN best.k ELSE 'unknown' END AS tag FROM votes""")
 def _(spark, sf):
-    return I.documents(spark, sf).select("doc_id", "language", tag_language("text").alias("tag"))
+    return spread(I.documents(spark, sf), "doc_id").select("doc_id", "language", tag_language("text").alias("tag"))
 
 
 @query("b39_misclassified", f"WITH {S.JUDGED} SELECT doc_id, gold, pred, gold = pred AS correct FROM judged WHERE gold <> pred")

@@ -11,10 +11,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from safelabel.catalog import CATEGORIES, EXAMPLE_LEXICON, EXAMPLE_TAXONOMY, SAFE, UNSAFE, WIDTH
+from safelabel.functions.base import let
 from safelabel.functions.lexicon import Lexicon
 from safelabel.functions.taxonomy import Taxonomy
 from safelabel.functions.vectors import category_list, format_distribution, harm_flag, vector_to_map
 from safelabel.operators.labelling import keep_labelled, with_category_vector
+from safelabel.session import spread, stage_table
 
 TAXONOMY = Taxonomy(EXAMPLE_TAXONOMY)
 LEXICON = Lexicon(EXAMPLE_LEXICON)
@@ -41,7 +43,7 @@ def digit(salt: str, at: int = 1, id_col: str = "doc_id") -> Column:
 
 def vectors(spark: SparkSession, sf: str) -> DataFrame:
     """Documents with their weak vector in ``v``."""
-    return with_category_vector(documents(spark, sf), TAXONOMY, out="v")
+    return with_category_vector(spread(documents(spark, sf), "doc_id"), TAXONOMY, out="v")
 
 
 def labelled(spark: SparkSession, sf: str) -> DataFrame:
@@ -51,6 +53,11 @@ def labelled(spark: SparkSession, sf: str) -> DataFrame:
         "harmful": harm_flag("v"), "safety_categories": category_list("v"), "safety_distribution": format_distribution("v")})
 
 
+def labelled_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The same, written once, for operators that read their input several times."""
+    return stage_table(labelled(spark, sf), "labelled")
+
+
 def dialogues(spark: SparkSession, sf: str) -> DataFrame:
     """First prompt and response of each conversation, with mock translations.
 
@@ -89,26 +96,28 @@ def predictions(spark: SparkSession, sf: str) -> DataFrame:
 def distribution_text(salt: str) -> Column:
     """``{S1: 0.2, S2: 0, ...}`` with values from the hex digits of a row, or a variant of it."""
     hashed = F.md5(F.concat_ws("|", F.lit(salt), F.col("doc_id").cast("string")))
-    value = lambda i: F.translate(F.substring(hashed, i, F.lit(1)), "0123456789abcdef", "0000000000123456")
-    number = lambda i: F.when(value(i) == "0", F.lit("0")).otherwise(F.concat(F.lit("0."), value(i)))
-    items = lambda last: F.array_join(F.transform(
-        F.sequence(F.lit(1), F.lit(last)), lambda i: F.concat(F.lit("S"), i.cast("string"), F.lit(": "), number(i))), ", ")
+    values = F.filter(F.split(F.translate(hashed, "0123456789abcdef", "0000000000123456"), ""), lambda d: d != "")
+    numbers = F.transform(F.slice(values, 1, WIDTH), lambda d: F.when(d == "0", F.lit("0")).otherwise(F.concat(F.lit("0."), d)))
     kind = digit("kind " + salt)
-    bare = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(WIDTH)), number), " ")
-    full = items(WIDTH)
-    return (F.when(kind == "0", items(WIDTH - 1))
-            .when(kind == "1", F.concat(full, F.lit(".5.")))
-            .when(kind == "2", F.concat(F.lit("{\""), F.replace(F.replace(full, F.lit(": "), F.lit("\": ")), F.lit(", "), F.lit(", \"")), F.lit("}")))
-            .when(kind == "3", F.concat(F.lit("{"), full, F.lit("e-05}")))
-            .when(kind == "4", bare)
-            .when(kind == "5", F.lit(None).cast("string"))
-            .when(kind == "6", F.regexp_replace(full, r"0\.\d", "0"))
-            .otherwise(F.concat(F.lit("{"), full, F.lit("}"))))
+
+    def variant(ns: Column) -> Column:
+        items = F.transform(ns, lambda n, i: F.concat(F.lit("S"), (i + 1).cast("string"), F.lit(": "), n))
+        full = F.array_join(items, ", ")
+        return (F.when(kind == "0", F.array_join(F.slice(items, 1, WIDTH - 1), ", "))
+                .when(kind == "1", F.concat(full, F.lit(".5.")))
+                .when(kind == "2", F.concat(F.lit('{"'), F.replace(F.replace(full, F.lit(": "), F.lit('": ')), F.lit(", "), F.lit(', "')), F.lit("}")))
+                .when(kind == "3", F.concat(F.lit("{"), full, F.lit("e-05}")))
+                .when(kind == "4", F.array_join(ns, " "))
+                .when(kind == "5", F.lit(None).cast("string"))
+                .when(kind == "6", F.regexp_replace(full, r"0\.\d", "0"))
+                .otherwise(F.concat(F.lit("{"), full, F.lit("}"))))
+
+    return let(numbers, variant)
 
 
 def distributions(spark: SparkSession, sf: str) -> DataFrame:
     """True and predicted distribution of each document as text."""
-    return documents(spark, sf).withColumns({"truth": distribution_text("truth"), "pred_raw": distribution_text("guess")})
+    return spread(documents(spark, sf), "doc_id").withColumns({"truth": distribution_text("truth"), "pred_raw": distribution_text("guess")})
 
 
 def micro(vec: str | Column) -> Column:

@@ -15,6 +15,7 @@ from safelabel.operators.sampling import (
     balance, balance_summary, clean_test, quota_sample, ratio_split, row_hash, sample_n, shuffle, union_picks,
 )
 from safelabel.catalog import CATEGORIES
+from safelabel.session import stage_table
 
 KEYS = ["source", "language"]
 HASH = S.row_hash(I.SEED, "doc_id")
@@ -50,7 +51,7 @@ def _(spark, sf):
 
 
 def _with_winner(spark, sf):
-    return I.labelled(spark, sf).select("doc_id", V.winner("v").alias("category"))
+    return stage_table(I.labelled(spark, sf).select("doc_id", V.winner("v").alias("category")), "winners")
 
 
 N = 40

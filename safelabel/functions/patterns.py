@@ -38,17 +38,30 @@ def any_of(terms) -> str:
     return "(?=[" + "".join(quote(ch) for ch in root) + "])" + render(root)
 
 
+def _split_head(pattern: str) -> tuple[str, str]:
+    r"""Letters right after a leading ``\b``, and the rest; no letters when there are none."""
+    hit = re.match(r"\\b(\w+)", pattern)
+    if not hit or "|" in pattern:
+        return "", pattern
+    end = hit.end() - (pattern[hit.end() : hit.end() + 1] in ("?", "*", "{") and 1)
+    return pattern[2:end], pattern[end:]
+
+
 def to_java(pattern: str) -> str:
     r"""A Python-style pattern for use on folded text.
 
-    ``\b``, ``\w``, ``\d`` and ``\s`` take their Unicode meaning.
+    ``\b``, ``\w``, ``\d`` and ``\s`` take their Unicode meaning.  A pattern that starts
+    with a word looks for its letters first and at the word's edge afterwards, as the
+    letters are quick to rule out.
     """
     edge = f"(?:(?<={WORD})(?!{WORD})|(?<!{WORD})(?={WORD}))"
-    out, i, inside = [], 0, False
-    while i < len(pattern):
-        two = pattern[i : i + 2]
+    head, rest = _split_head(pattern)
+    head = quote(fold_literal(head))
+    out, i, inside = [f"{head}(?<!{WORD}{head})" if head else ""], 0, False
+    while i < len(rest):
+        two = rest[i : i + 2]
         if two == r"\b" and not inside:
-            out.append(f"(?<!{WORD})(?={WORD})" if i == 0 else f"(?!{WORD})(?<={WORD})" if i == len(pattern) - 2 else edge)
+            out.append(edge)
         elif two == r"\w":
             out.append(WORD_CHARS if inside else WORD)
         elif two == r"\s":
@@ -58,13 +71,13 @@ def to_java(pattern: str) -> str:
         elif two.startswith("\\"):
             out.append(two)
         else:
-            ch = pattern[i]
+            ch = rest[i]
             inside = (inside or ch == "[") and ch != "]"
-            out.append(ch)
+            out.append(fold_literal(ch))
             i += 1
             continue
         i += 2
-    return "(?iu)" + "".join(out)
+    return "".join(out)
 
 
 def classify(pattern: str) -> tuple[str, str]:
@@ -75,12 +88,10 @@ def classify(pattern: str) -> tuple[str, str]:
     return "phrase", pattern
 
 
-def leading_literal(pattern: str) -> str | None:
-    r"""Letters every match must start a word with, or None when there are none."""
-    hit = re.match(r"\\b(\w+)", pattern)
-    if not hit or "|" in pattern:
-        return None
-    head, rest = hit.group(1), pattern[hit.end() :]
-    if rest[:1] in ("?", "*", "{"):
-        head = head[:-1]
-    return fold_literal(head) or None
+def leading_word(pattern: str) -> tuple[str | None, bool]:
+    r"""Letters with which every match starts a word, and whether the word may go on.
+
+    ``None`` when the pattern has no such letters.
+    """
+    head, rest = _split_head(pattern)
+    return (fold_literal(head), not rest.startswith((r"\s+", r"\b"))) if head else (None, True)

@@ -20,8 +20,8 @@ SCRIPT_RANGES = {
 
 def _best(votes: Column) -> Column:
     """Name of the first entry with the most votes; null when nobody voted."""
-    return let(F.array_max(F.transform(votes, lambda v: v["n"])), lambda top: F.when(
-        top > 0, F.get(F.filter(votes, lambda v: v["n"] == top), F.lit(0))["name"]))
+    return let(votes, lambda vs: let(F.array_max(F.transform(vs, lambda v: v["n"])), lambda top: F.when(
+        top > 0, F.get(F.filter(vs, lambda v: v["n"] == top), F.lit(0))["name"])))
 
 
 def tag_language(text: Column | str, stop_words: dict[str, list[str]] | None = None) -> Column:
@@ -31,7 +31,9 @@ def tag_language(text: Column | str, stop_words: dict[str, list[str]] | None = N
     on by stop words.
     """
     stop_words = EXAMPLE_STOP_WORDS if stop_words is None else stop_words
-    kept = F.regexp_replace(as_col(text), f"[^{''.join(SCRIPT_RANGES.values())}]+", "")
+    # Most texts hold little beyond Latin letters, which one plain range takes out.
+    beyond_latin = F.regexp_replace(as_col(text), r"[\x00-\x{097F}]+", "")
+    kept = F.regexp_replace(beyond_latin, f"[^{''.join(SCRIPT_RANGES.values())}]+", "")
     by_script = let(kept, lambda t: F.when(t != "", _best(F.array(*[
         F.struct(F.lit(code).alias("name"), F.regexp_count(t, F.lit(f"[{letters}]")).alias("n"))
         for code, letters in SCRIPT_RANGES.items()]))))

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from safelabel.catalog import CATEGORIES
 from safelabel.functions.base import as_col, let
-from safelabel.functions.patterns import classify, leading_literal, quote, to_java
+from safelabel.functions.patterns import classify, leading_word, quote, to_java
 from safelabel.functions.text import fold_literal, fold_text, word_tokens
 from safelabel.session import collect_config
 
@@ -63,7 +63,7 @@ class Taxonomy:
                 term = rf"\b{quote(term)}" + (r"\w*" if kind == "stem" else r"\b")
                 kind = "phrase"
             if kind == "phrase":
-                self.patterns.append(Pattern(number, order[category], leading_literal(term), True, to_java(term)))
+                self.patterns.append(Pattern(number, order[category], *leading_word(term), to_java(term)))
             else:
                 self.patterns.append(Pattern(number, order[category], fold_literal(term), kind == "stem", None))
 
@@ -79,12 +79,16 @@ class Taxonomy:
         return cls([(c, *classify(p)) for c, ps in patterns.items() for p in ps], list(patterns))
 
     def _index(self) -> dict[int, dict[str, list[Pattern]]]:
-        """Patterns by the length of their key and by the key, their first letters."""
+        """Patterns by the first letters of the words they match.
+
+        The letters are three, or the whole word when it is shorter and cannot go on;
+        only short open heads need keys of another length.
+        """
         index: dict[int, dict[str, list[Pattern]]] = defaultdict(lambda: defaultdict(list))
         for p in self.patterns:
             if p.head:
-                key = p.head[:_KEY_LENGTH]
-                index[len(key)][key].append(p)
+                length = len(p.head) if p.is_open and len(p.head) < _KEY_LENGTH else _KEY_LENGTH
+                index[length][p.head[:_KEY_LENGTH]].append(p)
         return index
 
     def counts(self, text: Column | str) -> Column:

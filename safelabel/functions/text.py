@@ -8,15 +8,26 @@ from pyspark.sql import functions as F
 from safelabel.functions.base import SPACE, WORD, as_col, strip
 
 
+# --- fixed values: letters that match another letter only when case is ignored ------------
+_FOLDED = {"ı": "i", "ſ": "s", "ς": "σ"}
+
+
 def fold_text(col: Column | str) -> Column:
-    """Lower-case, with the letters that only match an ASCII letter when case is
-    ignored (dotted and dotless i, long s, final sigma) mapped to that letter."""
-    return F.translate(F.lower(F.translate(as_col(col), "İ", "i")), "ıſς", "isσ")
+    """Lower-case, with the letters that match another one only when case is ignored
+    (dotted and dotless i, long s, final sigma) mapped to that letter.
+
+    ``replace`` skips through a text that has none of them; ``translate`` would look up
+    every single character.
+    """
+    text = F.lower(F.replace(as_col(col), F.lit("İ"), F.lit("i")))
+    for letter, plain in _FOLDED.items():
+        text = F.replace(text, F.lit(letter), F.lit(plain))
+    return text
 
 
 def fold_literal(term: str) -> str:
     """The same folding for a term on the driver."""
-    return term.replace("İ", "i").lower().translate(str.maketrans("ıſς", "isσ"))
+    return term.replace("İ", "i").lower().translate(str.maketrans(_FOLDED))
 
 
 def word_tokens(folded: Column) -> Column:

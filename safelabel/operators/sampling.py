@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from safelabel.catalog import CATEGORIES
-from safelabel.session import broadcast_if, is_small
+from safelabel.session import broadcast_if, pin, pin_if_small
 
 # Leading hex digits of the hash that split a key into ranges: 16**4 ranges.
 RANGE_DIGITS = 4
@@ -41,19 +41,22 @@ def hash_ranges(df: DataFrame, keys: list[str], seed: int, id_col: str) -> DataF
             .withColumn("_total", F.sum("_rows").over(of_key)))
 
 
-def cut_offs(df: DataFrame, ranges: DataFrame, keys: list[str], seed: int, id_col: str, few: bool) -> DataFrame:
-    """Hash and id of the row at position ``_cut`` of each key, for every ``_cut`` given.
+def boundaries(ranges: DataFrame, keys: list[str]) -> DataFrame:
+    """Hash range in which position ``_cut`` of a key lies, and the position within it.
 
-    ``ranges`` is the output of ``hash_ranges`` with a column ``_cut`` added; ``few``
-    says that the number of cuts is known to be small.
+    ``ranges`` is the output of ``hash_ranges`` with a column ``_cut`` added.
     """
     inside = (F.col("_before") < F.col("_cut")) & (F.col("_cut") <= F.col("_before") + F.col("_rows"))
-    wanted = ranges.filter(inside).select(*keys, "_range", "_cut", (F.col("_cut") - F.col("_before")).alias("_nth"))
+    return ranges.filter(inside).select(*keys, "_cut", "_range", (F.col("_cut") - F.col("_before")).alias("_nth"))
+
+
+def last_rows(df: DataFrame, bounds: DataFrame, keys: list[str], seed: int, id_col: str, few: bool) -> DataFrame:
+    """Hash and id of the row at each of the ``boundaries``; ``few`` says there are few of them."""
     in_range = Window.partitionBy(*keys, "_range").orderBy("_hash", "_id")
     ranked = (_hashed(df, keys, seed, id_col)
-              .join(broadcast_if(few, wanted.select(*keys, "_range").distinct()), [*keys, "_range"], "left_semi")
+              .join(broadcast_if(few, bounds.select(*keys, "_range").distinct()), [*keys, "_range"], "left_semi")
               .withColumn("_nth", F.row_number().over(in_range)))
-    return (ranked.join(broadcast_if(few, wanted), [*keys, "_range", "_nth"])
+    return (ranked.join(broadcast_if(few, bounds), [*keys, "_range", "_nth"])
             .select(*keys, "_cut", F.struct("_hash", "_id").alias("_last")))
 
 
@@ -88,9 +91,9 @@ def quota_sample(df: DataFrame, quotas: DataFrame, keys: list[str], seed: int =
     Quotas of zero or less draw nothing.  A pool smaller than its quota raises, or
     with ``on_short="all"`` is taken whole.
     """
-    few = is_small(quotas)  # there is at most one cut, and one last row, per quota
-    picks = quota_picks(quotas, keys, pick)
-    ranges = hash_ranges(df, keys, seed, id_col)
+    quotas, few = pin_if_small(quotas)  # there is at most one boundary, and one last row, per quota
+    settle = pin if few else (lambda frame: frame)
+    picks = quota_picks(quotas, keys, pick).select(*keys, "_cut", "_low", *([pick] if pick else []))
     if on_short == "error":
         sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_total"))
         short = (picks.groupBy(*keys).agg(F.max("_cut").alias("_cut")).join(sizes, keys, "left")
@@ -98,11 +101,11 @@ def quota_sample(df: DataFrame, quotas: DataFrame, keys: list[str], seed: int =
         if short:
             row = short[0].asDict()
             raise ShortPool(f"need {row['_cut']} rows for {[row[k] for k in keys]} but have {row['_total'] or 0}")
-    wanted = picks.select(*keys, "_cut", "_low", *([pick] if pick else []))
-    lasts = cut_offs(df, ranges.join(broadcast_if(few, wanted.select(*keys, "_cut")), keys), keys, seed, id_col, few)
+    ranges = hash_ranges(df, keys, seed, id_col).join(broadcast_if(few, picks.select(*keys, "_cut")), keys)
+    lasts = settle(last_rows(df, settle(boundaries(ranges, keys)), keys, seed, id_col, few))
     # Per key the draws in order; a draw past the end of its pool has no last row.
-    draws = (wanted.join(broadcast_if(few, lasts), [*keys, "_cut"], "left").groupBy(*keys).agg(F.array_sort(F.collect_list(
-        F.struct("_cut", F.col(pick) if pick else F.lit(None).cast("string").alias("_pick"), "_last"))).alias("_draws")))
+    draws = picks.join(broadcast_if(few, lasts), [*keys, "_cut"], "left").groupBy(*keys).agg(F.array_sort(F.collect_list(
+        F.struct("_cut", F.col(pick) if pick else F.lit(None).cast("string").alias("_pick"), "_last"))).alias("_draws"))
     name = pick or "_pick"
     place = _place(seed, id_col)
     # The first draw whose last row is not before this one owns it.
@@ -120,8 +123,8 @@ def _below_cut(df: DataFrame, cut: Column, seed: int, id_col: str, out: str) ->
     ``cut`` is computed from ``_total``, the number of rows.
     """
     keyed = df.withColumn("_all", F.lit(1))
-    ranges = hash_ranges(keyed, ["_all"], seed, id_col).withColumn("_cut", cut)
-    last = cut_offs(keyed, ranges, ["_all"], seed, id_col, few=True).select("_all", "_last")
+    bounds = pin(boundaries(hash_ranges(keyed, ["_all"], seed, id_col).withColumn("_cut", cut), ["_all"]))
+    last = pin(last_rows(keyed, bounds, ["_all"], seed, id_col, few=True)).select("_all", "_last")
     return (keyed.join(F.broadcast(last), "_all", "left")
             .withColumn(out, F.coalesce(_place(seed, id_col) <= F.col("_last"), F.lit(False)))
             .drop("_all", "_last"))
@@ -179,14 +182,14 @@ def balance(df: DataFrame, category: str, n: int, seed: int = 42, id_col: str =
     Adds ``draw``, which tells copies of one row apart.
     """
     df = df.filter(F.col(category).isin(categories))  # also bounds the broadcasts below
-    ranges = hash_ranges(df, [category], seed, id_col)
-    lasts = cut_offs(df, ranges.withColumn("_cut", F.lit(n).cast("bigint")), [category], seed, id_col, few=True)
-    large = (df.join(F.broadcast(lasts.select(category, "_last")), category)
+    ranges = hash_ranges(df, [category], seed, id_col).withColumn("_cut", F.lit(n).cast("bigint"))
+    bounds = pin(boundaries(ranges, [category]))
+    lasts = pin(last_rows(df, bounds, [category], seed, id_col, few=True)).select(category, "_last")
+    large = (df.join(F.broadcast(lasts), category)
              .filter(_place(seed, id_col) <= F.col("_last")).drop("_last").withColumn("draw", F.lit(1).cast("bigint")))
 
-    sizes = df.groupBy(category).agg(F.count(F.lit(1)).alias("_total"))
-    short = sizes.filter(F.col("_total") < n)
     # A short pool has fewer than n rows, so ranking it in one task is bounded.
+    short = pin(df.groupBy(category).agg(F.count(F.lit(1)).alias("_total")).filter(F.col("_total") < n))
     ranked = (df.join(F.broadcast(short.select(category)), category, "left_semi")
               .withColumn("_nth", F.row_number().over(Window.partitionBy(category).orderBy(row_hash(seed, id_col), id_col))))
     drawn = (ranked.join(_draw_counts(short, category, n, seed), [category, "_nth"])

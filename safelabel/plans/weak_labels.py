@@ -11,6 +11,7 @@ from safelabel.functions.vectors import format_distribution, map_to_vector, pars
 from safelabel.operators.labelling import VECTOR, keep_labelled, propagate_labels, with_dialogue_vector
 from safelabel.operators.sampling import balance, shuffle
 from safelabel.operators.scanning import keep_computed
+from safelabel.session import stage_table
 
 
 def label_dialogues(dialogues: DataFrame, taxonomy: Taxonomy, english: str = "eng_Latn",
@@ -32,10 +33,12 @@ def with_distribution_text(labelled: DataFrame, distribution: str = "safety_dist
 
 
 def balanced_training_table(labelled: DataFrame, n: int = ROWS_PER_CATEGORY, seed: int = 42, id_col: str = "id",
-                            ordered: bool = True) -> DataFrame:
+                            ordered: bool = True, stage: bool = True) -> DataFrame:
     """``n`` rows per winning category, in random order.
 
-    Reads its input several times: write the labelled rows first when they are costly.
+    Balancing reads its input several times, so the labelled rows are written once
+    first; ``stage=False`` skips that when they are a plain table already.
     """
-    rows = balance(with_winner(labelled), "category", n, seed, id_col)
+    rows = with_winner(labelled)
+    rows = balance(stage_table(rows, "labelled") if stage else rows, "category", n, seed, id_col)
     return shuffle(rows, seed, id_col) if ordered else rows

@@ -63,9 +63,20 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def is_small(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; counts no further than that."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def pin(df: DataFrame) -> DataFrame:
+    """Compute a result now and keep it with the plan, as a local table.
+
+    Only for results whose size is known to be small, such as one row per quota.
+    """
+    return df.sparkSession.createDataFrame(df.toArrow(), df.schema)
+
+
+def pin_if_small(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> tuple[DataFrame, bool]:
+    """``pin`` a table of at most ``max_rows`` rows, else leave it be; and whether it was."""
+    head = df.limit(max_rows + 1).toArrow()
+    if head.num_rows > max_rows:
+        return df, False
+    return df.sparkSession.createDataFrame(head, df.schema), True
 
 
 def broadcast_if(small: bool, df: DataFrame) -> DataFrame:
@@ -78,7 +89,18 @@ def broadcast_if(small: bool, df: DataFrame) -> DataFrame:
 
 def small_side(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
     """Hint a broadcast when ``df`` has at most ``max_rows`` rows, else leave it be."""
-    return broadcast_if(is_small(df, max_rows), df)
+    pinned, small = pin_if_small(df, max_rows)
+    return broadcast_if(small, pinned)
+
+
+def spread(df: DataFrame, *cols: str) -> DataFrame:
+    """Use all cores for costly row work when the input has fewer splits than cores.
+
+    A file with a single row group is read by one task, however many cores there are.
+    Inputs with splits enough, as any large table has, are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *cols)
 
 
 def collect_config(df: DataFrame, max_rows: int, what: str) -> list:
