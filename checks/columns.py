@@ -68,7 +68,7 @@ def _(spark, sf):
 # --- labelling -----------------------------------------------------------------------
 @query("b05_category_counts", f"WITH {S.VECTORS} SELECT doc_id, array_to_string(c, ',') AS counts FROM counted")
 def _(spark, sf):
-    rows = with_category_counts(I.documents(spark, sf), I.TAXONOMY)
+    rows = with_category_counts(spread(I.documents(spark, sf), "doc_id"), I.TAXONOMY)
     return rows.select("doc_id", I.ints(F.col("category_counts")).alias("counts"))
 
 

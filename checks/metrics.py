@@ -16,6 +16,7 @@ from safelabel.operators import reports as P
 from safelabel.operators.pairs import render_prompt
 from safelabel.operators.scoring import fit_binary_head, moderate_with_models, predict_binary_head, score_batches
 from safelabel.plans.evaluation import normalised
+from safelabel.session import spread
 from safelabel.streaming.jobs import moderated
 
 METRICS = ("precision", "recall", "f1")
@@ -176,31 +177,31 @@ _CHARS = f"(length(text) + {len(BINARY_TEMPLATE) - 2})"
 
 @query("h02_batched_scores", f"WITH {S.DOCS} SELECT doc_id, CASE WHEN {_CHARS} % 3 = 0 THEN 'UNSAFE' ELSE 'SAFE' END AS pred_raw FROM docs")
 def _(spark, sf):
-    return score_batches(_prompts(spark, sf), length_model, batch_size=64).select("doc_id", "pred_raw")
+    return score_batches(_prompts(spark, sf), length_model(), batch_size=64).select("doc_id", "pred_raw")
 
 
 @query("d21_mean_latency")
 def _(spark, sf):
-    rows = score_batches(_prompts(spark, sf), length_model, batch_size=64, latency="latency_sec")
+    rows = score_batches(_prompts(spark, sf), length_model(), batch_size=64, latency="latency_sec")
     return P.mean_latency(rows)
 
 
 def category_model():
     """Stand-in for the second model."""
-    return lambda prompts: [f"S{len(p) % 17 + 1}" for p in prompts]
+    return lambda: (lambda prompts: [f"S{len(p) % 17 + 1}" for p in prompts])
 
 
 @query("h03_two_models", f"""WITH {S.DOCS} SELECT doc_id, CASE WHEN {_CHARS} % 3 = 0 THEN 'UNSAFE' ELSE 'SAFE' END AS binary_raw,
     CASE WHEN {_CHARS} % 3 = 0 THEN concat('S', {_CHARS} % 17 + 1) END AS category_raw FROM docs""")
 def _(spark, sf):
-    rows = moderate_with_models(_prompts(spark, sf), length_model, category_model, batch_size=64)
+    rows = moderate_with_models(_prompts(spark, sf), length_model(), category_model(), batch_size=64)
     return rows.select("doc_id", "binary_raw", "category_raw")
 
 
 @query("h03_two_stage_moderation", f"""WITH {S.VECTORS} SELECT doc_id, CASE WHEN safe THEN 'SAFE' WHEN list_sum(c) = 0 THEN '' ELSE {S.winner('v')} END AS category,
     CASE WHEN safe THEN 'SAFE' ELSE 'UNSAFE' END AS safety FROM (SELECT *, NOT {S.any_term('text')} AS safe FROM vectors)""")
 def _(spark, sf):
-    return moderated(I.documents(spark, sf), I.LEXICON, I.TAXONOMY).select("doc_id", "response.category", "response.safety")
+    return moderated(spread(I.documents(spark, sf), "doc_id"), I.LEXICON, I.TAXONOMY).select("doc_id", "response.category", "response.safety")
 
 
 @query("h04_binary_head")

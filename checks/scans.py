@@ -129,8 +129,11 @@ def _(spark, sf):
 
 
 def length_model():
-    """Stand-in for a model: answers by the length of the prompt."""
-    return lambda prompts: ["UNSAFE" if len(p) % 3 == 0 else "SAFE" for p in prompts]
+    """Stand-in for a model: answers by the length of the prompt.
+
+    The factory is made here, so that it travels to the workers by value.
+    """
+    return lambda: (lambda prompts: ["UNSAFE" if len(p) % 3 == 0 else "SAFE" for p in prompts])
 
 
 _PROMPT_CHARS = len(BINARY_TEMPLATE) - 2
@@ -142,7 +145,7 @@ def _(spark, sf):
     path, out, state = (scratch_path(spark, n) for n in ("stream-in", "stream-out", "stream-state"))
     docs = render_prompt(I.documents(spark, sf), BINARY_TEMPLATE)
     write_jsonl(docs.select("doc_id", "prompt"), path)
-    score_to_sink(spark, path, "doc_id bigint, prompt string", out, state, length_model).awaitTermination()
+    score_to_sink(spark, path, "doc_id bigint, prompt string", out, state, length_model()).awaitTermination()
     return spark.read.parquet(out).select("doc_id", "pred_raw")
 
 

@@ -9,9 +9,10 @@ word only.  All of this is one Column expression: no shuffle, no explode, no UDF
 
 from __future__ import annotations
 
+import json
 import re
 from collections import defaultdict
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -36,14 +37,10 @@ class Pattern:
     is_open: bool  # the word may go on after the head
     regex: str | None  # set for phrases
 
-    def literal(self) -> Column:
-        return F.struct(
-            F.lit(self.number).alias("number"),
-            F.lit(self.position).alias("position"),
-            F.lit(self.head or "").alias("head"),
-            F.lit(self.is_open).alias("is_open"),
-            F.lit(self.regex).cast("string").alias("regex"),
-        )
+
+def _literal(value, kind: str) -> Column:
+    """A nested constant in one piece, folded by the optimizer."""
+    return F.from_json(F.lit(json.dumps(value, default=asdict, ensure_ascii=False)), kind)
 
 
 class Taxonomy:
@@ -95,7 +92,7 @@ class Taxonomy:
         """``array<bigint>``: matches per category; zeros for null or empty text."""
         zeros = F.array(*[F.lit(0).cast("bigint") for _ in self.categories])
         index = self._index()
-        always = [p.literal() for p in self.patterns if not p.head]
+        always = [p for p in self.patterns if not p.head]
 
         def starts_pattern(word: Column) -> Column:
             tests = [F.substring(word, 1, n).isin(sorted(keys)) for n, keys in sorted(index.items())]
@@ -104,21 +101,17 @@ class Taxonomy:
         def patterns_of(word: Column) -> Column:
             groups = []
             for n, keys in sorted(index.items()):
-                table = F.create_map(*[x for k, ps in sorted(keys.items())
-                                       for x in (F.lit(k), F.array(*[p.literal() for p in ps]))])
-                candidates = F.try_element_at(table, F.substring(word, 1, n))
-                groups.append(F.coalesce(
-                    F.filter(candidates, lambda p: F.startswith(word, p["head"]) & (p["is_open"] | (word == p["head"]))),
-                    F.array().cast(_PATTERN_ARRAY),
-                ))
-            return F.concat(*groups)
+                candidates = F.try_element_at(_literal(keys, f"map<string,{_PATTERN_ARRAY}>"), F.substring(word, 1, n))
+                found = F.filter(candidates, lambda p: F.startswith(word, p["head"]) & (p["is_open"] | (word == p["head"])))
+                groups.append(F.coalesce(found, F.array().cast(_PATTERN_ARRAY)))
+            return groups[0] if len(groups) == 1 else F.concat(*groups)
 
         def tally(folded: Column) -> Column:
             def add_up(matched: Column) -> Column:
                 words = F.filter(matched, lambda p: p["regex"].isNull())
                 phrases = F.array_distinct(F.filter(matched, lambda p: p["regex"].isNotNull()))
                 if always:
-                    phrases = F.concat(phrases, F.array(*always))
+                    phrases = F.concat(phrases, _literal(always, _PATTERN_ARRAY))
                 hits = F.concat(
                     F.transform(words, lambda p: F.struct(p["position"].alias("at"), F.lit(1).alias("n"))),
                     F.transform(phrases, lambda p: F.struct(

@@ -13,6 +13,7 @@ from safelabel.catalog import BINARY_LABELS, CATEGORIES, CATEGORY_NAMES, LANGUAG
 from safelabel.functions.display import display_name, imbalance_band
 from safelabel.functions.vectors import winner
 from safelabel.operators.confusion import agreement, mcc, prf
+from safelabel.session import small_side
 
 def _share(count: str = "n") -> Column:
     """Share of the total; for aggregates of a few rows, as the window is not partitioned."""
@@ -28,10 +29,10 @@ def label_dimensions(df: DataFrame, category: str | None = "category", language:
     return df
 
 
-def join_dimension(df: DataFrame, dimension: DataFrame, code: str, small: bool = True) -> DataFrame:
+def join_dimension(df: DataFrame, dimension: DataFrame, code: str) -> DataFrame:
     """Add ``name`` from a table of (code, name); an unknown code stands for itself."""
     names = dimension.select(F.col("code").alias(code), F.col("name").alias("_name"))
-    joined = df.join(F.broadcast(names) if small else names, code, "left")
+    joined = df.join(small_side(names), code, "left")
     return joined.withColumn("name", F.coalesce("_name", code)).drop("_name")
 
 

@@ -94,15 +94,16 @@ def quota_sample(df: DataFrame, quotas: DataFrame, keys: list[str], seed: int =
     quotas, few = pin_if_small(quotas)  # there is at most one boundary, and one last row, per quota
     settle = pin if few else (lambda frame: frame)
     picks = quota_picks(quotas, keys, pick).select(*keys, "_cut", "_low", *([pick] if pick else []))
+    ranges = hash_ranges(df, keys, seed, id_col).join(broadcast_if(few, picks.select(*keys, "_cut")), keys)
+    bounds = settle(boundaries(ranges, keys))
     if on_short == "error":
-        sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_total"))
-        short = (picks.groupBy(*keys).agg(F.max("_cut").alias("_cut")).join(sizes, keys, "left")
-                 .filter(F.coalesce("_total", F.lit(0)) < F.col("_cut")).limit(1).collect())
+        # A pool that is large enough has a boundary for each of its quotas.
+        short = picks.join(broadcast_if(few, bounds), [*keys, "_cut"], "left_anti").limit(1).collect()
         if short:
-            row = short[0].asDict()
-            raise ShortPool(f"need {row['_cut']} rows for {[row[k] for k in keys]} but have {row['_total'] or 0}")
-    ranges = hash_ranges(df, keys, seed, id_col).join(broadcast_if(few, picks.select(*keys, "_cut")), keys)
-    lasts = settle(last_rows(df, settle(boundaries(ranges, keys)), keys, seed, id_col, few))
+            key = [short[0][k] for k in keys]
+            have = df.filter(reduce(lambda a, b: a & b, [F.col(k) == v for k, v in zip(keys, key)])).count()
+            raise ShortPool(f"need {short[0]['_cut']} rows for {key} but have {have}")
+    lasts = settle(last_rows(df, bounds, keys, seed, id_col, few))
     # Per key the draws in order; a draw past the end of its pool has no last row.
     draws = picks.join(broadcast_if(few, lasts), [*keys, "_cut"], "left").groupBy(*keys).agg(F.array_sort(F.collect_list(
         F.struct("_cut", F.col(pick) if pick else F.lit(None).cast("string").alias("_pick"), "_last"))).alias("_draws"))
@@ -117,17 +118,19 @@ def quota_sample(df: DataFrame, quotas: DataFrame, keys: list[str], seed: int =
 
 
 # --- whole-table draws ----------------------------------------------------------------
-def _below_cut(df: DataFrame, cut: Column, seed: int, id_col: str, out: str) -> DataFrame:
+def _below_cut(df: DataFrame, cut: Column, seed: int, id_col: str, out: str) -> tuple[DataFrame, bool]:
     """Add ``out``: whether a row is among the first ``cut`` rows in hash order.
 
-    ``cut`` is computed from ``_total``, the number of rows.
+    ``cut`` is computed from ``_total``, the number of rows.  Also tells whether there
+    is such a row at all.
     """
     keyed = df.withColumn("_all", F.lit(1))
     bounds = pin(boundaries(hash_ranges(keyed, ["_all"], seed, id_col).withColumn("_cut", cut), ["_all"]))
     last = pin(last_rows(keyed, bounds, ["_all"], seed, id_col, few=True)).select("_all", "_last")
-    return (keyed.join(F.broadcast(last), "_all", "left")
-            .withColumn(out, F.coalesce(_place(seed, id_col) <= F.col("_last"), F.lit(False)))
-            .drop("_all", "_last"))
+    marked = (keyed.join(F.broadcast(last), "_all", "left")
+              .withColumn(out, F.coalesce(_place(seed, id_col) <= F.col("_last"), F.lit(False)))
+              .drop("_all", "_last"))
+    return marked, not bounds.isEmpty()
 
 
 def sample_n(df: DataFrame, n: int | None, seed: int = 42, id_col: str = "id") -> DataFrame:
@@ -135,19 +138,20 @@ def sample_n(df: DataFrame, n: int | None, seed: int = 42, id_col: str = "id") -
     if n is None:
         return df
     cut = F.least(F.lit(n).cast("bigint"), F.col("_total"))
-    return _below_cut(df, cut, seed, id_col, "_in").filter("_in").drop("_in")
+    marked, _ = _below_cut(df, cut, seed, id_col, "_in")
+    return marked.filter("_in").drop("_in")
 
 
-def ratio_split(df: DataFrame, ratio: float, seed: int = 42, id_col: str = "id", out: str = "split",
-                check_empty: bool = True) -> DataFrame:
+def ratio_split(df: DataFrame, ratio: float, seed: int = 42, id_col: str = "id", out: str = "split") -> DataFrame:
     """Mark a random ``ratio`` of the rows as train and the rest as test, exactly.
 
-    Neither side is empty when there are two rows or more; a single row is train.
+    Neither side is empty when there are two rows or more; a single row is train, and
+    no rows raise.
     """
-    if check_empty and df.isEmpty():
-        raise ValueError("nothing to split")
     cut = F.greatest(F.lit(1), F.least(F.floor(F.col("_total") * F.lit(float(ratio))), F.col("_total") - 1))
-    marked = _below_cut(df, cut, seed, id_col, "_in")
+    marked, any_row = _below_cut(df, cut, seed, id_col, "_in")
+    if not any_row:
+        raise ValueError("nothing to split")
     return marked.withColumn(out, F.when(F.col("_in"), "train").otherwise("test")).drop("_in")
 
 

@@ -118,12 +118,13 @@ def test_end_to_end_tables(spark, sf):
 
 # --- scorers ---------------------------------------------------------------------------
 def batch_sizes():
-    return lambda prompts: [f"{len(prompts)}" for _ in prompts]
+    """A factory made in here travels to the workers by value."""
+    return lambda: (lambda prompts: [f"{len(prompts)}" for _ in prompts])
 
 
 def test_score_batches(spark):
     df = spark.range(20).selectExpr("id", "cast(id AS string) AS prompt").repartition(2)
-    out = score_batches(df, batch_sizes, batch_size=4, latency="sec").collect()
+    out = score_batches(df, batch_sizes(), batch_size=4, latency="sec").collect()
     assert len(out) == 20 and all(1 <= int(r.pred_raw) <= 4 and r.sec >= 0 for r in out)
 
 
@@ -168,7 +169,7 @@ def test_scores_survive_a_failing_batch(spark, tmp_path):
     rows = spark.range(30).selectExpr("id", "cast(id AS string) AS prompt")
     write_jsonl(rows.filter("id < 20").coalesce(1), src)
     schema = "id bigint, prompt string"
-    score_to_sink(spark, src, schema, out, state, batch_sizes, files_per_batch=1).awaitTermination()
+    score_to_sink(spark, src, schema, out, state, batch_sizes(), files_per_batch=1).awaitTermination()
     write_jsonl(rows.filter("id >= 20").coalesce(1), src, "append")
 
     def fails():
@@ -177,5 +178,5 @@ def test_scores_survive_a_failing_batch(spark, tmp_path):
     with pytest.raises(Exception):
         append_available(score_batches(stream_jsonl(spark, src, schema, 1), fails), out, state).awaitTermination()
     assert spark.read.parquet(out).count() == 20
-    score_to_sink(spark, src, schema, out, state, batch_sizes, files_per_batch=1).awaitTermination()
+    score_to_sink(spark, src, schema, out, state, batch_sizes(), files_per_batch=1).awaitTermination()
     assert spark.read.parquet(out).select("id").distinct().count() == spark.read.parquet(out).count() == 30

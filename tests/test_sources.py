@@ -60,7 +60,7 @@ def test_jsonl_sink(spark, tmp_path):
 
 
 def test_csv_sink(spark, tmp_path):
-    rows = [(1, ' a "quoted", text\nwith lines ', "SAFE"), (2, "", None), (3, "\\", "x")]
+    rows = [(1, ' a "quoted", text\nwith lines ', "SAFE"), (2, "-", None), (3, "\\", "x")]
     schema = "id int, text string, gold string"
     write_predictions(spark.createDataFrame(rows, schema), str(tmp_path / "p"))
     back = read_table(spark, str(tmp_path / "p"), "csv", schema)
@@ -101,15 +101,29 @@ def test_scan_summary(spark):
     assert tuple(scan_summary(df).first()) == (4, 1, 3)
 
 
-def test_session_helpers(spark, tmp_path):
+def test_session_helpers(spark):
     assert scratch_root(spark) == scratch_root(spark)
     with pytest.raises(ValueError):
         collect_config(spark.range(5), 4, "the table")
     assert spread(spark.range(10).coalesce(1)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     many = spark.range(100).repartition(20)
     assert spread(many) is many
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        assert scratch_root(spark) == str(tmp_path)
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+
+
+def test_scratch_root_is_the_shared_folder():
+    class Session:
+        class conf:
+            get = staticmethod(lambda key, default: {"spark.checkpoint.dir": "/shared"}.get(key, default))
+
+    assert scratch_root(Session) == "/shared"
+
+    class Cluster:
+        class conf:
+            get = staticmethod(lambda key, default: default)
+
+        class sparkContext:
+            master = "yarn"
+            getCheckpointDir = staticmethod(lambda: None)
+
+    with pytest.raises(RuntimeError):
+        scratch_root(Cluster)
