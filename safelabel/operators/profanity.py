@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from safelabel.functions.lexicon import Lexicon, found_terms
-from safelabel.session import small_side
+from safelabel.functions.lexicon import MAX_TERMS, Lexicon, found_terms
+from safelabel.session import broadcast_if, pin_if_small
 
 SAFETY_COLUMNS = ["safety_categories", "safety_distribution"]
 
@@ -51,8 +51,9 @@ def minimise_lexicon(lexicon: DataFrame) -> DataFrame:
 
 def with_lexicon_terms(df: DataFrame, lexicon: DataFrame, language: str = "language", out: str = "terms") -> DataFrame:
     """Attach the terms of the row's language; null where the language has none."""
+    lexicon, small = pin_if_small(lexicon.select("language", "term"), MAX_TERMS)
     lists = lexicon.groupBy(F.col("language").alias(language)).agg(F.array_sort(F.collect_set("term")).alias(out))
-    return df.join(small_side(lists), language, "left")
+    return df.join(broadcast_if(small, lists), language, "left")
 
 
 def term_hits(df: DataFrame, lexicon: DataFrame, text: str = "text", language: str = "language") -> DataFrame:

@@ -2,14 +2,16 @@
 
 Rows are ordered by a hash of the seed and the row id.  A sample of k rows is the
 rows up to the k-th in that order.  The k-th row is found from counts per leading
-hash digits (a small aggregate with map-side combine) and a ranking of the single
-hash range it lies in; then every row is compared with that cut-off where it lies.
-So no key, however large, is ever gathered in one task, and the wide rows are not
-shuffled at all.  Row ids must be unique.
+hash digits (a small aggregate with map-side combine), taking further digits while the
+range it lies in is still large, and at last by ranking that one small range.  Then
+every row is compared with the cut-off where it lies.  So no key, however large, is
+ever gathered in one task, and the wide rows are not shuffled at all.  Row ids must be
+unique.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -18,8 +20,11 @@ from pyspark.sql import functions as F
 from safelabel.catalog import CATEGORIES
 from safelabel.session import broadcast_if, pin, pin_if_small
 
-# Leading hex digits of the hash that split a key into ranges: 16**4 ranges.
-RANGE_DIGITS = 4
+# Hex digits of the hash that split a range further: 16**3 parts, few enough for a task
+# to combine most of its rows before the shuffle.
+RANGE_DIGITS = 3
+# A range is ranked in one task (ids and hashes only) when it has no more rows.
+RANK_ROWS = 2_000_000
 
 
 def row_hash(seed: int, *cols: Column | str) -> Column:
@@ -27,37 +32,61 @@ def row_hash(seed: int, *cols: Column | str) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") if isinstance(c, str) else c for c in cols]))
 
 
-def _hashed(df: DataFrame, keys: list[str], seed: int, id_col: str) -> DataFrame:
+def _hashed(df: DataFrame, keys: list[str], seed: int, id_col: str, digits: int) -> DataFrame:
     return df.select(*keys, row_hash(seed, id_col).alias("_hash"), F.col(id_col).alias("_id")) \
-        .withColumn("_range", F.substring("_hash", 1, RANGE_DIGITS))
+        .withColumn("_range", F.substring("_hash", 1, digits))
+
+
+def _cumulated(counts: DataFrame, parent: list[str]) -> DataFrame:
+    """Add the rows of the parent before each range, and in all."""
+    within = Window.partitionBy(*parent)
+    upto = within.orderBy("_range").rowsBetween(Window.unboundedPreceding, 0)
+    return (counts.withColumn("_before", F.sum("_rows").over(upto) - F.col("_rows"))
+            .withColumn("_total", F.sum("_rows").over(within)))
 
 
 def hash_ranges(df: DataFrame, keys: list[str], seed: int, id_col: str) -> DataFrame:
     """Rows per key and hash range, with the rows of the key before it and in all."""
-    counts = _hashed(df, keys, seed, id_col).groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_rows"))
-    of_key = Window.partitionBy(*keys)
-    upto = of_key.orderBy("_range").rowsBetween(Window.unboundedPreceding, 0)
-    return (counts.withColumn("_before", F.sum("_rows").over(upto) - F.col("_rows"))
-            .withColumn("_total", F.sum("_rows").over(of_key)))
+    hashed = _hashed(df, keys, seed, id_col, RANGE_DIGITS)
+    return _cumulated(hashed.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_rows")), keys)
 
 
-def boundaries(ranges: DataFrame, keys: list[str]) -> DataFrame:
-    """Hash range in which position ``_cut`` of a key lies, and the position within it.
+def _boundaries(ranges: DataFrame, keys: list[str]) -> DataFrame:
+    """The range in which position ``_nth`` lies, and the position within it."""
+    inside = (F.col("_before") < F.col("_nth")) & (F.col("_nth") <= F.col("_before") + F.col("_rows"))
+    return ranges.filter(inside).select(*keys, "_cut", "_range", (F.col("_nth") - F.col("_before")).alias("_nth"), "_rows")
 
-    ``ranges`` is the output of ``hash_ranges`` with a column ``_cut`` added.
+
+def last_rows(df: DataFrame, ranges: DataFrame, keys: list[str], seed: int, id_col: str, few: bool,
+              check: Callable[[DataFrame], None] = lambda bounds: None) -> DataFrame:
+    """Hash and id of the row at position ``_cut`` of each key, for every ``_cut`` given.
+
+    ``ranges`` is the output of ``hash_ranges`` with a column ``_cut`` added.  ``few``
+    says that the number of cuts is known to be small: then they are worked out here and
+    now.  A cut past the end of its key has no row; ``check`` sees the keys and cuts
+    that have one.
     """
-    inside = (F.col("_before") < F.col("_cut")) & (F.col("_cut") <= F.col("_before") + F.col("_rows"))
-    return ranges.filter(inside).select(*keys, "_cut", "_range", (F.col("_cut") - F.col("_before")).alias("_nth"))
+    settle = pin if few else (lambda frame: frame)
+    digits, bounds = RANGE_DIGITS, settle(_boundaries(ranges.withColumn("_nth", F.col("_cut")), keys))
+    check(bounds)
 
+    def rows_inside() -> DataFrame:
+        wanted = bounds.select(*keys, "_range").distinct()
+        return _hashed(df, keys, seed, id_col, digits).join(broadcast_if(few, wanted), [*keys, "_range"], "left_semi")
+
+    while few and digits < 32 and (bounds.agg(F.max("_rows")).first()[0] or 0) > RANK_ROWS:
+        deeper = min(digits + RANGE_DIGITS, 32)
+        counts = (rows_inside().groupBy(*keys, F.col("_range").alias("_parent"), F.substring("_hash", 1, deeper).alias("_range"))
+                  .agg(F.count(F.lit(1)).alias("_rows")))
+        positions = bounds.select(*keys, F.col("_range").alias("_parent"), "_cut", "_nth")
+        parts = _cumulated(counts, [*keys, "_parent"]).join(F.broadcast(positions), [*keys, "_parent"])
+        digits, bounds = deeper, pin(_boundaries(parts, keys))
 
-def last_rows(df: DataFrame, bounds: DataFrame, keys: list[str], seed: int, id_col: str, few: bool) -> DataFrame:
-    """Hash and id of the row at each of the ``boundaries``; ``few`` says there are few of them."""
     in_range = Window.partitionBy(*keys, "_range").orderBy("_hash", "_id")
-    ranked = (_hashed(df, keys, seed, id_col)
-              .join(broadcast_if(few, bounds.select(*keys, "_range").distinct()), [*keys, "_range"], "left_semi")
-              .withColumn("_nth", F.row_number().over(in_range)))
-    return (ranked.join(broadcast_if(few, bounds), [*keys, "_range", "_nth"])
-            .select(*keys, "_cut", F.struct("_hash", "_id").alias("_last")))
+    ranked = rows_inside().withColumn("_nth", F.row_number().over(in_range))
+    positions = bounds.select(*keys, "_range", "_cut", "_nth")
+    return settle(ranked.join(broadcast_if(few, positions), [*keys, "_range", "_nth"])
+                  .select(*keys, "_cut", F.struct("_hash", "_id").alias("_last")))
 
 
 def _place(seed: int, id_col: str) -> Column:
@@ -91,19 +120,19 @@ def quota_sample(df: DataFrame, quotas: DataFrame, keys: list[str], seed: int =
     Quotas of zero or less draw nothing.  A pool smaller than its quota raises, or
     with ``on_short="all"`` is taken whole.
     """
-    quotas, few = pin_if_small(quotas)  # there is at most one boundary, and one last row, per quota
-    settle = pin if few else (lambda frame: frame)
+    quotas, few = pin_if_small(quotas)  # there is at most one cut, and one last row, per quota
     picks = quota_picks(quotas, keys, pick).select(*keys, "_cut", "_low", *([pick] if pick else []))
-    ranges = hash_ranges(df, keys, seed, id_col).join(broadcast_if(few, picks.select(*keys, "_cut")), keys)
-    bounds = settle(boundaries(ranges, keys))
-    if on_short == "error":
-        # A pool that is large enough has a boundary for each of its quotas.
+
+    def complain_if_short(bounds: DataFrame) -> None:
+        """A pool that is large enough has a row at each of its cuts."""
         short = picks.join(broadcast_if(few, bounds), [*keys, "_cut"], "left_anti").limit(1).collect()
         if short:
             key = [short[0][k] for k in keys]
             have = df.filter(reduce(lambda a, b: a & b, [F.col(k) == v for k, v in zip(keys, key)])).count()
             raise ShortPool(f"need {short[0]['_cut']} rows for {key} but have {have}")
-    lasts = settle(last_rows(df, bounds, keys, seed, id_col, few))
+
+    ranges = hash_ranges(df, keys, seed, id_col).join(broadcast_if(few, picks.select(*keys, "_cut")), keys)
+    lasts = last_rows(df, ranges, keys, seed, id_col, few, *([complain_if_short] if on_short == "error" else []))
     # Per key the draws in order; a draw past the end of its pool has no last row.
     draws = picks.join(broadcast_if(few, lasts), [*keys, "_cut"], "left").groupBy(*keys).agg(F.array_sort(F.collect_list(
         F.struct("_cut", F.col(pick) if pick else F.lit(None).cast("string").alias("_pick"), "_last"))).alias("_draws"))
@@ -125,12 +154,12 @@ def _below_cut(df: DataFrame, cut: Column, seed: int, id_col: str, out: str) ->
     is such a row at all.
     """
     keyed = df.withColumn("_all", F.lit(1))
-    bounds = pin(boundaries(hash_ranges(keyed, ["_all"], seed, id_col).withColumn("_cut", cut), ["_all"]))
-    last = pin(last_rows(keyed, bounds, ["_all"], seed, id_col, few=True)).select("_all", "_last")
+    ranges = hash_ranges(keyed, ["_all"], seed, id_col).withColumn("_cut", cut)
+    last = last_rows(keyed, ranges, ["_all"], seed, id_col, few=True).select("_all", "_last")
     marked = (keyed.join(F.broadcast(last), "_all", "left")
               .withColumn(out, F.coalesce(_place(seed, id_col) <= F.col("_last"), F.lit(False)))
               .drop("_all", "_last"))
-    return marked, not bounds.isEmpty()
+    return marked, not last.isEmpty()
 
 
 def sample_n(df: DataFrame, n: int | None, seed: int = 42, id_col: str = "id") -> DataFrame:
@@ -187,8 +216,7 @@ def balance(df: DataFrame, category: str, n: int, seed: int = 42, id_col: str =
     """
     df = df.filter(F.col(category).isin(categories))  # also bounds the broadcasts below
     ranges = hash_ranges(df, [category], seed, id_col).withColumn("_cut", F.lit(n).cast("bigint"))
-    bounds = pin(boundaries(ranges, [category]))
-    lasts = pin(last_rows(df, bounds, [category], seed, id_col, few=True)).select(category, "_last")
+    lasts = last_rows(df, ranges, [category], seed, id_col, few=True).select(category, "_last")
     large = (df.join(F.broadcast(lasts), category)
              .filter(_place(seed, id_col) <= F.col("_last")).drop("_last").withColumn("draw", F.lit(1).cast("bigint")))
 

@@ -69,9 +69,15 @@ def test_sample_n(spark, n, kept):
     assert S.sample_n(pool(spark, {"a": 10}), n).count() == kept
 
 
-def test_equal_hash_ranges_still_cut_exactly(spark, monkeypatch):
-    monkeypatch.setattr(S, "RANGE_DIGITS", 0)  # everything in one range
-    assert S.sample_n(pool(spark, {"a": 25}), 13).count() == 13
+def test_cuts_do_not_depend_on_the_ranges(spark, monkeypatch):
+    df, q = pool(spark, {"a": 900, "b": 300}), quotas(spark, [("a", "x", 401), ("a", "y", 77), ("b", "x", 300)])
+    draw = lambda: sorted((r.id, r.pick) for r in S.quota_sample(df, q, ["k"], 3, pick="pick").collect())
+    plain = draw()
+    assert len(plain) == 778
+    monkeypatch.setattr(S, "RANGE_DIGITS", 1)  # ranges of dozens of rows
+    assert draw() == plain
+    monkeypatch.setattr(S, "RANK_ROWS", 2)  # split further before ranking
+    assert draw() == plain
 
 
 def test_balance(spark):
@@ -110,4 +116,4 @@ def test_one_hot_key_is_never_gathered(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert out.count() == 1234 and "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
     largest = S.hash_ranges(df, ["k"], 42, "id").agg(F.max("_rows")).first()[0]
-    assert largest <= 5
+    assert largest <= 12
