@@ -25,98 +25,118 @@ def _class_metrics() -> list[Column]:
 
 
 def confusion_counts(df: DataFrame, valid_gold: list[str] | None = BINARY_LABELS, by: list[str] | None = None,
-                     gold: str = "gold", pred: str = "pred") -> DataFrame:
+                     gold: str = "gold", pred: str = "pred", counted: bool = False) -> DataFrame:
     """Rows per pair of gold and predicted label, for rows with a valid gold label.
 
-    An unknown prediction stays in: it is a wrong answer, not a missing row.
+    An unknown prediction stays in: it is a wrong answer, not a missing row.  With
+    ``counted`` the input holds such counts already, possibly of finer groups.
     """
     rows = df if valid_gold is None else df.filter(F.col(gold).isin(valid_gold))
-    rows = rows.select(*(by or []), F.col(gold).alias("gold"), F.col(pred).alias("pred"))
-    return rows.groupBy(*(by or []), "gold", "pred").agg(F.count(F.lit(1)).alias("n"))
+    size = F.col("n") if counted else F.lit(1)
+    rows = rows.select(*(by or []), F.col(gold).alias("gold"), F.col(pred).alias("pred"), size.alias("n"))
+    total = F.sum("n") if counted else F.count(F.lit(1))
+    return rows.groupBy(*(by or []), "gold", "pred").agg(total.alias("n"))
 
 
 def class_stats(counts: DataFrame, by: list[str] | None = None, labels: list[str] | None = None) -> DataFrame:
-    """Per label: true positives, support (gold) and predicted, zero-filled for ``labels``."""
-    def entry(label: Column, tp: Column, support: Column, predicted: Column) -> Column:
-        return F.struct(label.alias("label"), tp.cast("bigint").alias("tp"),
-                        support.cast("bigint").alias("support"), predicted.cast("bigint").alias("predicted"))
+    """Per label: true positives, support (gold) and predicted, zero-filled for ``labels``.
 
-    zero = F.lit(0)
+    ``known`` is the support among rows whose prediction is one of the ``labels``.
+    """
+    def entry(label: Column, tp: Column, support: Column, known: Column, predicted: Column) -> Column:
+        parts = {"tp": tp, "support": support, "known": known, "predicted": predicted}
+        return F.struct(label.alias("label"), *[c.cast("bigint").alias(name) for name, c in parts.items()])
+
+    zero, n = F.lit(0), F.col("n")
+    known = n if labels is None else F.when(F.col("pred").isin(labels), n).otherwise(zero)
     entries = [
-        entry(F.col("gold"), F.when(F.col("gold") == F.col("pred"), F.col("n")).otherwise(zero), F.col("n"), zero),
-        entry(F.col("pred"), zero, zero, F.col("n")),
-        *[entry(F.lit(label), zero, zero, zero) for label in labels or []],
+        entry(F.col("gold"), F.when(F.col("gold") == F.col("pred"), n).otherwise(zero), n, known, zero),
+        entry(F.col("pred"), zero, zero, zero, n),
+        *[entry(F.lit(label), zero, zero, zero, zero) for label in labels or []],
     ]
     return (counts.select(*(by or []), F.inline(F.array(*entries))).groupBy(*(by or []), "label")
-            .agg(*[F.sum(c).alias(c) for c in ("tp", "support", "predicted")]))
+            .agg(*[F.sum(c).alias(c) for c in ("tp", "support", "known", "predicted")]))
 
 
 def prf(df: DataFrame, labels: list[str] = BINARY_LABELS, valid_gold: list[str] | None = BINARY_LABELS,
-        by: list[str] | None = None) -> DataFrame:
+        by: list[str] | None = None, counted: bool = False) -> DataFrame:
     """Precision, recall, F1 and support of each label; 0 where undefined."""
-    stats = class_stats(confusion_counts(df, valid_gold, by), by, labels).filter(F.col("label").isin(labels))
-    return stats.select(*(by or []), "label", *_class_metrics(), "support")
+    stats = class_stats(confusion_counts(df, valid_gold, by, counted=counted), by, labels)
+    return stats.filter(F.col("label").isin(labels)).select(*(by or []), "label", *_class_metrics(), "support")
 
 
-def agreement(df: DataFrame, valid_gold: list[str] | None = BINARY_LABELS, by: list[str] | None = None) -> DataFrame:
-    """Valid rows, accuracy, balanced accuracy and Cohen's kappa."""
-    stats = class_stats(confusion_counts(df, valid_gold, by), by)
+def run_metrics(df: DataFrame, labels: list[str] = BINARY_LABELS, valid_gold: list[str] | None = BINARY_LABELS,
+                by: list[str] | None = None, counted: bool = False) -> DataFrame:
+    """All single-number metrics of a run (or of each group) from one pass.
+
+    Valid rows, accuracy, balanced accuracy (mean recall of the classes in gold),
+    Cohen's kappa over all labels of gold and prediction, the Matthews correlation of
+    the rows whose labels are both in ``labels``, and the F1 of each of the ``labels``.
+    """
+    stats = class_stats(confusion_counts(df, valid_gold, by, counted=counted), by, labels)
+    listed = F.col("label").isin(labels)
+    product = lambda a, b: F.sum(F.when(listed, F.col(a).cast("double") * F.col(b)))
+    f1 = _ratio(2 * F.col("tp"), F.col("predicted") + F.col("support"))
     sums = stats.groupBy(*(by or [])).agg(
         F.sum("support").alias("valid"), F.sum("tp").alias("_right"),
         F.avg(F.try_divide("tp", "support")).alias("balanced_accuracy"),
-        F.sum(F.col("support").cast("double") * F.col("predicted")).alias("_chance"))
+        F.sum(F.col("support").cast("double") * F.col("predicted")).alias("_chance"),
+        F.sum(F.when(listed, F.col("known"))).cast("double").alias("_n"),
+        F.sum(F.when(listed, F.col("tp"))).cast("double").alias("_c"),
+        product("known", "predicted").alias("_kp"), product("known", "known").alias("_kk"), product("predicted", "predicted").alias("_pp"),
+        *[F.max(F.when(F.col("label") == label, f1)).alias(f"f1_{label.lower()}") for label in labels])
+    accuracy_ = F.try_divide("_right", "valid")
     expected = F.col("_chance") / (F.col("valid").cast("double") * F.col("valid"))
-    accuracy = F.try_divide("_right", "valid")
+    n2 = F.col("_n") * F.col("_n")
+    spread = F.sqrt((n2 - F.col("_pp")) * (n2 - F.col("_kk")))
     return sums.filter("valid > 0").select(
-        *(by or []), "valid", accuracy.alias("accuracy"), "balanced_accuracy",
-        F.try_divide(accuracy - expected, 1 - expected).alias("kappa"))
+        *(by or []), "valid", accuracy_.alias("accuracy"), "balanced_accuracy",
+        F.try_divide(accuracy_ - expected, 1 - expected).alias("kappa"),
+        _ratio(F.col("_c") * F.col("_n") - F.col("_kp"), spread).alias("mcc"),
+        *[f"f1_{label.lower()}" for label in labels])
+
+
+def agreement(df: DataFrame, valid_gold: list[str] | None = BINARY_LABELS, by: list[str] | None = None, counted: bool = False) -> DataFrame:
+    """Valid rows, accuracy, balanced accuracy and Cohen's kappa."""
+    return run_metrics(df, valid_gold=valid_gold, by=by, counted=counted).select(
+        *(by or []), "valid", "accuracy", "balanced_accuracy", "kappa")
 
 
 def accuracy(df: DataFrame, valid_gold: list[str] | None = BINARY_LABELS, by: list[str] | None = None) -> DataFrame:
-    return agreement(df, valid_gold, by).select(*(by or []), "valid", "accuracy")
+    return run_metrics(df, valid_gold=valid_gold, by=by).select(*(by or []), "valid", "accuracy")
 
 
 def balanced_accuracy(df: DataFrame, valid_gold: list[str] | None = BINARY_LABELS, by: list[str] | None = None) -> DataFrame:
-    """Mean recall of the classes that occur in gold."""
-    return agreement(df, valid_gold, by).select(*(by or []), "balanced_accuracy")
+    return run_metrics(df, valid_gold=valid_gold, by=by).select(*(by or []), "balanced_accuracy")
 
 
 def cohen_kappa(df: DataFrame, valid_gold: list[str] | None = BINARY_LABELS, by: list[str] | None = None) -> DataFrame:
-    """Agreement beyond chance over all labels of gold and prediction."""
-    return agreement(df, valid_gold, by).select(*(by or []), "kappa")
+    return run_metrics(df, valid_gold=valid_gold, by=by).select(*(by or []), "kappa")
 
 
-def mcc(df: DataFrame, labels: list[str] = BINARY_LABELS, by: list[str] | None = None) -> DataFrame:
-    """Matthews correlation of the rows whose labels are both in ``labels``."""
-    counts = confusion_counts(df, labels, by).filter(F.col("pred").isin(labels))
-    sums = class_stats(counts, by, labels).groupBy(*(by or [])).agg(
-        F.sum("support").cast("double").alias("n"), F.sum("tp").cast("double").alias("c"),
-        F.sum(F.col("support").cast("double") * F.col("predicted")).alias("tp_"),
-        F.sum(F.col("support").cast("double") * F.col("support")).alias("tt"),
-        F.sum(F.col("predicted").cast("double") * F.col("predicted")).alias("pp"))
-    n2 = F.col("n") * F.col("n")
-    spread = F.sqrt((n2 - F.col("pp")) * (n2 - F.col("tt")))
-    return sums.select(*(by or []), F.coalesce(
-        F.try_divide(F.col("c") * F.col("n") - F.col("tp_"), spread), F.lit(0.0)).alias("mcc"))
+def mcc(df: DataFrame, labels: list[str] = BINARY_LABELS, by: list[str] | None = None, counted: bool = False) -> DataFrame:
+    return run_metrics(df, labels, labels, by, counted).select(*(by or []), "mcc")
 
 
-def confusion(df: DataFrame, labels: list[str] = BINARY_LABELS, by: list[str] | None = None) -> DataFrame:
+def confusion(df: DataFrame, labels: list[str] = BINARY_LABELS, by: list[str] | None = None, counted: bool = False) -> DataFrame:
     """Confusion matrix in long form, every pair of ``labels`` present."""
-    counts = confusion_counts(df, labels, by)
-    pairs = F.array(*[F.struct(F.lit(label).alias("gold"), F.lit(other).alias("pred"), F.lit(0).cast("bigint").alias("n"))
-                      for label in labels for other in labels])
+    counts = confusion_counts(df, labels, by, counted=counted)
+    names = F.array(*[F.lit(label) for label in labels])
+    pairs = F.flatten(F.transform(names, lambda g: F.transform(
+        names, lambda p: F.struct(g.alias("gold"), p.alias("pred"), F.lit(0).cast("bigint").alias("n")))))
     cells = counts.select(*(by or []), F.inline(F.concat(F.array(F.struct("gold", "pred", "n")), pairs)))
     return (cells.filter(F.col("pred").isin(labels)).groupBy(*(by or []), "gold", "pred")
             .agg(F.sum("n").alias("n")))
 
 
-def confusion_matrix(df: DataFrame, labels: list[str] = BINARY_LABELS, by: list[str] | None = None) -> DataFrame:
+def confusion_matrix(df: DataFrame, labels: list[str] = BINARY_LABELS, by: list[str] | None = None, counted: bool = False) -> DataFrame:
     """Confusion matrix with one row per gold label and one column per prediction."""
-    return confusion(df, labels, by).groupBy(*(by or []), "gold").pivot("pred", labels).agg(F.first("n"))
+    return confusion(df, labels, by, counted).groupBy(*(by or []), "gold").pivot("pred", labels).agg(F.first("n"))
 
 
 def classification_report(df: DataFrame, labels: list[str] | str = BINARY_LABELS,
-                          valid_gold: list[str] | None = BINARY_LABELS, by: list[str] | None = None) -> DataFrame:
+                          valid_gold: list[str] | None = BINARY_LABELS, by: list[str] | None = None,
+                          counted: bool = False) -> DataFrame:
     """Per-label metrics and their averages.
 
     With ``labels="present"`` the labels that occur in gold or prediction are used.
@@ -125,7 +145,7 @@ def classification_report(df: DataFrame, labels: list[str] | str = BINARY_LABELS
     """
     by = by or []
     fixed = None if labels == "present" else labels
-    stats = class_stats(confusion_counts(df, valid_gold, by), by, fixed)
+    stats = class_stats(confusion_counts(df, valid_gold, by, counted=counted), by, fixed)
     listed = F.lit(True) if fixed is None else F.col("label").isin(fixed)
     stats = stats.withColumn("_listed", listed).withColumn("_left_out", F.max((~listed).cast("int")).over(Window.partitionBy(*by)))
     rows = stats.filter("_listed").select(*by, "label", *_class_metrics(), "support", "tp", "predicted", "_left_out")

@@ -9,10 +9,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from safelabel.catalog import BINARY_LABELS, CATEGORIES, CATEGORY_NAMES, LANGUAGE_NAMES
+from safelabel.catalog import CATEGORIES, CATEGORY_NAMES, LANGUAGE_NAMES
 from safelabel.functions.display import display_name, imbalance_band
 from safelabel.functions.vectors import winner
-from safelabel.operators.confusion import agreement, mcc, prf
+from safelabel.operators.confusion import run_metrics
 from safelabel.session import small_side
 
 def _share(count: str = "n") -> Column:
@@ -128,9 +128,7 @@ def overview(df: DataFrame, vec: str, language: str = "language") -> DataFrame:
 
 def compare_runs(df: DataFrame, run: str = "run", latency: str | None = None) -> DataFrame:
     """One row per run: agreement, correlation, F1 of both labels, mean latency."""
-    stats = prf(df, by=[run]).groupBy(run).pivot("label", BINARY_LABELS).agg(F.first("f1"))
-    stats = stats.select(run, *[F.col(label).alias(f"f1_{label.lower()}") for label in BINARY_LABELS])
-    table = agreement(df, by=[run]).join(mcc(df, by=[run]), run).join(stats, run)
+    table = run_metrics(df, by=[run])
     return table.join(mean_latency(df, [run], latency), run) if latency else table
 
 

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 
 from safelabel.catalog import CATEGORIES
 from safelabel.functions.labels import is_correct, normalise_gold, normalise_pred
-from safelabel.operators.confusion import agreement, classification_report, confusion, mcc, prf
+from safelabel.operators.confusion import classification_report, confusion, confusion_counts, prf, run_metrics
 from safelabel.operators.ranking import distribution_metrics, score_rows, winners
+from safelabel.session import stage_table
 
 
 def normalised(predictions: DataFrame, policy: str = "full", gold: str = "gold", raw: str = "pred_raw") -> DataFrame:
@@ -17,17 +18,24 @@ def normalised(predictions: DataFrame, policy: str = "full", gold: str = "gold",
 
 
 def evaluate_binary(predictions: DataFrame, policy: str = "full", by: list[str] | None = None) -> dict[str, DataFrame]:
-    """All binary reports of a prediction table, each a small table."""
-    rows = normalised(predictions, policy)
-    return {"agreement": agreement(rows, by=by), "mcc": mcc(rows, by=by), "classes": prf(rows, by=by),
-            "confusion": confusion(rows, by=by), "report": classification_report(rows, by=by)}
+    """All binary reports of a prediction table, each a small table.
+
+    The predictions are read once; the counts of label pairs are written, and all
+    reports are made from them.
+    """
+    counts = stage_table(confusion_counts(normalised(predictions, policy), by=by), "confusion")
+    return {"metrics": run_metrics(counts, by=by, counted=True), "classes": prf(counts, by=by, counted=True),
+            "confusion": confusion(counts, by=by, counted=True), "report": classification_report(counts, by=by, counted=True)}
 
 
 def evaluate_distributions(predictions: DataFrame, language: str = "language") -> dict[str, DataFrame]:
-    """All reports of predicted distributions, overall and per language."""
+    """All reports of predicted distributions, overall and per language.
+
+    The top-1 reports share one count of winning pairs per language.
+    """
     scored = score_rows(predictions)
-    top = winners(scored)
+    counts = stage_table(confusion_counts(winners(scored), CATEGORIES, [language]), "confusion")
     return {"metrics": distribution_metrics(scored, language, overall=True),
-            "report": classification_report(top, CATEGORIES, CATEGORIES),
-            "confusion": confusion(top, CATEGORIES),
-            "report_by_language": classification_report(top, "present", CATEGORIES, by=[language])}
+            "report": classification_report(counts, CATEGORIES, CATEGORIES, counted=True),
+            "confusion": confusion(counts, CATEGORIES, counted=True),
+            "report_by_language": classification_report(counts, "present", CATEGORIES, [language], counted=True)}

@@ -78,7 +78,9 @@ def test_evaluation_plans(spark, sf):
     from checks import inputs
 
     reports = evaluate_binary(inputs.predictions(spark, sf), by=["run"])
-    assert {r.run for r in reports["agreement"].collect()} == {"run_a", "run_b"}
+    assert {r.run for r in reports["metrics"].collect()} == {"run_a", "run_b"}
+    whole = evaluate_binary(inputs.predictions(spark, sf))
+    assert whole["metrics"].first().valid == sum(r.valid for r in reports["metrics"].collect())
     reports = evaluate_distributions(inputs.distributions(spark, sf))
     metrics = reports["metrics"].collect()
     overall = [r for r in metrics if r.is_overall]
