@@ -43,7 +43,7 @@ def _split_head(pattern: str) -> tuple[str, str]:
     hit = re.match(r"\\b(\w+)", pattern)
     if not hit or "|" in pattern:
         return "", pattern
-    end = hit.end() - (pattern[hit.end() : hit.end() + 1] in ("?", "*", "{") and 1)
+    end = hit.end() - (pattern[hit.end() : hit.end() + 1] in ("?", "*", "+", "{") and 1)
     return pattern[2:end], pattern[end:]
 
 
@@ -54,22 +54,19 @@ def to_java(pattern: str) -> str:
     with a word looks for its letters first and at the word's edge afterwards, as the
     letters are quick to rule out.
     """
-    edge = f"(?:(?<={WORD})(?!{WORD})|(?<!{WORD})(?={WORD}))"
+    outside = {
+        r"\b": f"(?:(?<={WORD})(?!{WORD})|(?<!{WORD})(?={WORD}))",
+        r"\B": f"(?:(?<={WORD})(?={WORD})|(?<!{WORD})(?!{WORD}))",
+        r"\w": WORD, r"\W": f"[^{WORD_CHARS}]", r"\s": SPACE, r"\S": f"[^{SPACE_CHARS}]", r"\d": r"\p{Nd}", r"\D": r"\P{Nd}",
+    }
+    in_brackets = {r"\w": WORD_CHARS, r"\s": SPACE_CHARS, r"\d": r"\p{Nd}", r"\D": r"\P{Nd}"}
     head, rest = _split_head(pattern)
     head = quote(fold_literal(head))
     out, i, inside = [f"{head}(?<!{WORD}{head})" if head else ""], 0, False
     while i < len(rest):
         two = rest[i : i + 2]
-        if two == r"\b" and not inside:
-            out.append(edge)
-        elif two == r"\w":
-            out.append(WORD_CHARS if inside else WORD)
-        elif two == r"\s":
-            out.append(SPACE_CHARS if inside else SPACE)
-        elif two == r"\d":
-            out.append(r"\p{Nd}")
-        elif two.startswith("\\"):
-            out.append(two)
+        if two.startswith("\\"):
+            out.append((in_brackets if inside else outside).get(two, two))
         else:
             ch = rest[i]
             inside = (inside or ch == "[") and ch != "]"

@@ -184,9 +184,14 @@ def ratio_split(df: DataFrame, ratio: float, seed: int = 42, id_col: str = "id",
     return marked.withColumn(out, F.when(F.col("_in"), "train").otherwise("test")).drop("_in")
 
 
-def shuffle(df: DataFrame, seed: int = 42, id_col: str = "id") -> DataFrame:
-    """All rows in a random, reproducible order."""
-    return df.orderBy(row_hash(seed, id_col), id_col)
+def shuffle(df: DataFrame, seed: int = 42, *id_cols: str) -> DataFrame:
+    """All rows in a random, reproducible order.
+
+    ``id_cols`` (``id`` by default) name a row; for drawn rows they include ``draw``,
+    so that copies are spread and not kept together.
+    """
+    id_cols = id_cols or ("id",)
+    return df.orderBy(row_hash(seed, *id_cols), *id_cols)
 
 
 # --- class balancing ------------------------------------------------------------------
@@ -243,11 +248,15 @@ def balance_summary(df: DataFrame, category: str, n: int, categories: list[str])
 def clean_test(test: DataFrame, train: DataFrame, text: str = "text") -> DataFrame:
     """Test rows whose text does not occur in train.
 
-    Train is reduced to distinct hashes before it is shuffled; a text that fills much
-    of the test table is split by AQE, which may do so on the left of an anti join.
+    The texts that occur in both are found between distinct hashes, where a text that
+    fills much of a table is one row.  There are normally few of them, and then the test
+    rows stay where they are; otherwise the join is shuffled, and AQE splits a hot text,
+    as it may on the left of an anti join.
     """
-    seen = train.select(F.sha2(text, 256).alias("_text_hash")).distinct()
-    return test.withColumn("_text_hash", F.sha2(text, 256)).join(seen, "_text_hash", "left_anti").drop("_text_hash")
+    hashes = lambda df: df.select(F.sha2(text, 256).alias("_text_hash")).distinct()
+    leaked, few = pin_if_small(hashes(test).join(hashes(train), "_text_hash", "left_semi"))
+    hashed = test.withColumn("_text_hash", F.sha2(text, 256))
+    return hashed.join(broadcast_if(few, leaked), "_text_hash", "left_anti").drop("_text_hash")
 
 
 def union_picks(*frames: DataFrame) -> DataFrame:

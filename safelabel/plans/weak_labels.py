@@ -41,4 +41,4 @@ def balanced_training_table(labelled: DataFrame, n: int = ROWS_PER_CATEGORY, see
     """
     rows = with_winner(labelled)
     rows = balance(stage_table(rows, "labelled") if stage else rows, "category", n, seed, id_col)
-    return shuffle(rows, seed, id_col) if ordered else rows
+    return shuffle(rows, seed, id_col, "draw") if ordered else rows

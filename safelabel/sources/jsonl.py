@@ -34,7 +34,8 @@ def parse_json_lines(lines: DataFrame, schema: T.StructType | str, mode: str = "
         return rows.select("_row.*")
     bad = F.col("_row").isNull() | F.col(f"_row.{CORRUPT}").isNotNull() | ~F.startswith(strip("_line"), F.lit("{"))
     if mode == "drop":
-        return rows.filter(~bad).select("_row.*").drop(CORRUPT)
+        # A generator, as a filter would be pushed down and parse every line twice.
+        return rows.select(F.explode(F.when(~bad, F.array("_row"))).alias("_row")).select("_row.*").drop(CORRUPT)
     fields = [F.when(~F.col("_bad"), F.col(f"_row.`{f.name}`")).alias(f.name) for f in schema.fields]
     return rows.withColumn("_bad", bad).select(*fields, F.when(F.col("_bad"), F.col("_line")).alias(CORRUPT))
 

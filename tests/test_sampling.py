@@ -33,6 +33,17 @@ def test_quota_short_pool(spark):
     assert counts(out, "pick") == {"x": 3, "y": 2}
 
 
+def test_many_quotas_take_the_same_rows(spark, monkeypatch):
+    """Past the broadcast limit the quotas stay a table, with the same result."""
+    df, q = pool(spark, {"a": 60, "b": 20}), quotas(spark, [("a", "x", 7), ("a", "y", 9), ("b", "x", 20)])
+    draw = lambda: sorted((r.id, r.pick) for r in S.quota_sample(df, q, ["k"], pick="pick").collect())
+    pinned = draw()
+    monkeypatch.setattr(S, "pin_if_small", lambda frame: (frame, False))
+    assert draw() == pinned
+    with pytest.raises(S.ShortPool):
+        S.quota_sample(df, quotas(spark, [("b", "x", 21)]), ["k"])
+
+
 def test_two_quotas_on_one_key_are_disjoint(spark):
     df = pool(spark, {"a": 40})
     out = S.quota_sample(df, quotas(spark, [("a", "x", 7), ("a", "y", 9), ("a", "z", -1)]), ["k"], pick="pick")
@@ -97,15 +108,21 @@ def test_oversampling_in_blocks_is_the_same(spark, monkeypatch):
     assert ids(S.balance(df, "k", 50)) == one
 
 
-def test_clean_test(spark):
+def test_clean_test(spark, monkeypatch):
     train = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "text string")
     test = spark.createDataFrame([(1, "a"), (2, "c"), (3, "c"), (4, None)], "id int, text string")
     assert sorted(r.id for r in S.clean_test(test, train).collect()) == [2, 3, 4]
+    monkeypatch.setattr(S, "pin_if_small", lambda df: (df, False))
+    assert sorted(r.id for r in S.clean_test(test, train).collect()) == [2, 3, 4]
 
 
 def test_shuffle_orders_by_hash(spark):
     rows = [r.id for r in S.shuffle(pool(spark, {"a": 50}), 3).collect()]
-    assert rows != sorted(rows) and rows == [r.id for r in S.shuffle(pool(spark, {"a": 50}, 1), 3).collect()]
+    assert rows != sorted(rows)
+    copies = spark.range(10).selectExpr("id", "explode(sequence(1, 30)) AS draw")
+    order = [r.id for r in S.shuffle(copies, 3, "id", "draw").collect()]
+    assert sum(a == b for a, b in zip(order, order[1:])) < 100  # copies are not kept together
+    assert rows == [r.id for r in S.shuffle(pool(spark, {"a": 50}, 1), 3).collect()]
 
 
 def test_one_hot_key_is_never_gathered(spark):

@@ -11,6 +11,7 @@ from safelabel.session import collect_config, scratch_root, spread
 from safelabel.sources.jsonl import read_jsonl
 from safelabel.sources.sinks import write_jsonl, write_predictions, write_split
 from safelabel.sources.tables import read_parquet_with_id, read_table
+from tests.helpers import optimized
 
 FAILURES = (PySparkException, Py4JJavaError)
 SCHEMA = "id bigint, text string, n double"
@@ -30,6 +31,10 @@ def test_tolerant_scan(spark, lines):
     assert df.count() == 3 and df.filter("id = 1").first().text == "অ"
 
 
+def test_lines_are_parsed_once(spark, lines):
+    assert optimized(read_jsonl(spark, lines, SCHEMA)).count("from_json(") == 1
+
+
 def test_kept_rejects(spark, lines):
     df = read_jsonl(spark, lines, SCHEMA, "keep")
     counts = reject_summary(with_rejects(df, F.col("_corrupt_record").isNotNull())).first()

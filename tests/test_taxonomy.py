@@ -39,6 +39,7 @@ EDGE_ROWS = [
     ("S7", "word", "IP"), ("S8", "stem", "naïve"), ("S9", "phrase", r"\bgo\s+die\b"), ("S9", "phrase", r"\bkill\w*\s+myself"),
     ("S10", "phrase", r"\bcolou?r\b"), ("S11", "phrase", r"\bto\s+die\b|\bmyself\b"), ("S12", "phrase", r"ar\b"), ("S13", "stem", "w"),
     ("S14", "phrase", r"\bp\w*\s+abus\w*"), ("S15", "word", "KNIFE"), ("S16", "phrase", r"\d"), ("S16", "phrase", r"\d"),
+    ("S17", "phrase", r"\bwar+s?\b"), ("S17", "phrase", r"\bki+ll\w*"), ("S17", "phrase", r"\Bar\W"), ("S17", "phrase", r"[\s,]abus\S+\D"), ("S17", "phrase", r"\bself[^\w]harm"), ("S17", "phrase", r"\bharmed|stab\B"),
 ]
 
 
