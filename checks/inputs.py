@@ -7,6 +7,7 @@ derived from row ids with md5: the hex digits of a row decide which variant it s
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,7 +34,8 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def lexicon_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(EXAMPLE_LEXICON, "language string, term string")
+    columns = [list(c) for c in zip(*EXAMPLE_LEXICON)]
+    return spark.createDataFrame(pa.table(columns, names=["language", "term"]))
 
 
 def digit(salt: str, at: int = 1, id_col: str = "doc_id") -> Column:
