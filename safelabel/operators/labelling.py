@@ -37,7 +37,8 @@ def label_coverage(df: DataFrame, vec: str = VECTOR) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("total_rows"), F.count_if(total(F.col(vec)) == 0).alias("unlabelled_rows"))
 
 
-def propagate_labels(df: DataFrame, language_columns: dict[str, str], vec: str = VECTOR, source: str | None = None) -> DataFrame:
+def propagate_labels(df: DataFrame, language_columns: dict[str, str], vec: str = VECTOR, source: str | None = None,
+                     harm: str = "harmful") -> DataFrame:
     """One row per translation, carrying the label of the English response.
 
     The text is the prompt of the translation; a translation that is missing or too
@@ -54,6 +55,6 @@ def propagate_labels(df: DataFrame, language_columns: dict[str, str], vec: str =
     keep = [c for c in df.columns if c not in owned]
     rows = df.select(*keep, F.inline(present))
     rows = rows.withColumn("source", F.lit(source)) if source else rows
-    return (rows.withColumn("harmful", harm_flag(vec))
+    return (rows.withColumn(harm, harm_flag(vec))
             .withColumn("safety_categories", category_list(vec))
             .withColumn("safety_distribution", vector_to_map(vec)))

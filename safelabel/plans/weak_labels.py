@@ -15,10 +15,15 @@ from safelabel.session import stage_table
 
 
 def label_dialogues(dialogues: DataFrame, taxonomy: Taxonomy, english: str = "eng_Latn",
-                    language_columns: dict[str, str] = DIALOGUE_COLUMNS, source: str | None = None) -> DataFrame:
-    """Labelled rows of all translations.  One narrow stage, no shuffle."""
+                    language_columns: dict[str, str] = DIALOGUE_COLUMNS, source: str | None = None,
+                    harm: str = "harmful") -> DataFrame:
+    """Labelled rows of all translations.  One narrow stage, no shuffle.
+
+    ``harm`` names the column of the harm flag; ``catalog.HARM_COLUMN`` is its key in
+    JSON-lines files.
+    """
     labelled = keep_labelled(with_dialogue_vector(dialogues, taxonomy, english))
-    return propagate_labels(labelled.drop(english), language_columns, source=source).drop(VECTOR)
+    return propagate_labels(labelled.drop(english), language_columns, source=source, harm=harm).drop(VECTOR)
 
 
 def with_winner(labelled: DataFrame, distribution: str = "safety_distribution", out: str = "category") -> DataFrame:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from checks import inputs
 from checks.scans import DOC_SCHEMA
-from safelabel.catalog import BINARY_TEMPLATE, few_shot_template
+from safelabel.catalog import BINARY_TEMPLATE, HARM_COLUMN, few_shot_template
 from safelabel.functions.lexicon import Lexicon
 from safelabel.functions.taxonomy import Taxonomy
 from safelabel.operators import profanity as P
@@ -84,6 +84,10 @@ def test_label_dialogues(spark):
     assert sorted((r.id, r.language, r.text) for r in out) == [(1, "bn", "bn"), (1, "ml", "ml")]
     assert {(r.harmful, r.safety_categories, r.source) for r in out} == {("1", "S1 S2", "src")}
     assert out[0].safety_distribution["S1"] == 0.5 and len(out[0].safety_distribution) == 17
+    named = label_dialogues(spark.createDataFrame(DIALOGUES, DIALOGUE_SCHEMA), TAX, source="src", harm=HARM_COLUMN)
+    flagged = binary_table(named, Lexicon(LEX)).withColumn("id", F.concat_ws("-", "id", "language"))
+    quotas = spark.createDataFrame([("src", "bn", 1), ("src", "ml", 1)], "source string, language string, quota int")
+    assert {(r.text, r.label) for r in sampled_pairs(flagged, quotas).collect()} == {("bn", "UNSAFE"), ("ml", "UNSAFE")}
     with pytest.raises(ValueError):
         propagate_labels(spark.createDataFrame([([0.0],)], "category_vector array<double>"), {"bn": "nope"})
 
