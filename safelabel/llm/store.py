@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -31,5 +31,17 @@ def broadcast_if_small(frame: DataFrame, rows: int, limit: int) -> DataFrame:
     return F.broadcast(frame) if rows <= limit else frame
 
 
+#: Stands for a missing id while rows are in pandas, where a null would turn ids into floats.
+NO_ID = -(1 << 63)
+
+
+def named(column: str) -> Column:
+    return F.coalesce(F.col(column).cast("long"), F.lit(NO_ID)).alias(column)
+
+
+def unnamed(frame: DataFrame, column: str) -> DataFrame:
+    return frame.withColumn(column, F.when(F.col(column) != NO_ID, F.col(column)))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from safelabel.llm.hashing import batches, encoded, mix, stream
-from safelabel.llm.store import broadcast_if_small, written
+from safelabel.llm.store import broadcast_if_small, named, unnamed, written
 
 _U = np.uint64
 GRAM = 32
@@ -275,8 +275,8 @@ def marks(rows: DataFrame, length: int) -> DataFrame:
         per_row = written(per_row)
         ids = per_row.select("row")
         held = rows.join(broadcast_if_small(ids, ids.count(), BROADCAST_IDS), "row", "left_semi")
-        named = held.join(per_row, "row").select("text", "wanted")
-        cut = written(named.mapInPandas(lambda fs: _cut_segments(fs, length), bytes_spec))
+        chosen = held.join(per_row, "row").select("text", "wanted")
+        cut = written(chosen.mapInPandas(lambda fs: _cut_segments(fs, length), bytes_spec))
         hot = anchors.where(F.col("bytes") > HOT_BYTES).select("anchor")
         calm = anchors.where(F.col("bytes") <= HOT_BYTES).select("anchor")
         buckets = max(12, total // BUCKET_BYTES)
@@ -332,4 +332,21 @@ def _digest(frames: Iterator[pd.DataFrame], length: int) -> Iterator[pd.DataFram
 def removal_report(documents: DataFrame, length: int = 400) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every document."""
     joined = with_spans(documents.select("doc_id", "text"), length)
-    return joined.mapInPandas(lambda fs: _digest(fs, length), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    spec = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    return unnamed(joined.withColumn("doc_id", named("doc_id")).mapInPandas(lambda fs: _digest(fs, length), spec), "doc_id")
+
+
+def _without(frames: Iterator[pd.DataFrame], length: int) -> Iterator[pd.DataFrame]:
+    for frame in frames:
+        kept = [b"".join(_kept(encoded(t), s, length)[0]).decode("utf-8", "ignore") for t, s in zip(frame["text"], frame["_spans"], strict=True)]
+        yield frame.drop(columns="_spans").assign(text=kept, n_chars=[len(t) for t in kept])
+
+
+def remove_repeats(documents: DataFrame, length: int = 400) -> DataFrame:
+    """The documents without the repeated bytes, ``n_chars`` counted anew; other columns and all rows stay.
+
+    A character of which only some bytes are removed goes with them.
+    """
+    joined = with_spans(documents, length)
+    touched = joined.where("_spans is not null").mapInPandas(lambda fs: _without(fs, length), documents.schema)
+    return joined.where("_spans is null").select(documents.columns).union(touched.select(documents.columns))
