@@ -32,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from safelabel.llm.graph import components
@@ -46,7 +46,7 @@ HEAVY = 48
 PAIRS_UP_TO = 24
 MARK = 0x3FFF
 BROADCAST_IDS = 2_000_000
-FOUND = "kind int, a long, b long, n int"
+FOUND = "kind int, a long, b long, n int, role int"
 SIZE, PAIR, MEMBER = 0, 1, 2
 
 
@@ -161,8 +161,8 @@ def sign(frames: Iterator[pd.DataFrame], buckets: int) -> Iterator[pd.DataFrame]
             heavy = np.repeat(count > HEAVY, count)
             for a in np.flatnonzero(count > HEAVY):
                 own = entry[start[a] : start[a] + count[a]]
-                at = np.unique((own >> _U(3)).astype(np.int64) & MARK)
-                rows.append((-1, block.ids[at].tobytes(), block.size[at].astype(np.int32).tobytes(), np.uint64(own[0] >> _U(17)).tobytes()))
+                at = (own >> _U(3)).astype(np.int64) & MARK
+                rows.append((-1, block.ids[at].tobytes(), block.size[at].astype(np.int32).tobytes(), own.tobytes()))
             marks = start[count > HEAVY]
             bucket = np.concatenate([bucket[~heavy], bucket[marks]])
             entry = np.concatenate([entry[~heavy], key[marks] << _U(17) | _U(MARK << 3)])
@@ -209,9 +209,9 @@ def match(frame: pd.DataFrame) -> pd.DataFrame:
         ids = np.concatenate([np.frombuffer(x, np.int64) for x in frame["ids"]])
         sizes = np.concatenate([np.frombuffer(x, np.int32) for x in frame["sizes"]])
         if frame["bucket"].iloc[0] == -2:
-            return pd.DataFrame({"kind": SIZE, "a": ids, "b": 0, "n": sizes})
-        group = np.repeat([np.frombuffer(x, np.int64)[0] for x in frame["entries"]], [len(x) // 8 for x in frame["ids"]])
-        return pd.DataFrame({"kind": MEMBER, "a": group, "b": ids, "n": sizes})
+            return pd.DataFrame({"kind": SIZE, "a": ids, "b": 0, "n": sizes, "role": 0})
+        entry = np.concatenate([np.frombuffer(x, _U) for x in frame["entries"]])
+        return pd.DataFrame({"kind": MEMBER, "a": (entry >> _U(17)).astype(np.int64), "b": ids, "n": sizes, "role": (entry & _U(7)).astype(np.int64)})
     ids = np.concatenate([np.frombuffer(x, np.int64) for x in frame["ids"]])
     sizes = np.concatenate([np.frombuffer(x, np.int32) for x in frame["sizes"]])
     shift = np.concatenate([[0], np.cumsum([len(x) // 8 for x in frame["ids"]])])
@@ -234,13 +234,14 @@ def match(frame: pd.DataFrame) -> pd.DataFrame:
     key, size, name, role, marked = key[order], size[order], name[order], role[order], marked[order]
     start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
     count = np.diff(np.append(start, len(key)))
-    large = np.repeat((count > PAIRS_UP_TO) | marked[start] if len(start) else np.zeros(0, bool), count)
+    hot = marked[start] if len(start) else np.zeros(0, bool)
+    large = np.repeat((count > PAIRS_UP_TO) | hot, count)
+    # A group in which none asks for partners links nothing; one that is hot elsewhere may be asked there.
+    asked = np.repeat(hot | (np.maximum.reduceat(role & 3, start) > 0), count) if len(start) else np.zeros(0, bool)
     out = []
-    one = large & ~marked
+    one = large & asked & ~marked
     if one.any():
-        again = np.concatenate([[False], (key[1:] == key[:-1]) & (name[1:] == name[:-1])])
-        one &= ~again
-        out.append(pd.DataFrame({"kind": MEMBER, "a": key[one].astype(np.int64), "b": name[one], "n": size[one]}))
+        out.append(pd.DataFrame({"kind": MEMBER, "a": key[one].astype(np.int64), "b": name[one], "n": size[one], "role": role[one]}))
     key, size, name, role = key[~large], size[~large], name[~large], role[~large]
     pairs = []
     for k in range(1, PAIRS_UP_TO):
@@ -255,8 +256,15 @@ def match(frame: pd.DataFrame) -> pd.DataFrame:
         pairs = np.concatenate(pairs, axis=1)
         pairs.sort(axis=0)
         pairs = np.unique(pairs, axis=1)
-        out.append(pd.DataFrame({"kind": PAIR, "a": pairs[0], "b": pairs[1], "n": 0}))
-    return pd.concat(out) if out else pd.DataFrame({"kind": [], "a": [], "b": [], "n": []})
+        out.append(pd.DataFrame({"kind": PAIR, "a": pairs[0], "b": pairs[1], "n": 0, "role": 0}))
+    return pd.concat(out) if out else pd.DataFrame({c: [] for c in ("kind", "a", "b", "n", "role")})
+
+
+def _asks(n: str, doc: str, role: str) -> Column:
+    """Whether the row's set, the larger one, asks for the other under this signature, and sizes let them link."""
+    return F.expr(
+        f"(n > {n} or n = {n} and doc > {doc}) and 4 * {n} >= 3 * n"
+        f" and shiftright(role, 2) + shiftright({role}, 2) < 2 and role % 4 > shiftright(role, 2) + shiftright({role}, 2)")
 
 
 def _verify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -302,9 +310,10 @@ def near_copies(documents: DataFrame) -> DataFrame:
     )
     sizes = found.where(f"kind = {SIZE}").select(F.col("a").alias("rep"), F.col("n").cast("long").alias("n_shingles"))
 
-    groups = found.where(f"kind = {MEMBER}").select(F.col("a").alias("g"), F.col("b").alias("doc"), "n").distinct()
-    star = groups.join(groups.groupBy("g").agg(F.min_by("doc", F.struct("n", "doc")).alias("c"), F.min("n").alias("least")), "g")
-    star = star.where("doc <> c and 4 * least >= 3 * n").select(F.least("doc", "c").alias("a"), F.greatest("doc", "c").alias("b"))
+    groups = found.where(f"kind = {MEMBER}").select(F.col("a").alias("g"), F.col("b").alias("doc"), "n", "role").distinct()
+    asked = groups.groupBy("g").agg(F.max(F.col("role").bitwiseAND(3)).alias("most"), F.count("*").alias("k"), F.min(F.struct("n", "doc", "role")).alias("c"))
+    groups = written(groups.join(asked.where("most > 0 and k > 1"), "g").select("g", "doc", "n", "role", "c"))
+    star = groups.where(_asks("c.n", "c.doc", "c.role")).select(F.least("doc", "c.doc").alias("a"), F.greatest("doc", "c.doc").alias("b"))
     pairs = written(found.where(f"kind = {PAIR}").select("a", "b").union(star).distinct())
 
     # First, each document with the smallest one it may link with.
@@ -316,12 +325,12 @@ def near_copies(documents: DataFrame) -> DataFrame:
     in_b = label.select(F.col("doc").alias("b"), F.col("component").alias("cb"))
     across = pairs.join(in_a, "a", "left").join(in_b, "b", "left").where("coalesce(ca, a) <> coalesce(cb, b)").select("a", "b")
     # Members of one group that lie in different components.
-    named = groups.join(label, "doc", "left").select("g", "doc", "n", F.coalesce("component", "doc").alias("c"))
+    named = groups.join(label, "doc", "left").select("g", "doc", "n", "role", F.coalesce("component", "doc").alias("c"))
     divided = named.groupBy("g").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high")
-    mixed = written(named.join(divided, "g").select("g", "doc", "n", "c"))
-    other = mixed.select("g", F.col("doc").alias("doc2"), F.col("n").alias("n2"), F.col("c").alias("c2"))
-    rest = mixed.join(other, "g").where("c < c2 and 4 * least(n, n2) >= 3 * greatest(n, n2)")
-    rest = rest.select(F.least("doc", "doc2").alias("a"), F.greatest("doc", "doc2").alias("b"))
+    mixed = written(named.join(divided, "g").select("g", "doc", "n", "role", "c"))
+    other = mixed.select("g", *[F.col(x).alias(f"other_{x}") for x in ("doc", "n", "role", "c")])
+    rest = mixed.where("role % 4 > 0").join(other, "g").where("c <> other_c").where(_asks("other_n", "other_doc", "other_role"))
+    rest = rest.select(F.least("doc", "other_doc").alias("a"), F.greatest("doc", "other_doc").alias("b")).distinct()
     remaining = written(across.union(rest).distinct().join(nearest, ["a", "b"], "left_anti"))
     if not remaining.isEmpty():
         parts = components(written(links.union(verified(remaining, source))))

@@ -33,8 +33,8 @@ COMMON = {
     "es": ["de", "la", "que", "el", "en", "y", "a", "los", "se", "del"],
 }
 SYMBOLS = "#*$%&|<>"
-MIN_CHARS, MIN_WORDS = 200, 60
-MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.25, 0.60
+MIN_CHARS, MIN_WORDS = 400, 100
+MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.30, 0.22
 BASE_MIN_WORDS, BASE_REPEATED = 20, 30
 CLASSES = ["n_lower", "n_upper", "n_digit", "n_space", "n_symbols", "n_other_ascii", "n_beyond_ascii"]
 
