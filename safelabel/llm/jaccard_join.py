@@ -5,17 +5,19 @@ in at most (s + t) / 7 <= 2 t / 7 elements. For each band of sizes the universe
 into m segments. The larger set of a pair gives each segment an allowance: 0 (unused), 1
 (the segment must agree) or 2 (it may differ by one element). If the allowances add up to
 more than 2 t / 7, some segment keeps within its allowance, so no link is lost. Every set
-indexes its segments, and one-deletion neighbours of some; the larger one picks the cheapest
-segments, the cost being how often their rarest token occurs in the block of documents at
-hand. The choice changes the work, never the result.
+indexes its segments, and one-deletion neighbours of some. Allowances are given by cost, the
+number of sets that share a signature: what few share costs little and is used, and only if
+that does not add up, the cheapest of what many share. The choice changes the work, never
+the result.
 
 Steps, each a Spark job over narrow data:
 1. equal texts become one row (one shuffle of the texts, combined on the map side);
 2. each text is turned into packed signatures, dealt by hash bucket; a signature that many
    sets of a block share leaves the bucket as rows of its own, so a hot one is no hot bucket;
 3. sets that share a signature become pairs, or groups of members where there are many;
-4. each set is first compared with the smallest one it shares a signature with; links give
-   components; only pairs across components are compared after that;
+   allowances in large groups are given where they are needed;
+4. each set is first compared with the smallest one it may link with and with the first of
+   its groups; links give components; only pairs across components are compared after that;
 5. components of all verified links, and of equal texts.
 
 Comparison is exact on the sets of 64-bit shingle hashes. In bands beyond 64 elements, empty
@@ -32,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from safelabel.llm.graph import components
@@ -40,7 +42,7 @@ from safelabel.llm.hashing import batches, mix, shingle_sets, stream
 from safelabel.llm.store import broadcast_if_small, written
 
 _U = np.uint64
-FLUSH_TOKENS = 1_000_000
+FLUSH_TOKENS = 600_000
 FLUSH_DOCS = 16_000
 HEAVY = 48
 PAIRS_UP_TO = 24
@@ -71,14 +73,9 @@ class Block:
         self.ids, self.tokens, self.offsets = ids, tokens, offsets
         self.size = np.diff(offsets)
         self.value = mix(tokens + _U(0x51ED270B))
-        order = np.argsort(tokens, kind="stable")
-        ranked = tokens[order]
-        first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]])) if len(ranked) else np.zeros(0, np.int64)
-        self.often = np.empty(len(tokens), np.int64)
-        self.often[order] = np.repeat(np.diff(np.append(first, len(ranked))), np.diff(np.append(first, len(ranked))))
 
     def band(self, which: np.ndarray, top: int, probe: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(hash, place of the set, deletion?, level) of the signatures of sets ``which`` in one band."""
+        """(hash, place of the set, deletion?, largest allowance) of the signatures of sets ``which`` in one band."""
         m, deletions, empties = plan(top)
         count = self.size[which]
         begin = np.concatenate([[0], np.cumsum(count)])
@@ -88,19 +85,17 @@ class Block:
         cell = owner * m + segment  # grows along the sorted tokens
         start = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]])) if len(cell) else np.zeros(0, np.int64)
         total = np.add.reduceat(self.value[source], start) if len(start) else np.zeros(0, _U)
-        cost = np.minimum.reduceat(self.often[source], start) if len(start) else np.zeros(0, np.int64)
         cells = cell[start]
         if empties:
             lack = np.setdiff1d(np.arange(len(which) * m), cells, assume_unique=True)
             cells = np.concatenate([cells, lack])
             total = np.concatenate([total, np.zeros(len(lack), _U)])
-            cost = np.concatenate([cost, np.full(len(lack), 1 << 40)])
         salt = stream(top, m)
         whole = mix(total + salt[cells % m])
         lengths = np.diff(np.append(start, len(cell)))
         # Where empty segments are not indexed, a single element may not be the one that differs.
         double = (cells % m < deletions) & (empties | (np.append(lengths, np.zeros(len(cells) - len(lengths), np.int64)) > 1))
-        level = self.allocate(cells // m, cost, double, allowance(count) + 1) if probe else np.zeros(len(cells), np.int64)
+        level = (1 + double) * probe
         cut = np.repeat(np.arange(len(start)), lengths)
         cut_ok = (segment < deletions) & (np.repeat(lengths, lengths) > (0 if empties else 1))
         rest = mix(total[cut[cut_ok]] - self.value[source[cut_ok]] + salt[segment[cut_ok]])
@@ -110,21 +105,6 @@ class Block:
             np.concatenate([level, level[cut[cut_ok]]]),
         )
 
-    @staticmethod
-    def allocate(of: np.ndarray, cost: np.ndarray, double: np.ndarray, need: np.ndarray) -> np.ndarray:
-        """Allowance of each segment: the cheapest steps of each set until they add up to ``need``."""
-        more = np.flatnonzero(double)
-        step = np.concatenate([np.arange(len(of)), more])
-        price = np.concatenate([2 * cost, 2 * cost[more] + 1])  # the second step of a segment follows its first
-        owner = of[step]
-        order = np.lexsort((step, price, owner))
-        owner = owner[order]
-        begin = np.searchsorted(owner, np.arange(len(need)))
-        chosen = order[np.arange(len(order)) - begin[owner] < need[owner]]
-        level = np.zeros(len(of), np.int64)
-        np.add.at(level, step[chosen], 1)
-        return level
-
     def signatures(self) -> tuple[np.ndarray, ...]:
         """All bands: each set in its own, and for larger partners in the next where they reach there."""
         out = []
@@ -148,9 +128,12 @@ def sign(frames: Iterator[pd.DataFrame], buckets: int) -> Iterator[pd.DataFrame]
         tokens = np.concatenate([p[0] for p in parts])
         sizes = np.concatenate([np.diff(p[1]) for p in parts])
         block = Block(np.array(ids, np.int64), tokens, np.concatenate([[0], np.cumsum(sizes)]))
-        rows = [(-2, block.ids.tobytes(), block.size.astype(np.int32).tobytes(), b"")]
+        room = np.zeros(len(ids), np.int64)
         if len(tokens):
             hashed, place, cut, level = block.signatures()
+            np.add.at(room, place[~cut], level[~cut])
+        rows = [(-2, block.ids.tobytes(), block.size.astype(np.int32).tobytes(), room.tobytes())]
+        if len(tokens):
             bucket = (mix(hashed + _U(77)) % _U(buckets)).astype(np.int64)
             entry = (hashed >> _U(17) << _U(17)) | (place.astype(_U) << _U(3)) | (cut.astype(_U) << _U(2)) | level.astype(_U)
             order = np.lexsort((entry, bucket))
@@ -209,7 +192,8 @@ def match(frame: pd.DataFrame) -> pd.DataFrame:
         ids = np.concatenate([np.frombuffer(x, np.int64) for x in frame["ids"]])
         sizes = np.concatenate([np.frombuffer(x, np.int32) for x in frame["sizes"]])
         if frame["bucket"].iloc[0] == -2:
-            return pd.DataFrame({"kind": SIZE, "a": ids, "b": 0, "n": sizes, "role": 0})
+            room = np.concatenate([np.frombuffer(x, np.int64) for x in frame["entries"]])
+            return pd.DataFrame({"kind": SIZE, "a": ids, "b": room, "n": sizes, "role": 0})
         entry = np.concatenate([np.frombuffer(x, _U) for x in frame["entries"]])
         return pd.DataFrame({"kind": MEMBER, "a": (entry >> _U(17)).astype(np.int64), "b": ids, "n": sizes, "role": (entry & _U(7)).astype(np.int64)})
     ids = np.concatenate([np.frombuffer(x, np.int64) for x in frame["ids"]])
@@ -236,10 +220,8 @@ def match(frame: pd.DataFrame) -> pd.DataFrame:
     count = np.diff(np.append(start, len(key)))
     hot = marked[start] if len(start) else np.zeros(0, bool)
     large = np.repeat((count > PAIRS_UP_TO) | hot, count)
-    # A group in which none asks for partners links nothing; one that is hot elsewhere may be asked there.
-    asked = np.repeat(hot | (np.maximum.reduceat(role & 3, start) > 0), count) if len(start) else np.zeros(0, bool)
     out = []
-    one = large & asked & ~marked
+    one = large & ~marked
     if one.any():
         out.append(pd.DataFrame({"kind": MEMBER, "a": key[one].astype(np.int64), "b": name[one], "n": size[one], "role": role[one]}))
     key, size, name, role = key[~large], size[~large], name[~large], role[~large]
@@ -293,6 +275,37 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.join(left, "b").join(right, "a").select("a", "b", "left", "right").mapInPandas(_verify, "a long, b long")
 
 
+def _pair(x: str, y: str, side: str) -> Column:
+    return (F.least(x, y) if side == "a" else F.greatest(x, y)).alias(side)
+
+
+def _named(groups: DataFrame, parts: DataFrame) -> DataFrame:
+    label = parts.select(F.col("node").alias("doc"), "component")
+    return groups.join(label, "doc", "left").select("g", "doc", "n", "role", F.coalesce("component", "doc").alias("c"))
+
+
+def allotted(found: DataFrame) -> DataFrame:
+    """Members (g, doc, n, role) of large groups, with allowances in ``role`` where a set has to ask there.
+
+    All steps of a set in small groups are used, at their small cost. What is missing of its
+    sum of allowances is made up by the segments of its smallest large groups; if those do
+    not suffice, by all it has.
+    """
+    members = found.where(f"kind = {MEMBER}").select(F.col("a").alias("g"), F.col("b").alias("doc"), "n", "role").distinct()
+    counted = written(members.join(members.groupBy("g").agg(F.count("*").alias("k")).where("k > 1"), "g"))
+    room = found.where(f"kind = {SIZE}").select(F.col("a").alias("doc"), F.col("b").alias("room"))
+    whole = "role in (1, 2)"
+    lost = counted.groupBy("doc").agg(
+        F.expr(f"sum(case when {whole} then role when role > 4 then 1 else 0 end)").alias("lost"), F.expr(f"count_if({whole})").alias("segments"), F.max("n").alias("t"))
+    lack = lost.join(room, "doc").select("doc", "segments", F.expr("div(2 * t, 7) + 1 - (room - lost)").alias("lack")).where("lack > 0")
+    ranked = counted.join(lack, "doc", "left").withColumn(
+        "place", F.row_number().over(Window.partitionBy("doc", F.expr(whole)).orderBy("k", "g")))
+    level = f"case when lack is null then 0 when segments < lack then role % 4 when {whole} and place <= lack then 1 else 0 end"
+    told = written(ranked.select("g", "doc", "n", F.expr(f"shiftright(role, 2) * 4 + {level}").cast("int").alias("role")))
+    asked = told.groupBy("g").agg(F.max(F.col("role") % 4).alias("most")).where("most > 0")
+    return written(told.join(asked.select("g"), "g", "left_semi"))
+
+
 def near_copies(documents: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, representative) of every document; see the module."""
     source = documents.where("doc_id is not null").select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
@@ -310,28 +323,37 @@ def near_copies(documents: DataFrame) -> DataFrame:
     )
     sizes = found.where(f"kind = {SIZE}").select(F.col("a").alias("rep"), F.col("n").cast("long").alias("n_shingles"))
 
-    groups = found.where(f"kind = {MEMBER}").select(F.col("a").alias("g"), F.col("b").alias("doc"), "n", "role").distinct()
-    asked = groups.groupBy("g").agg(F.max(F.col("role").bitwiseAND(3)).alias("most"), F.count("*").alias("k"), F.min(F.struct("n", "doc", "role")).alias("c"))
-    groups = written(groups.join(asked.where("most > 0 and k > 1"), "g").select("g", "doc", "n", "role", "c"))
-    star = groups.where(_asks("c.n", "c.doc", "c.role")).select(F.least("doc", "c.doc").alias("a"), F.greatest("doc", "c.doc").alias("b"))
-    pairs = written(found.where(f"kind = {PAIR}").select("a", "b").union(star).distinct())
+    groups = allotted(found)
+    pairs = written(found.where(f"kind = {PAIR}").select("a", "b").distinct())
 
-    # First, each document with the smallest one it may link with.
-    nearest = written(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
-    links = written(verified(nearest, source))
+    # First, each document with the smallest one it may link with, and members of a group with its first.
+    first_of = groups.groupBy("g").agg(F.min(F.struct("doc", "n")).alias("c"))
+    star = groups.join(first_of, "g").where("doc <> c.doc and 4 * least(n, c.n) >= 3 * greatest(n, c.n)")
+    nearest = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    tried = written(nearest.union(star.select(_pair("doc", "c.doc", "a"), _pair("doc", "c.doc", "b"))).distinct())
+    links = written(verified(tried, source))
     parts = written(components(links))
+    # Then members with the first of another component in the group.
+    named = _named(groups, parts)
+    other = named.join(named.groupBy("g").agg(F.min_by("c", "doc").alias("low")), "g").where("c <> low").groupBy("g").agg(F.min(F.struct("doc", "n", "c")).alias("c2"))
+    star = named.join(other, "g").where("c <> c2.c and 4 * least(n, c2.n) >= 3 * greatest(n, c2.n)")
+    again = written(star.select(_pair("doc", "c2.doc", "a"), _pair("doc", "c2.doc", "b")).distinct().join(tried, ["a", "b"], "left_anti"))
+    if not again.isEmpty():
+        links = written(links.union(verified(again, source)))
+        parts = written(components(links))
+        tried = tried.union(again)
+    # Last, all that is left across components.
     label = parts.select(F.col("node").alias("doc"), "component")
     in_a = label.select(F.col("doc").alias("a"), F.col("component").alias("ca"))
     in_b = label.select(F.col("doc").alias("b"), F.col("component").alias("cb"))
     across = pairs.join(in_a, "a", "left").join(in_b, "b", "left").where("coalesce(ca, a) <> coalesce(cb, b)").select("a", "b")
-    # Members of one group that lie in different components.
-    named = groups.join(label, "doc", "left").select("g", "doc", "n", "role", F.coalesce("component", "doc").alias("c"))
+    named = _named(groups, parts)
     divided = named.groupBy("g").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high")
     mixed = written(named.join(divided, "g").select("g", "doc", "n", "role", "c"))
     other = mixed.select("g", *[F.col(x).alias(f"other_{x}") for x in ("doc", "n", "role", "c")])
     rest = mixed.where("role % 4 > 0").join(other, "g").where("c <> other_c").where(_asks("other_n", "other_doc", "other_role"))
-    rest = rest.select(F.least("doc", "other_doc").alias("a"), F.greatest("doc", "other_doc").alias("b")).distinct()
-    remaining = written(across.union(rest).distinct().join(nearest, ["a", "b"], "left_anti"))
+    rest = rest.select(_pair("doc", "other_doc", "a"), _pair("doc", "other_doc", "b")).distinct()
+    remaining = written(across.union(rest).distinct().join(tried, ["a", "b"], "left_anti"))
     if not remaining.isEmpty():
         parts = components(written(links.union(verified(remaining, source))))
     named = first.select("print", "rep").join(sizes, "rep", "left").join(parts.select(F.col("node").alias("rep"), "component"), "rep", "left")
