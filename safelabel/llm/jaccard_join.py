@@ -48,7 +48,9 @@ HEAVY = 48
 PAIRS_UP_TO = 24
 MARK = 0x3FFF
 BROADCAST_IDS = 2_000_000
-FOUND = "kind int, a long, b long, n int, role int"
+FOUND = "kind int, a long, b long, n int, role int, cells binary"
+CELLS = 128
+BLOCK_MEMBERS = 2_048
 SIZE, PAIR, MEMBER = 0, 1, 2
 
 
@@ -105,6 +107,11 @@ class Block:
             np.concatenate([level, level[cut[cut_ok]]]),
         )
 
+    def cells(self) -> np.ndarray:
+        """How many elements of each set fall into each of ``CELLS`` cells of the universe, up to 255."""
+        at = np.repeat(np.arange(len(self.size)), self.size) * CELLS + (self.value % _U(CELLS)).astype(np.int64)
+        return np.minimum(np.bincount(at, minlength=len(self.size) * CELLS), 255).astype(np.uint8)
+
     def signatures(self) -> tuple[np.ndarray, ...]:
         """All bands: each set in its own, and for larger partners in the next where they reach there."""
         out = []
@@ -132,7 +139,7 @@ def sign(frames: Iterator[pd.DataFrame], buckets: int) -> Iterator[pd.DataFrame]
         if len(tokens):
             hashed, place, cut, level = block.signatures()
             np.add.at(room, place[~cut], level[~cut])
-        rows = [(-2, block.ids.tobytes(), block.size.astype(np.int32).tobytes(), room.tobytes())]
+        rows = [(-2, block.ids.tobytes(), block.size.astype(np.int32).tobytes(), room.tobytes() + block.cells().tobytes())]
         if len(tokens):
             bucket = (mix(hashed + _U(77)) % _U(buckets)).astype(np.int64)
             entry = (hashed >> _U(17) << _U(17)) | (place.astype(_U) << _U(3)) | (cut.astype(_U) << _U(2)) | level.astype(_U)
@@ -192,10 +199,12 @@ def match(frame: pd.DataFrame) -> pd.DataFrame:
         ids = np.concatenate([np.frombuffer(x, np.int64) for x in frame["ids"]])
         sizes = np.concatenate([np.frombuffer(x, np.int32) for x in frame["sizes"]])
         if frame["bucket"].iloc[0] == -2:
-            room = np.concatenate([np.frombuffer(x, np.int64) for x in frame["entries"]])
-            return pd.DataFrame({"kind": SIZE, "a": ids, "b": room, "n": sizes, "role": 0})
+            counts = [len(x) // 8 for x in frame["ids"]]
+            room = np.concatenate([np.frombuffer(x[: 8 * n], np.int64) for x, n in zip(frame["entries"], counts, strict=True)])
+            cells = [x[8 * n + k * CELLS : 8 * n + (k + 1) * CELLS] for x, n in zip(frame["entries"], counts, strict=True) for k in range(n)]
+            return pd.DataFrame({"kind": SIZE, "a": ids, "b": room, "n": sizes, "role": 0, "cells": cells})
         entry = np.concatenate([np.frombuffer(x, _U) for x in frame["entries"]])
-        return pd.DataFrame({"kind": MEMBER, "a": (entry >> _U(17)).astype(np.int64), "b": ids, "n": sizes, "role": (entry & _U(7)).astype(np.int64)})
+        return pd.DataFrame({"kind": MEMBER, "a": (entry >> _U(17)).astype(np.int64), "b": ids, "n": sizes, "role": (entry & _U(7)).astype(np.int64), "cells": None})
     ids = np.concatenate([np.frombuffer(x, np.int64) for x in frame["ids"]])
     sizes = np.concatenate([np.frombuffer(x, np.int32) for x in frame["sizes"]])
     shift = np.concatenate([[0], np.cumsum([len(x) // 8 for x in frame["ids"]])])
@@ -223,7 +232,7 @@ def match(frame: pd.DataFrame) -> pd.DataFrame:
     out = []
     one = large & ~marked
     if one.any():
-        out.append(pd.DataFrame({"kind": MEMBER, "a": key[one].astype(np.int64), "b": name[one], "n": size[one], "role": role[one]}))
+        out.append(pd.DataFrame({"kind": MEMBER, "a": key[one].astype(np.int64), "b": name[one], "n": size[one], "role": role[one], "cells": None}))
     key, size, name, role = key[~large], size[~large], name[~large], role[~large]
     pairs = []
     for k in range(1, PAIRS_UP_TO):
@@ -233,20 +242,38 @@ def match(frame: pd.DataFrame) -> pd.DataFrame:
         high = low + k
         cuts = (role[low] >> 2) + (role[high] >> 2)
         fits = (name[low] != name[high]) & (cuts < 2) & ((role[high] & 3) >= 1 + cuts) & _linkable(size[low], size[high])
-        pairs.append(np.stack([name[low[fits]], name[high[fits]]]))
+        # The later one is the larger; segments that agree count as many steps as they may be given.
+        pairs.append(np.stack([name[low[fits]], name[high[fits]], np.where(cuts[fits] > 0, 1, role[high[fits]] & 3)]))
     if pairs:
-        pairs = np.concatenate(pairs, axis=1)
-        pairs.sort(axis=0)
-        pairs = np.unique(pairs, axis=1)
-        out.append(pd.DataFrame({"kind": PAIR, "a": pairs[0], "b": pairs[1], "n": 0, "role": 0}))
-    return pd.concat(out) if out else pd.DataFrame({c: [] for c in ("kind", "a", "b", "n", "role")})
+        low, high, steps = np.concatenate(pairs, axis=1)
+        order = np.lexsort((low, high))
+        low, high, steps = low[order], high[order], steps[order]
+        start = np.flatnonzero(np.concatenate([[True], (low[1:] != low[:-1]) | (high[1:] != high[:-1])])) if len(low) else np.zeros(0, np.int64)
+        steps = np.add.reduceat(steps, start) if len(start) else steps
+        out.append(pd.DataFrame({"kind": PAIR, "a": low[start], "b": high[start], "n": steps, "role": 0, "cells": None}))
+    return pd.concat(out) if out else pd.DataFrame({c: [] for c in ("kind", "a", "b", "n", "role", "cells")})
+
 
+def near_members(frame: pd.DataFrame) -> pd.DataFrame:
+    """Pairs of a group, or of two blocks of one, that may link: asked for, in different components, cells near enough.
 
-def _asks(n: str, doc: str, role: str) -> Column:
-    """Whether the row's set, the larger one, asks for the other under this signature, and sizes let them link."""
-    return F.expr(
-        f"(n > {n} or n = {n} and doc > {doc}) and 4 * {n} >= 3 * n"
-        f" and shiftright(role, 2) + shiftright({role}, 2) < 2 and role % 4 > shiftright(role, 2) + shiftright({role}, 2)")
+    Cells that differ by a total of d mean sets that differ in d elements or more.
+    """
+    frame = frame.sort_values(["n", "doc"], ignore_index=True)
+    n, doc, role, c, block = (frame[x].to_numpy() for x in ("n", "doc", "role", "c", "block"))
+    cells = np.frombuffer(b"".join(frame["cells"]), np.uint8).reshape(-1, CELLS).astype(np.int16)
+    crossing = frame["low"].iat[0] != frame["high"].iat[0]
+    out = []
+    for i in np.flatnonzero(role & 3):
+        start = int(np.searchsorted(n, -(-3 * n[i] // 4)))
+        y = np.arange(start, i)
+        cuts = (role[i] >> 2) + (role[y] >> 2)
+        y = y[(c[y] != c[i]) & (doc[y] != doc[i]) & (cuts < 2) & ((role[i] & 3) > cuts)]
+        y = y[block[y] != block[i]] if crossing else y
+        y = y[np.abs(cells[y] - cells[i]).sum(axis=1) <= (n[y] + n[i]) // 7]
+        out.append(np.stack([np.minimum(doc[y], doc[i]), np.maximum(doc[y], doc[i])]))
+    pairs = np.unique(np.concatenate(out, axis=1), axis=1) if out else np.zeros((2, 0), np.int64)
+    return pd.DataFrame({"a": pairs[0], "b": pairs[1]})
 
 
 def _verify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -284,6 +311,26 @@ def _named(groups: DataFrame, parts: DataFrame) -> DataFrame:
     return groups.join(label, "doc", "left").select("g", "doc", "n", "role", F.coalesce("component", "doc").alias("c"))
 
 
+def _losses(members: DataFrame) -> DataFrame:
+    """(doc, lost, segments, t): steps of each set that fall into large groups, at most."""
+    whole = "role in (1, 2)"
+    return members.groupBy("doc").agg(
+        F.expr(f"sum(case when {whole} then role when role > 4 then 1 else 0 end)").alias("lost"), F.expr(f"count_if({whole})").alias("segments"), F.max("n").alias("t"))
+
+
+def counted_pairs(found: DataFrame) -> DataFrame:
+    """Pairs (a < b) of small groups that share enough steps to be linked.
+
+    A linked pair misses at most 2 t / 7 of the larger set's steps, so it shares the rest, but
+    for steps in large groups, which are not counted.
+    """
+    shared = found.where(f"kind = {PAIR}").groupBy("a", "b").agg(F.sum("n").alias("steps"))
+    room = found.where(f"kind = {SIZE}").select(F.col("a").alias("b"), F.col("b").alias("room"), F.col("n").alias("t"))
+    lost = _losses(found.where(f"kind = {MEMBER}").select(F.col("b").alias("doc"), "n", "role")).select(F.col("doc").alias("b"), "lost")
+    enough = "steps >= room - coalesce(lost, 0) - div(2 * t, 7)"
+    return shared.join(room, "b").join(lost, "b", "left").where(enough).select(_pair("a", "b", "a"), _pair("a", "b", "b"))
+
+
 def allotted(found: DataFrame) -> DataFrame:
     """Members (g, doc, n, role) of large groups, with allowances in ``role`` where a set has to ask there.
 
@@ -295,8 +342,7 @@ def allotted(found: DataFrame) -> DataFrame:
     counted = written(members.join(members.groupBy("g").agg(F.count("*").alias("k")).where("k > 1"), "g"))
     room = found.where(f"kind = {SIZE}").select(F.col("a").alias("doc"), F.col("b").alias("room"))
     whole = "role in (1, 2)"
-    lost = counted.groupBy("doc").agg(
-        F.expr(f"sum(case when {whole} then role when role > 4 then 1 else 0 end)").alias("lost"), F.expr(f"count_if({whole})").alias("segments"), F.max("n").alias("t"))
+    lost = _losses(counted)
     lack = lost.join(room, "doc").select("doc", "segments", F.expr("div(2 * t, 7) + 1 - (room - lost)").alias("lack")).where("lack > 0")
     ranked = counted.join(lack, "doc", "left").withColumn(
         "place", F.row_number().over(Window.partitionBy("doc", F.expr(whole)).orderBy("k", "g")))
@@ -324,7 +370,7 @@ def near_copies(documents: DataFrame) -> DataFrame:
     sizes = found.where(f"kind = {SIZE}").select(F.col("a").alias("rep"), F.col("n").cast("long").alias("n_shingles"))
 
     groups = allotted(found)
-    pairs = written(found.where(f"kind = {PAIR}").select("a", "b").distinct())
+    pairs = written(counted_pairs(found))
 
     # First, each document with the smallest one it may link with, and members of a group with its first.
     first_of = groups.groupBy("g").agg(F.min(F.struct("doc", "n")).alias("c"))
@@ -342,17 +388,19 @@ def near_copies(documents: DataFrame) -> DataFrame:
         links = written(links.union(verified(again, source)))
         parts = written(components(links))
         tried = tried.union(again)
-    # Last, all that is left across components.
+    # Last, all that is left across components. A group is split into blocks of bounded size.
     label = parts.select(F.col("node").alias("doc"), "component")
     in_a = label.select(F.col("doc").alias("a"), F.col("component").alias("ca"))
     in_b = label.select(F.col("doc").alias("b"), F.col("component").alias("cb"))
     across = pairs.join(in_a, "a", "left").join(in_b, "b", "left").where("coalesce(ca, a) <> coalesce(cb, b)").select("a", "b")
     named = _named(groups, parts)
-    divided = named.groupBy("g").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high")
-    mixed = written(named.join(divided, "g").select("g", "doc", "n", "role", "c"))
-    other = mixed.select("g", *[F.col(x).alias(f"other_{x}") for x in ("doc", "n", "role", "c")])
-    rest = mixed.where("role % 4 > 0").join(other, "g").where("c <> other_c").where(_asks("other_n", "other_doc", "other_role"))
-    rest = rest.select(_pair("doc", "other_doc", "a"), _pair("doc", "other_doc", "b")).distinct()
+    divided = named.groupBy("g").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("k")).where("low <> high")
+    cells = found.where(f"kind = {SIZE}").select(F.col("a").alias("doc"), "cells")
+    mixed = written(named.join(divided, "g").select("g", "doc", "n", "role", "c", "k").join(cells, "doc"))
+    blocks = mixed.withColumn("blocks", F.ceil(F.col("k") / BLOCK_MEMBERS)).withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")))
+    met = blocks.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    met = met.select("g", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "doc", "n", "role", "c", "cells")
+    rest = met.groupBy("g", "low", "high").applyInPandas(lambda frame: near_members(frame), "a long, b long").distinct()
     remaining = written(across.union(rest).distinct().join(tried, ["a", "b"], "left_anti"))
     if not remaining.isEmpty():
         parts = components(written(links.union(verified(remaining, source))))
