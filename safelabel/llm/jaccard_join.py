@@ -45,7 +45,7 @@ _U = np.uint64
 FLUSH_TOKENS = 600_000
 FLUSH_DOCS = 16_000
 HEAVY = 48
-PAIRS_UP_TO = 24
+PAIRS_UP_TO = 64
 MARK = 0x3FFF
 BROADCAST_IDS = 2_000_000
 FOUND = "kind int, a long, b long, n int, role int, cells binary"
@@ -398,8 +398,10 @@ def near_copies(documents: DataFrame) -> DataFrame:
     cells = found.where(f"kind = {SIZE}").select(F.col("a").alias("doc"), "cells")
     mixed = written(named.join(divided, "g").select("g", "doc", "n", "role", "c", "k").join(cells, "doc"))
     blocks = mixed.withColumn("blocks", F.ceil(F.col("k") / BLOCK_MEMBERS)).withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")))
-    met = blocks.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    met = met.select("g", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "doc", "n", "role", "c", "cells")
+    columns = ["block", "doc", "n", "role", "c", "cells"]
+    one = blocks.where("blocks = 1").select("g", F.col("block").alias("low"), F.col("block").alias("high"), *columns)
+    many = blocks.where("blocks > 1").withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    met = one.union(many.select("g", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), *columns))
     rest = met.groupBy("g", "low", "high").applyInPandas(lambda frame: near_members(frame), "a long, b long").distinct()
     remaining = written(across.union(rest).distinct().join(tried, ["a", "b"], "left_anti"))
     if not remaining.isEmpty():
