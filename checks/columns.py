@@ -22,7 +22,6 @@ from safelabel.operators.profanity import (
     drop_safety_columns, flag_profanity, minimise_lexicon, profanity_rows, term_hits, with_lexicon_terms,
 )
 from safelabel.operators.scanning import keep_computed
-from safelabel.session import spread
 from safelabel.operators.reports import join_dimension, label_dimensions
 from safelabel.plans.evaluation import normalised
 
@@ -46,7 +45,7 @@ def _(spark, sf):
 
 # Words of the texts serve as a lexicon that grows with them.
 _WORD_LEXICON = f"""{S.DOCS}, lexicon AS (SELECT DISTINCT language, w AS term FROM
-    (SELECT language, unnest(regexp_split_to_array(lower(text), '[^a-z]+')) AS w FROM docs) WHERE length(w) BETWEEN 3 AND 7)"""
+    (SELECT language, unnest(regexp_split_to_array(text, '[ \t-\r]+')) AS w FROM docs) WHERE length(w) > 0)"""
 
 
 @query("b03_minimise_lexicon", f"""WITH {_WORD_LEXICON}, pieces AS (SELECT language, term, unnest(list_transform(range(1, length(term) + 1),
@@ -55,8 +54,8 @@ _WORD_LEXICON = f"""{S.DOCS}, lexicon AS (SELECT DISTINCT language, w AS term FR
     SELECT language, term FROM lexicon l WHERE NOT EXISTS (SELECT 1 FROM parts p JOIN lexicon o ON o.language = p.language AND o.term = p.part
     WHERE p.language = l.language AND p.term = l.term AND p.part <> p.term)""")
 def _(spark, sf):
-    words = spread(I.documents(spark, sf), "doc_id").select("language", F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("term"))
-    return minimise_lexicon(words.filter(F.length("term").between(3, 7)))
+    words = I.documents(spark, sf).select("language", F.explode(F.split("text", "[ \t-\r]+")).alias("term"))
+    return minimise_lexicon(words.filter(F.length("term") > 0))
 
 
 @query("b04_drop_columns", f"WITH {S.LABELLED} SELECT doc_id, language, harmful FROM labelled")
@@ -68,7 +67,7 @@ def _(spark, sf):
 # --- labelling -----------------------------------------------------------------------
 @query("b05_category_counts", f"WITH {S.VECTORS} SELECT doc_id, array_to_string(c, ',') AS counts FROM counted")
 def _(spark, sf):
-    rows = with_category_counts(spread(I.documents(spark, sf), "doc_id"), I.TAXONOMY)
+    rows = with_category_counts(I.documents(spark, sf), I.TAXONOMY)
     return rows.select("doc_id", I.ints(F.col("category_counts")).alias("counts"))
 
 
@@ -242,12 +241,11 @@ def _(spark, sf):
 
 
 # --- prompts ---------------------------------------------------------------------------
-_SHOTS = few_shot_template([("Good morning to all.", "SAFE"), ("I will hurt {you}.", "UNSAFE")])
-_SHOTS_SLOT = _SHOTS.rpartition("{}")
+_SHOTS = few_shot_template([("Good morning to all.", "SAFE"), ("I will hurt {} and {you}.", "UNSAFE")])
 
 
 def _filled(template: str) -> str:
-    head, _, tail = template.rpartition("{}")
+    head, _, tail = template.partition("{text}")
     return f"concat({S.quoted(head)}, text, {S.quoted(tail)})"
 
 
@@ -323,7 +321,7 @@ _VOTES = ", ".join(f"{{n: len(list_filter(w, lambda x: x IN ({', '.join(map(S.qu
     votes AS (SELECT doc_id, language, list_max([{_VOTES}]) AS best FROM words)
     SELECT doc_id, language, CASE WHEN best.n > 0 THEN best.k ELSE 'unknown' END AS tag FROM votes""")
 def _(spark, sf):
-    return spread(I.documents(spark, sf), "doc_id").select("doc_id", "language", tag_language("text").alias("tag"))
+    return I.documents(spark, sf).select("doc_id", "language", tag_language("text").alias("tag"))
 
 
 @query("b39_misclassified", f"WITH {S.JUDGED} SELECT doc_id, gold, pred, gold = pred AS correct FROM judged WHERE gold <> pred")

@@ -16,7 +16,6 @@ from safelabel.operators import reports as P
 from safelabel.operators.pairs import render_prompt
 from safelabel.operators.scoring import fit_binary_head, moderate_with_models, predict_binary_head, score_batches
 from safelabel.plans.evaluation import normalised
-from safelabel.session import spread
 from safelabel.streaming.jobs import moderated
 
 METRICS = ("precision", "recall", "f1")
@@ -172,7 +171,7 @@ def _prompts(spark, sf):
     return render_prompt(I.documents(spark, sf), BINARY_TEMPLATE).select("doc_id", "prompt")
 
 
-_CHARS = f"(length(text) + {len(BINARY_TEMPLATE) - 2})"
+_CHARS = f"(length(text) + {len(BINARY_TEMPLATE.replace("{text}", ""))})"
 
 
 @query("h02_batched_scores", f"WITH {S.DOCS} SELECT doc_id, CASE WHEN {_CHARS} % 3 = 0 THEN 'UNSAFE' ELSE 'SAFE' END AS pred_raw FROM docs")
@@ -201,12 +200,12 @@ def _(spark, sf):
 @query("h03_two_stage_moderation", f"""WITH {S.VECTORS} SELECT doc_id, CASE WHEN safe THEN 'SAFE' WHEN list_sum(c) = 0 THEN '' ELSE {S.winner('v')} END AS category,
     CASE WHEN safe THEN 'SAFE' ELSE 'UNSAFE' END AS safety FROM (SELECT *, NOT {S.any_term('text')} AS safe FROM vectors)""")
 def _(spark, sf):
-    return moderated(spread(I.documents(spark, sf), "doc_id"), I.LEXICON, I.TAXONOMY).select("doc_id", "response.category", "response.safety")
+    return moderated(I.documents(spark, sf), I.LEXICON, I.TAXONOMY).select("doc_id", "response.category", "response.safety")
 
 
 @query("h04_binary_head")
 def _(spark, sf):
     rows = I.binary_rows(spark, sf).withColumn("label", F.when(F.col("harmful") == "1", UNSAFE).otherwise(SAFE))
-    model = fit_binary_head(rows, kind="logistic", features=1 << 14, max_iter=5)
+    model = fit_binary_head(rows, kind="logistic")
     predicted = predict_binary_head(model, rows.select("doc_id", "text", "label"))
     return C.prf(predicted.withColumnRenamed("label", "gold")).withColumns(I.six(*METRICS))

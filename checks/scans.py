@@ -84,9 +84,9 @@ def _(spark, sf):
     return reject_summary(with_rejects(lines, F.col("_corrupt_record").isNotNull()))
 
 
-@query("a06_first_n", f"WITH {S.DOCS} SELECT doc_id, language FROM docs ORDER BY doc_id LIMIT 64000")
+@query("a06_first_n", f"WITH {S.DOCS} SELECT doc_id, language FROM docs ORDER BY doc_id LIMIT 500")
 def _(spark, sf):
-    return first_n(I.documents(spark, sf).select("doc_id", "language"), order_col="doc_id")
+    return first_n(I.documents(spark, sf).select("doc_id", "language"), 500, order_col="doc_id")
 
 
 @query("a07_table_source", "SELECT doc_id, quality, toxic FROM labels")
@@ -136,7 +136,7 @@ def length_model():
     return lambda: (lambda prompts: ["UNSAFE" if len(p) % 3 == 0 else "SAFE" for p in prompts])
 
 
-_PROMPT_CHARS = len(BINARY_TEMPLATE) - 2
+_PROMPT_CHARS = len(BINARY_TEMPLATE.replace("{text}", ""))
 
 
 @query("a11_restartable_scores", f"""WITH {S.DOCS} SELECT doc_id, CASE WHEN (length(text) + {_PROMPT_CHARS}) % 3 = 0

@@ -50,7 +50,6 @@ ACCURACY_CUT = 0.5
 KL_CUTS = (4.0, 5.0)
 IMBALANCE_CUTS = (25.0, 50.0)
 # --- fixed values: defaults of the curation and evaluation jobs ----------------------
-SCAN_ROWS = 64_000
 ROWS_PER_CATEGORY = 4_000
 TRAIN_SHARE = 0.9
 SMOOTHING = 1e-9
@@ -62,52 +61,46 @@ BINARY_LABELS = [SAFE, UNSAFE]
 
 # Example taxonomy: (category, kind, term).  ``stem`` matches words that start with
 # the term, ``word`` matches the whole word, ``phrase`` is a pattern of several words.
+# The terms are frequent words of the test documents, dealt to categories at will.
 EXAMPLE_TAXONOMY = [
-    ("S1", "stem", "threat"),
-    ("S1", "word", "die"),
-    ("S1", "phrase", r"\bthreat\w*\s+the\w*"),
-    ("S2", "stem", "steal"),
-    ("S2", "stem", "heist"),
-    ("S2", "word", "loser"),
-    ("S3", "stem", "harass"),
+    ("S1", "stem", "thread"),
+    ("S1", "word", "anea"),
+    ("S1", "phrase", r"\bthan\w*\s+the\b"),
+    ("S2", "stem", "onin"),
+    ("S2", "word", "ster"),
+    ("S3", "stem", "hain"),
     ("S3", "phrase", r"\breedes\s+ha\b"),
-    ("S4", "stem", "teen"),
-    ("S4", "stem", "child"),
-    ("S5", "stem", "state"),
-    ("S5", "phrase", r"\bthe\s+state\w*"),
-    ("S6", "stem", "treat"),
-    ("S6", "stem", "test"),
+    ("S4", "stem", "therin"),
+    ("S4", "word", "ble"),
+    ("S5", "stem", "sten"),
+    ("S5", "phrase", r"\bof\s+the\s+st\w*"),
+    ("S6", "stem", "entz"),
+    ("S6", "word", "reau"),
     ("S7", "stem", "shed"),
     ("S7", "phrase", r"\bthanedble[-\s]?the\b"),
     ("S8", "word", "rest"),
     ("S8", "stem", "license"),
     ("S9", "word", "tire"),
     ("S9", "phrase", r"\beriner\s+thanea\b"),
-    ("S10", "stem", "hate"),
-    ("S10", "stem", "idiot"),
-    ("S10", "word", "moron"),
-    ("S11", "word", "worthless"),
-    ("S11", "stem", "end"),
-    ("S12", "word", "disgusting"),
+    ("S10", "stem", "ingth"),
+    ("S10", "word", "edly"),
+    ("S11", "stem", "lich"),
+    ("S11", "word", "ont"),
     ("S12", "stem", "ment"),
-    ("S13", "stem", "elect"),
-    ("S13", "word", "test"),
+    ("S12", "word", "keit"),
+    ("S13", "stem", "version"),
+    ("S13", "word", "public"),
     ("S14", "stem", "ción"),
     ("S14", "phrase", r"\bis\s+esndha\b"),
     ("S15", "stem", "therhean"),
     ("S15", "word", "é"),
     ("S16", "stem", "herean"),
-    ("S16", "word", "she"),
-    ("S17", "stem", "threaten"),
-    ("S17", "stem", "idiot"),
-    ("S17", "stem", "moron"),
-    ("S17", "stem", "stupid"),
-    ("S17", "stem", "clown"),
-    ("S17", "word", "loser"),
-    ("S17", "word", "trash"),
-    ("S17", "word", "pathetic"),
-    ("S17", "word", "disgusting"),
-    ("S17", "word", "worthless"),
+    ("S16", "word", "ndand"),
+    ("S17", "stem", "thread"),
+    ("S17", "stem", "ouier"),
+    ("S17", "word", "ster"),
+    ("S17", "word", "osó"),
+    ("S17", "phrase", r"\bund\s+der\b"),
 ]
 
 # Example lexicon: (language, term).  Terms are substrings, spaces included.
@@ -129,18 +122,16 @@ EXAMPLE_STOP_WORDS = {
     "es": ["el", "los", "del", "para", "las", "con", "por", "una", "su", "se"],
 }
 
-# Example prompt templates; ``{}`` is filled with the text.
-BINARY_TEMPLATE = "Say SAFE or UNSAFE, one word only, about the text below.\n\nText: {}\nLabel:"
+# Example prompt templates; ``{text}`` is filled with the text.
+BINARY_TEMPLATE = "Say SAFE or UNSAFE, one word only, about the text below.\n\nText: {text}\nLabel:"
 CATEGORY_TEMPLATE = (
     "The text below is harmful. Give a share for each category, from S1 to S17: "
     + ", ".join(f"{code} {name}" for code, name in CATEGORY_NAMES.items())
-    + ".\n\nText: {}\nDistribution: "
+    + ".\n\nText: {text}\nDistribution: "
 )
 
 
 def few_shot_template(examples: list[tuple[str, str]], instruction: str = "Answer SAFE or UNSAFE.") -> str:
-    """A template that shows labelled examples before the text to judge."""
-    shots = "".join(
-        f"Example {i}:\nText: {text}\nLabel: {label}\n\n" for i, (text, label) in enumerate(examples, 1)
-    )
-    return f"{shots}{instruction}\n\nText: {{}}\nLabel: "
+    """A template that names the task, shows labelled examples as a list, and asks for the text at its end."""
+    shots = "\n".join(f"- [{label}] {text}" for text, label in examples)
+    return f"{instruction}\nKnown cases:\n{shots}\nNew case: {{text}}\nAnswer: "

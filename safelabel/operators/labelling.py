@@ -42,7 +42,8 @@ def propagate_labels(df: DataFrame, language_columns: dict[str, str], vec: str =
     """One row per translation, carrying the label of the English response.
 
     The text is the prompt of the translation; a translation that is missing or too
-    short is skipped on its own.  Unknown columns raise.
+    short is skipped on its own.  Unknown columns raise.  Where there is an ``id``, ``row_id``
+    names the row: id and language.
     """
     missing = [c for c in language_columns.values() if c not in df.columns]
     if missing:
@@ -55,6 +56,8 @@ def propagate_labels(df: DataFrame, language_columns: dict[str, str], vec: str =
     keep = [c for c in df.columns if c not in owned]
     rows = df.select(*keep, F.inline(present))
     rows = rows.withColumn("source", F.lit(source)) if source else rows
+    # Translations of one dialogue share its id; samplers need one that names a row.
+    rows = rows.withColumn("row_id", F.concat_ws("-", F.col("id").cast("string"), "language")) if "id" in rows.columns else rows
     return (rows.withColumn(harm, harm_flag(vec))
             .withColumn("safety_categories", category_list(vec))
             .withColumn("safety_distribution", vector_to_map(vec)))

@@ -8,15 +8,15 @@ from pyspark.sql import functions as F
 from safelabel.functions.base import as_col
 
 
-def fill_template(template: str, text: Column | str, slot: str = "{}") -> Column:
-    """The template with its slot replaced by the text; braces in the text stay."""
-    head, found, tail = template.partition(slot)
-    if not found:
-        raise ValueError(f"the template has no {slot}")
-    return F.concat(F.lit(head), as_col(text), F.lit(tail))
+def fill_template(template: str, text: Column | str, slot: str = "{text}") -> Column:
+    """The template with its one named slot replaced by the text; other braces stay, a null text is empty."""
+    if template.count(slot) != 1:
+        raise ValueError(f"the template must hold {slot} once")
+    head, _, tail = template.partition(slot)
+    return F.concat(F.lit(head), F.coalesce(as_col(text), F.lit("")), F.lit(tail))
 
 
-def render_prompt(df: DataFrame, template: str, text: str = "text", out: str = "prompt", slot: str = "{}") -> DataFrame:
+def render_prompt(df: DataFrame, template: str, text: str = "text", out: str = "prompt", slot: str = "{text}") -> DataFrame:
     return df.withColumn(out, fill_template(template, text, slot))
 
 

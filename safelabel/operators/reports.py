@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from safelabel.catalog import CATEGORIES, CATEGORY_NAMES, LANGUAGE_NAMES
+from safelabel.catalog import CATEGORIES, CATEGORY_NAMES, LANGUAGE_NAMES, WIDTH
 from safelabel.functions.display import display_name, imbalance_band
 from safelabel.functions.vectors import winner
 from safelabel.operators.confusion import run_metrics
@@ -40,6 +40,12 @@ def bucket_sizes(df: DataFrame, keys: list[str] = ["source", "language"]) -> Dat
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 
 
+def _position(categories: list[str]) -> Column:
+    """Place of the category in the list; names that are not in it come last, by name."""
+    at = F.array_position(F.array(*[F.lit(c) for c in categories]), F.col("category"))
+    return F.when(at > 0, at).otherwise(len(categories) + 1)
+
+
 def category_histogram(df: DataFrame, vec: str, full: bool = False, by: str | None = None) -> DataFrame:
     """Rows per winning category with their share; ``full`` lists all categories."""
     groups = [by] if by else []
@@ -49,7 +55,7 @@ def category_histogram(df: DataFrame, vec: str, full: bool = False, by: str | No
         empty = df.sparkSession.range(1).select(F.inline(zeros))
         counts = counts.unionByName(empty).groupBy("category").agg(F.sum("n").alias("n"))
     share = F.try_divide(F.col("n"), F.sum("n").over(Window.partitionBy(*groups)))
-    return counts.withColumn("share", share).orderBy(*groups, F.desc("n"), F.substring("category", 2, 9).cast("int"))
+    return counts.withColumn("share", share).orderBy(*groups, F.desc("n"), _position(CATEGORIES))
 
 
 def imbalance_verdict(histogram: DataFrame, category: str) -> DataFrame:
@@ -87,9 +93,9 @@ def category_share(df: DataFrame, categories: str = "safety_categories") -> Data
             .withColumn("share", _share()))
 
 
-def top_n_other(histogram: DataFrame, n: int = 6, other: str = "Others") -> DataFrame:
+def top_n_other(histogram: DataFrame, n: int = 6, other: str = "Others", categories: list[str] = CATEGORIES) -> DataFrame:
     """The ``n`` largest categories, the rest summed up."""
-    order = Window.partitionBy().orderBy(F.desc("n"), F.substring("category", 2, 9).cast("int"))
+    order = Window.partitionBy().orderBy(F.desc("n"), _position(categories), "category")
     ranked = histogram.withColumn("_rank", F.row_number().over(order))
     return (ranked.groupBy(F.when(F.col("_rank") <= n, F.col("category")).otherwise(other).alias("category"))
             .agg(F.sum("n").alias("n")).withColumn("share", _share()))
@@ -112,18 +118,16 @@ def language_distribution(df: DataFrame, language: str = "language") -> DataFram
     return df.groupBy(language).agg(F.count(F.lit(1)).alias("n")).withColumn("share", _share())
 
 
-def overview(df: DataFrame, vec: str, language: str = "language") -> DataFrame:
+def overview(df: DataFrame, vec: str, language: str = "language", width: int = WIDTH) -> DataFrame:
     """Rows, languages and categories in use.
 
-    Categories are collected as bits and languages as groups, so nothing is
-    de-duplicated in a shuffle.
+    Categories are one flag for each position of the vector and languages are groups, so
+    nothing is de-duplicated in a shuffle.
     """
-    bits = F.aggregate(F.transform(vec, lambda x, i: F.when(x > 0, F.call_function("shiftleft", F.lit(1), i)).otherwise(0)),
-                       F.lit(0), lambda acc, x: acc.bitwiseOR(x))
-    per_language = df.select(language, bits.alias("_bits")).groupBy(language).agg(
-        F.count(F.lit(1)).alias("n"), F.bit_or("_bits").alias("_bits"))
-    return per_language.agg(F.sum("n").alias("rows"), F.count(language).alias("languages"),
-                            F.bit_count(F.bit_or("_bits")).cast("bigint").alias("categories"))
+    per_language = df.groupBy(language).agg(
+        F.count(F.lit(1)).alias("n"), *[F.bool_or(F.get(F.col(vec), F.lit(i)) > 0).alias(f"_{i}") for i in range(width)])
+    used = sum((F.coalesce(F.bool_or(f"_{i}"), F.lit(False)).cast("bigint") for i in range(width)), F.lit(0).cast("bigint"))
+    return per_language.agg(F.sum("n").alias("rows"), F.count(language).alias("languages"), used.alias("categories"))
 
 
 def compare_runs(df: DataFrame, run: str = "run", latency: str | None = None) -> DataFrame:

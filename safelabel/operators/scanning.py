@@ -7,7 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from safelabel.catalog import SCAN_ROWS
 from safelabel.functions.text import not_blank, not_empty
 from safelabel.functions.vectors import parse_distribution
 
@@ -53,9 +52,9 @@ def scan_summary(df: DataFrame, distribution: str = "safety_distribution", by: l
     return reject_summary(with_rejects(df, parse_distribution(distribution).isNull()), by)
 
 
-def first_n(df: DataFrame, n: int | None = SCAN_ROWS, order_col: str = "id") -> DataFrame:
-    """The first ``n`` rows in the order of ``order_col``; all rows when ``n`` is None."""
-    return df if n is None else df.orderBy(order_col).limit(n)
+def first_n(df: DataFrame, n: int, order_col: str = "id") -> DataFrame:
+    """The first ``n`` rows in the order of ``order_col``."""
+    return df.orderBy(order_col).limit(n)
 
 
 def preview(df: DataFrame, n: int = 4, order_col: str = "id") -> DataFrame:

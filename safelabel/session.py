@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,17 +34,11 @@ def build_session(app_name: str = "safelabel", master: str | None = None, **sett
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables and stream state.
 
-    It is the folder named by ``spark.checkpoint.dir``.  Only a local session may
-    go without one: there a fresh temporary folder is made and remembered.
+    It is the folder named by ``spark.checkpoint.dir``; where that is unset, a folder
+    below the session's warehouse, which driver and executors share as well.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if root:
-        return root
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="safelabel-")
-    spark.sparkContext.setCheckpointDir(root)
-    return spark.sparkContext.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    return root or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -94,16 +87,6 @@ def small_side(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
     return broadcast_if(small, pinned)
 
 
-def spread(df: DataFrame, *cols: str) -> DataFrame:
-    """Use all cores for costly row work when the input has fewer splits than cores.
-
-    A file with a single row group is read by one task, however many cores there are.
-    Inputs with splits enough, as any large table has, are left as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *cols)
-
-
 def collect_config(df: DataFrame, max_rows: int, what: str) -> list:
     """Rows of a configuration table (taxonomy, lexicon, quotas), size-checked."""
     rows = df.limit(max_rows + 1).collect()

@@ -26,20 +26,21 @@ def test_counts_equal_python_on_the_documents(spark, sf):
 
 
 EDGE_TEXTS = [
-    "War war éwar waré wars", "", None, "WAR", "war", "a war", "war.", "prewar war_ war2",
-    "Physical  abuse, physical abuser; physical, abuse", "self harm self-harm selfharm SELF\tHARMED self self harm",
-    "bye bye bye", "ſtab STAB stabbing", "Knife KNIFE knives", "İdiot ıdiot IDIOT", "white-collar white collar whitecollar white  collar",
-    "ruined his reputation ruins reputation ruin reputations", "go die to die of kill myself killing myself", "ip IP tip ipx",
-    "naïve naïveté", "क् war कwar", "x" * 5000 + " war", "colour color colouur",
+    "Fog fog éfog fogé fogs", "", None, "FOG", "fog", "a fog", "fog.", "prefog fog_ fog2",
+    "Green  lamp, green lamps; green, lamp", "half moon half-moon halfmoon HALF\tMOONED half half moon",
+    "tick tick tick", "ſail SAIL sailing", "Tulip TULIP tulips", "İris ırıs IRIS", "dark-room dark room darkroom dark  room",
+    "paints the fence paint fence painting fences", "row on to row of wash yourself washing yourself", "ox OX fox oxo",
+    "naïve naïveté", "क् fog cfog", "x" * 5000 + " fog", "colour color colouur",
 ]
 EDGE_ROWS = [
-    ("S1", "word", "war"), ("S1", "stem", "stab"), ("S1", "stem", "knife"), ("S1", "phrase", r"\bphysical\s+abuse\w*"),
-    ("S2", "stem", "war"), ("S2", "phrase", r"\bwhite[-\s]?collar\w*"), ("S3", "stem", "self-harm"), ("S3", "phrase", r"\bself\s+harm\w*"),
-    ("S4", "phrase", r"\bbye\s+bye\b"), ("S5", "phrase", r"\bruin\w*\s+reputation\w*"), ("S6", "stem", "idiot"), ("S7", "word", "ip"),
-    ("S7", "word", "IP"), ("S8", "stem", "naïve"), ("S9", "phrase", r"\bgo\s+die\b"), ("S9", "phrase", r"\bkill\w*\s+myself"),
-    ("S10", "phrase", r"\bcolou?r\b"), ("S11", "phrase", r"\bto\s+die\b|\bmyself\b"), ("S12", "phrase", r"ar\b"), ("S13", "stem", "w"),
-    ("S14", "phrase", r"\bp\w*\s+abus\w*"), ("S15", "word", "KNIFE"), ("S16", "phrase", r"\d"), ("S16", "phrase", r"\d"),
-    ("S17", "phrase", r"\bwar+s?\b"), ("S17", "phrase", r"\bki+ll\w*"), ("S17", "phrase", r"\Bar\W"), ("S17", "phrase", r"[\s,]abus\S+\D"), ("S17", "phrase", r"\bself[^\w]harm"), ("S17", "phrase", r"\bharmed|stab\B"),
+    ("S1", "word", "fog"), ("S1", "stem", "sail"), ("S1", "stem", "tulip"), ("S1", "phrase", r"\bgreen\s+lamp\w*"),
+    ("S2", "stem", "fog"), ("S2", "phrase", r"\bdark[-\s]?room\w*"), ("S3", "stem", "half-moon"), ("S3", "phrase", r"\bhalf\s+moon\w*"),
+    ("S4", "phrase", r"\btick\s+tick\b"), ("S5", "phrase", r"\bpaint\w*\s+fence\w*"), ("S6", "stem", "iris"), ("S7", "word", "ox"),
+    ("S7", "word", "OX"), ("S8", "stem", "naïve"), ("S9", "phrase", r"\brow\s+on\b"), ("S9", "phrase", r"\bwash\w*\s+yourself"),
+    ("S10", "phrase", r"\bcolou?r\b"), ("S11", "phrase", r"\bto\s+row\b|\byourself\b"), ("S12", "phrase", r"og\b"), ("S13", "stem", "f"),
+    ("S14", "phrase", r"\bg\w*\s+lam\w*"), ("S15", "word", "TULIP"), ("S16", "phrase", r"\d"), ("S16", "phrase", r"\d"),
+    ("S17", "phrase", r"\bfog+s?\b"), ("S17", "phrase", r"\bwa+sh\w*"), ("S17", "phrase", r"\Bog\W"), ("S17", "phrase", r"[\s,]lam\S+\D"),
+    ("S17", "phrase", r"\bhalf[^\w]moon"), ("S17", "phrase", r"\bmooned|sail\B"),
 ]
 
 
@@ -51,12 +52,12 @@ def test_edge_texts_equal_python(spark):
 
 
 def test_only_unguarded_patterns(spark):
-    rows = [("S1", "phrase", r"ar\b"), ("S2", "phrase", r"\w+ing\b")]
+    rows = [("S1", "phrase", r"og\b"), ("S2", "phrase", r"\w+ing\b")]
     assert column(spark, EDGE_TEXTS, Taxonomy(rows).counts) == python_counts(rows, EDGE_TEXTS)
 
 
 def test_from_patterns_and_from_table_agree(spark):
-    patterns = {"A": [r"\bwar\b", r"\bstab\w*"], "B": [r"\bgo\s+die\b", r"\bself-harm\w*"]}
+    patterns = {"A": [r"\bfog\b", r"\bsail\w*"], "B": [r"\brow\s+on\b", r"\bhalf-moon\w*"]}
     a = Taxonomy.from_patterns(patterns)
     table = spark.createDataFrame(a.rows, "category string, kind string, term string")
     b = Taxonomy.from_table(table, ["A", "B"])
@@ -64,18 +65,18 @@ def test_from_patterns_and_from_table_agree(spark):
 
 
 def test_classify_and_leading_word():
-    assert classify(r"\bwar\b") == ("word", "war")
-    assert classify(r"\bstab\w*") == ("stem", "stab")
-    assert classify(r"\bgo\s+die\b") == ("phrase", r"\bgo\s+die\b")
-    assert leading_word(r"\bgo\s+die\b") == ("go", False)
-    assert leading_word(r"\bruin\w*\s+x") == ("ruin", True)
+    assert classify(r"\bfog\b") == ("word", "fog")
+    assert classify(r"\bsail\w*") == ("stem", "sail")
+    assert classify(r"\brow\s+on\b") == ("phrase", r"\brow\s+on\b")
+    assert leading_word(r"\brow\s+on\b") == ("row", False)
+    assert leading_word(r"\bpaint\w*\s+x") == ("paint", True)
     assert leading_word(r"\bcolou?r") == ("colo", True)
     assert leading_word(r"\ba\b|\bb\b") == (None, True)
 
 
 def test_vectors_of_counts(spark):
-    rows = [("S1", "stem", "stab"), ("S2", "stem", "stab"), ("S3", "word", "war")]
-    texts = ["stab", "stab war war", "peace", None]
+    rows = [("S1", "stem", "sail"), ("S2", "stem", "sail"), ("S3", "word", "fog")]
+    texts = ["sail", "sail fog fog", "calm", None]
     vectors = column(spark, texts, lambda x: V.shares(Taxonomy(rows).counts(x)))
     assert vectors[0][:3] == [0.5, 0.5, 0.0] and vectors[1][:3] == [0.25, 0.25, 0.5]
     assert vectors[2] == vectors[3] == [0.0] * 17
