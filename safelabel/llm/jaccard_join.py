@@ -49,7 +49,7 @@ PAIRS_UP_TO = 64
 MARK = 0x3FFF
 BROADCAST_IDS = 2_000_000
 FOUND = "kind int, a long, b long, n int, role int, cells binary"
-CELLS = 512
+CELLS = 128
 BLOCK_MEMBERS = 2_048
 SIZE, PAIR, MEMBER = 0, 1, 2
 
