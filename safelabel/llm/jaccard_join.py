@@ -17,7 +17,8 @@ Steps, each a Spark job over narrow data:
 3. sets that share a signature become pairs, or groups of members where there are many;
    allowances in large groups are given where they are needed;
 4. each set is first compared with the smallest one it may link with and with the first of
-   its groups; links give components; only pairs across components are compared after that;
+   its groups; links give components; only pairs across components are compared after that,
+   those of a large group where the group is, so that no rows are made of them;
 5. components of all verified links, and of equal texts.
 
 Comparison is exact on the sets of 64-bit shingle hashes. In bands beyond 64 elements, empty
@@ -48,9 +49,10 @@ HEAVY = 48
 PAIRS_UP_TO = 64
 MARK = 0x3FFF
 BROADCAST_IDS = 2_000_000
-FOUND = "kind int, a long, b long, n int, role int, cells binary"
+FOUND = "kind int, a long, b long, n int, role int"
 CELLS = 128
 BLOCK_MEMBERS = 2_048
+LONG = 2_048
 SIZE, PAIR, MEMBER = 0, 1, 2
 
 
@@ -107,11 +109,6 @@ class Block:
             np.concatenate([level, level[cut[cut_ok]]]),
         )
 
-    def cells(self) -> np.ndarray:
-        """How many elements of each set fall into each of ``CELLS`` cells of the universe, up to 255."""
-        at = np.repeat(np.arange(len(self.size)), self.size) * CELLS + (self.value % _U(CELLS)).astype(np.int64)
-        return np.minimum(np.bincount(at, minlength=len(self.size) * CELLS), 255).astype(np.uint8)
-
     def signatures(self) -> tuple[np.ndarray, ...]:
         """All bands: each set in its own, and for larger partners in the next where they reach there."""
         out = []
@@ -139,7 +136,7 @@ def sign(frames: Iterator[pd.DataFrame], buckets: int) -> Iterator[pd.DataFrame]
         if len(tokens):
             hashed, place, cut, level = block.signatures()
             np.add.at(room, place[~cut], level[~cut])
-        rows = [(-2, block.ids.tobytes(), block.size.astype(np.int32).tobytes(), room.tobytes() + block.cells().tobytes())]
+        rows = [(-2, block.ids.tobytes(), block.size.astype(np.int32).tobytes(), room.tobytes())]
         if len(tokens):
             bucket = (mix(hashed + _U(77)) % _U(buckets)).astype(np.int64)
             entry = (hashed >> _U(17) << _U(17)) | (place.astype(_U) << _U(3)) | (cut.astype(_U) << _U(2)) | level.astype(_U)
@@ -199,12 +196,10 @@ def match(frame: pd.DataFrame) -> pd.DataFrame:
         ids = np.concatenate([np.frombuffer(x, np.int64) for x in frame["ids"]])
         sizes = np.concatenate([np.frombuffer(x, np.int32) for x in frame["sizes"]])
         if frame["bucket"].iloc[0] == -2:
-            counts = [len(x) // 8 for x in frame["ids"]]
-            room = np.concatenate([np.frombuffer(x[: 8 * n], np.int64) for x, n in zip(frame["entries"], counts, strict=True)])
-            cells = [x[8 * n + k * CELLS : 8 * n + (k + 1) * CELLS] for x, n in zip(frame["entries"], counts, strict=True) for k in range(n)]
-            return pd.DataFrame({"kind": SIZE, "a": ids, "b": room, "n": sizes, "role": 0, "cells": cells})
+            room = np.concatenate([np.frombuffer(x, np.int64) for x in frame["entries"]])
+            return pd.DataFrame({"kind": SIZE, "a": ids, "b": room, "n": sizes, "role": 0})
         entry = np.concatenate([np.frombuffer(x, _U) for x in frame["entries"]])
-        return pd.DataFrame({"kind": MEMBER, "a": (entry >> _U(17)).astype(np.int64), "b": ids, "n": sizes, "role": (entry & _U(7)).astype(np.int64), "cells": None})
+        return pd.DataFrame({"kind": MEMBER, "a": (entry >> _U(17)).astype(np.int64), "b": ids, "n": sizes, "role": (entry & _U(7)).astype(np.int64)})
     ids = np.concatenate([np.frombuffer(x, np.int64) for x in frame["ids"]])
     sizes = np.concatenate([np.frombuffer(x, np.int32) for x in frame["sizes"]])
     shift = np.concatenate([[0], np.cumsum([len(x) // 8 for x in frame["ids"]])])
@@ -232,7 +227,7 @@ def match(frame: pd.DataFrame) -> pd.DataFrame:
     out = []
     one = large & ~marked
     if one.any():
-        out.append(pd.DataFrame({"kind": MEMBER, "a": key[one].astype(np.int64), "b": name[one], "n": size[one], "role": role[one], "cells": None}))
+        out.append(pd.DataFrame({"kind": MEMBER, "a": key[one].astype(np.int64), "b": name[one], "n": size[one], "role": role[one]}))
     key, size, name, role = key[~large], size[~large], name[~large], role[~large]
     pairs = []
     for k in range(1, PAIRS_UP_TO):
@@ -250,30 +245,65 @@ def match(frame: pd.DataFrame) -> pd.DataFrame:
         low, high, steps = low[order], high[order], steps[order]
         start = np.flatnonzero(np.concatenate([[True], (low[1:] != low[:-1]) | (high[1:] != high[:-1])])) if len(low) else np.zeros(0, np.int64)
         steps = np.add.reduceat(steps, start) if len(start) else steps
-        out.append(pd.DataFrame({"kind": PAIR, "a": low[start], "b": high[start], "n": steps, "role": 0, "cells": None}))
-    return pd.concat(out) if out else pd.DataFrame({c: [] for c in ("kind", "a", "b", "n", "role", "cells")})
+        out.append(pd.DataFrame({"kind": PAIR, "a": low[start], "b": high[start], "n": steps, "role": 0}))
+    return pd.concat(out) if out else pd.DataFrame({c: [] for c in ("kind", "a", "b", "n", "role")})
+
+
+def outline(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(doc, cells, tokens) of (doc_id, text): elements per cell of the universe, and the set if it is not long."""
+    for frame in frames:
+        names, texts = frame["doc_id"].tolist(), frame["text"].tolist()
+        for a, b in batches(texts):
+            values, offsets = shingle_sets(texts[a:b])
+            size = np.diff(offsets)
+            at = np.repeat(np.arange(b - a), size) * CELLS + (mix(values) % _U(CELLS)).astype(np.int64)
+            cells = np.minimum(np.bincount(at, minlength=(b - a) * CELLS), 255).astype(np.uint8).reshape(b - a, CELLS)
+            tokens = [values[offsets[k] : offsets[k + 1]].tobytes() if size[k] <= LONG else None for k in range(b - a)]
+            yield pd.DataFrame({"doc": names[a:b], "cells": [x.tobytes() for x in cells], "tokens": tokens})
 
 
 def near_members(frame: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of a group, or of two blocks of one, that may link: asked for, in different components, cells near enough.
+    """Links that join components within a group, or across two blocks of one, and pairs of long sets that may link.
 
-    Cells that differ by a total of d mean sets that differ in d elements or more.
+    Only what is asked for is compared. Cells that differ by a total of d mean sets that
+    differ in d elements or more; where that leaves a pair open, the sets are compared here.
+    A link between parts that are joined by then is not looked for: a group gives less links
+    than it has members. Sets beyond ``LONG`` do not travel; their pairs are given as
+    not linked yet.
     """
     frame = frame.sort_values(["n", "doc"], ignore_index=True)
-    n, doc, role, c, block = (frame[x].to_numpy() for x in ("n", "doc", "role", "c", "block"))
+    n, doc, role, block = (frame[x].to_numpy() for x in ("n", "doc", "role", "block"))
+    part = np.unique(frame["c"].to_numpy(), return_inverse=True)[1]
     cells = np.frombuffer(b"".join(frame["cells"]), np.uint8).reshape(-1, CELLS).astype(np.int16)
+    held = [np.frombuffer(x, _U) if x else np.zeros(0, _U) for x in frame["tokens"]]
+    length = np.array([len(x) for x in held])
+    begin = np.concatenate([[0], np.cumsum(length)])
+    names, code = np.unique(np.concatenate(held), return_inverse=True)
+    mark = np.zeros(len(names) + 1, bool)
     crossing = frame["low"].iat[0] != frame["high"].iat[0]
     out = []
     for i in np.flatnonzero(role & 3):
-        start = int(np.searchsorted(n, -(-3 * n[i] // 4)))
-        y = np.arange(start, i)
+        y = np.arange(int(np.searchsorted(n, -(-3 * n[i] // 4))), i)
         cuts = (role[i] >> 2) + (role[y] >> 2)
-        y = y[(c[y] != c[i]) & (doc[y] != doc[i]) & (cuts < 2) & ((role[i] & 3) > cuts)]
+        y = y[(part[y] != part[i]) & (doc[y] != doc[i]) & (cuts < 2) & ((role[i] & 3) > cuts)]
         y = y[block[y] != block[i]] if crossing else y
         y = y[np.abs(cells[y] - cells[i]).sum(axis=1) <= (n[y] + n[i]) // 7]
-        out.append(np.stack([np.minimum(doc[y], doc[i]), np.maximum(doc[y], doc[i])]))
-    pairs = np.unique(np.concatenate(out, axis=1), axis=1) if out else np.zeros((2, 0), np.int64)
-    return pd.DataFrame({"a": pairs[0], "b": pairs[1]})
+        if not len(y):
+            continue
+        if n[i] > LONG:
+            out += [(doc[k], doc[i], False) for k in y]
+            continue
+        own = code[begin[i] : begin[i + 1]]
+        mark[own] = True
+        first = np.concatenate([[0], np.cumsum(length[y])])
+        both = np.add.reduceat(mark[code[np.repeat(begin[y] - first[:-1], length[y]) + np.arange(first[-1])]].astype(np.int64), first[:-1])
+        mark[own] = False
+        for k in y[100 * both >= 75 * (n[y] + n[i] - both)]:
+            if part[k] != part[i]:
+                part[part == part[k]] = part[i]
+                out.append((doc[k], doc[i], True))
+    pairs = pd.DataFrame(dict.fromkeys(out), columns=["x", "y", "linked"])
+    return pd.DataFrame({"a": pairs[["x", "y"]].min(axis=1), "b": pairs[["x", "y"]].max(axis=1), "linked": pairs["linked"]})
 
 
 def _verify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -292,11 +322,15 @@ def _verify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield frame.loc[keep, ["a", "b"]]
 
 
+def named_texts(names: DataFrame, texts: DataFrame) -> DataFrame:
+    """The rows of ``texts`` (doc_id, text) that ``names`` (doc_id) holds; only they are moved."""
+    named = written(names.distinct())
+    return texts.join(broadcast_if_small(named, named.count(), BROADCAST_IDS), "doc_id", "left_semi")
+
+
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs (a, b) of a written table whose texts link. Only texts of named documents are moved."""
-    named = written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
-    small = broadcast_if_small(named, named.count(), BROADCAST_IDS)
-    held = texts.join(small, "doc_id", "left_semi")
+    """Pairs (a, b) of a written table whose texts link."""
+    held = named_texts(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")), texts)
     left = held.select(F.col("doc_id").alias("b"), F.col("text").alias("right"))
     right = held.select(F.col("doc_id").alias("a"), F.col("text").alias("left"))
     return pairs.join(left, "b").join(right, "a").select("a", "b", "left", "right").mapInPandas(_verify, "a long, b long")
@@ -395,17 +429,18 @@ def near_copies(documents: DataFrame) -> DataFrame:
     across = pairs.join(in_a, "a", "left").join(in_b, "b", "left").where("coalesce(ca, a) <> coalesce(cb, b)").select("a", "b")
     named = _named(groups, parts)
     divided = named.groupBy("g").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("k")).where("low <> high")
-    cells = found.where(f"kind = {SIZE}").select(F.col("a").alias("doc"), "cells")
-    mixed = written(named.join(divided, "g").select("g", "doc", "n", "role", "c", "k").join(cells, "doc"))
+    mixed = written(named.join(divided, "g").select("g", "doc", "n", "role", "c", "k"))
+    outlines = written(named_texts(mixed.select(F.col("doc").alias("doc_id")), source).mapInPandas(outline, "doc long, cells binary, tokens binary"))
     blocks = mixed.withColumn("blocks", F.ceil(F.col("k") / BLOCK_MEMBERS)).withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")))
-    columns = ["block", "doc", "n", "role", "c", "cells"]
+    columns = ["block", "doc", "n", "role", "c"]
     one = blocks.where("blocks = 1").select("g", F.col("block").alias("low"), F.col("block").alias("high"), *columns)
     many = blocks.where("blocks > 1").withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     met = one.union(many.select("g", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), *columns))
-    rest = met.groupBy("g", "low", "high").applyInPandas(lambda frame: near_members(frame), "a long, b long").distinct()
-    remaining = written(across.union(rest).distinct().join(tried, ["a", "b"], "left_anti"))
-    if not remaining.isEmpty():
-        parts = components(written(links.union(verified(remaining, source))))
+    rest = written(met.join(outlines, "doc").groupBy("g", "low", "high").applyInPandas(lambda frame: near_members(frame), "a long, b long, linked boolean"))
+    links = links.union(rest.where("linked").select("a", "b"))
+    remaining = written(across.union(rest.where("not linked").select("a", "b")).distinct().join(tried, ["a", "b"], "left_anti"))
+    links = links.union(verified(remaining, source))
+    parts = components(written(links))
     named = first.select("print", "rep").join(sizes, "rep", "left").join(parts.select(F.col("node").alias("rep"), "component"), "rep", "left")
     named = named.select("print", "rep", F.coalesce("n_shingles", F.lit(0)).cast("long").alias("n_shingles"), F.coalesce("component", "rep").alias("component"))
     joined = members.join(named, "print")

@@ -111,8 +111,9 @@ def test_jaccard_join_equals_brute_force(spark):
     assert jaccard_join.near_copies(docs(spark, [])).count() == 0
 
 
-def test_jaccard_join_with_split_groups(spark, set_in_tasks):
-    set_in_tasks(jaccard_join, HEAVY=3, PAIRS_UP_TO=2, BLOCK_MEMBERS=4, FLUSH_TOKENS=2_000)
+@pytest.mark.parametrize("long", [2_048, 30])
+def test_jaccard_join_with_split_groups(spark, set_in_tasks, long):
+    set_in_tasks(jaccard_join, HEAVY=3, PAIRS_UP_TO=2, BLOCK_MEMBERS=4, FLUSH_TOKENS=2_000, LONG=long)
     rows = edited(random.Random(8), [5, 9, 20, 40, 90], 25)
     frame = docs(spark, rows).withColumn("component", F.lit("clash")).withColumn("g", F.lit(1))
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.near_copies(frame).collect()} == brute_components(rows)
