@@ -15,6 +15,7 @@ from safelabel.operators.sampling import balance, balance_summary
 from safelabel.plans.binary_corpus import binary_table, sampled_pairs
 from safelabel.plans.evaluation import evaluate_binary
 from safelabel.plans.weak_labels import balanced_training_table, label_dialogues, with_distribution_text
+from safelabel.session import stage_table
 
 _WON = f"won AS (SELECT language, {S.winner('v')} AS category FROM vectors)"
 
@@ -48,7 +49,8 @@ def _(spark, sf):
     rows = I.labelled(spark, sf).select("doc_id", F.col("v"))
     from safelabel.functions.vectors import winner
 
-    summary = balance_summary(rows.select("doc_id", winner("v").alias("category")), "category", 40, CATEGORIES)
+    won = rows.select("doc_id", winner("v").alias("category"))
+    summary = balance_summary(won, balance(won, "category", 40, I.SEED, "doc_id"), "category", CATEGORIES)
     return summary.agg(F.sum("before").alias("before"), F.sum("after").alias("after"))
 
 
@@ -113,12 +115,12 @@ def _(spark, sf):
     won AS (SELECT concat(conv_id, '-', language) AS id, {S.winner('v')} AS category FROM spread WHERE text IS NOT NULL AND list_sum(c) > 0),
     pools AS (SELECT category, count(*) AS n FROM won GROUP BY category),
     r AS (SELECT won.*, n, row_number() OVER (PARTITION BY category ORDER BY {S.row_hash(I.SEED, 'id')}, id) AS rn FROM won JOIN pools USING (category)),
-    draws AS (SELECT category, 1 + CAST(concat('0x', substr(md5(concat_ws('|', '{I.SEED}', 'draw', category, j)), 1, 8)) AS BIGINT) % n AS rn FROM pools, range(1, 31) AS t(j) WHERE n < 30)
+    draws AS (SELECT category, 1 + CAST(concat('0x', substr(md5(concat_ws('|', '{I.SEED}', 'draw', category, j)), 1, 15)) AS BIGINT) % n AS rn FROM pools, range(1, 31) AS t(j) WHERE n < 30)
     SELECT id, category FROM r WHERE n >= 30 AND rn <= 30 UNION ALL SELECT id, r.category FROM r JOIN draws USING (category, rn)""")
 def _(spark, sf):
-    labelled = with_distribution_text(label_dialogues(I.dialogues(spark, sf), I.TAXONOMY, source="translated"))
-    labelled = labelled.withColumn("id", F.concat_ws("-", F.col("conv_id").cast("string"), "language"))
-    return balanced_training_table(labelled, 30, I.SEED).select("id", "category")
+    dialogues = I.dialogues(spark, sf).withColumnRenamed("conv_id", "id")
+    labelled = with_distribution_text(label_dialogues(dialogues, I.TAXONOMY, source="translated"))
+    return balanced_training_table(labelled, 30, I.SEED, id_col="row_id").select(F.col("row_id").alias("id"), "category")
 
 
 @query("l2_binary_corpus", f"""WITH {S.LABELLED}, sizes AS (SELECT source, language, count(*) AS n FROM labelled GROUP BY ALL),
@@ -128,9 +130,9 @@ def _(spark, sf):
     SELECT doc_id, CASE WHEN harmful = '1' THEN 'UNSAFE' ELSE 'SAFE' END AS label,
     CASE WHEN rn <= greatest(1, least(floor(n * 0.9::DOUBLE), n - 1)) THEN 'train' ELSE 'test' END AS split FROM placed, total""")
 def _(spark, sf):
-    rows = binary_table(I.labelled(spark, sf).drop("v"), I.LEXICON)
+    rows = stage_table(binary_table(I.labelled(spark, sf).drop("v"), I.LEXICON), "binary-rows")
     quotas = rows.groupBy("source", "language").agg(F.count(F.lit(1)).alias("n")).select("source", "language", F.expr("n div 2").alias("quota"))
-    return sampled_pairs(rows, quotas, I.SEED, id_col="doc_id", harm="harmful").select("doc_id", "label", "split")
+    return sampled_pairs(rows, quotas, I.SEED, id_col="doc_id", harm="harmful", stage=False).select("doc_id", "label", "split")
 
 
 @query("l3_evaluation", f"""WITH {S.JUDGED}, {S.stats('valid', S.BINARY_LIST, 'language')} {S.report('valid', S.BINARY_LIST, 'language')}""")

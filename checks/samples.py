@@ -15,7 +15,7 @@ from safelabel.operators.sampling import (
     balance, balance_summary, clean_test, quota_sample, ratio_split, row_hash, sample_n, shuffle, union_picks,
 )
 from safelabel.catalog import CATEGORIES
-from safelabel.session import stage_table
+from safelabel.session import small_side, stage_table
 
 KEYS = ["source", "language"]
 HASH = S.row_hash(I.SEED, "doc_id")
@@ -58,7 +58,7 @@ N = 40
 _WINNERS = f"""{S.LABELLED}, won AS MATERIALIZED (SELECT doc_id, {S.winner('v')} AS category FROM labelled),
     pools AS (SELECT category, count(*) AS n FROM won GROUP BY category),
     r AS (SELECT won.*, n, row_number() OVER (PARTITION BY category ORDER BY {HASH}, doc_id) AS rn FROM won JOIN pools USING (category))"""
-_DRAWS = f"""draws AS (SELECT category, 1 + CAST(concat('0x', substr(md5(concat_ws('|', '{I.SEED}', 'draw', category, j)), 1, 8)) AS BIGINT) % n AS rn
+_DRAWS = f"""draws AS (SELECT category, 1 + CAST(concat('0x', substr(md5(concat_ws('|', '{I.SEED}', 'draw', category, j)), 1, 15)) AS BIGINT) % n AS rn
     FROM pools, range(1, {N + 1}) AS t(j) WHERE n < {N})"""
 
 
@@ -79,7 +79,8 @@ def _(spark, sf):
     CASE WHEN n IS NULL THEN 'skipped' WHEN n > {N} THEN 'undersampled' WHEN n < {N} THEN 'oversampled' ELSE 'kept' END AS action
     FROM range(1, 18) AS t(i) LEFT JOIN pools ON category = concat('S', i)""")
 def _(spark, sf):
-    return balance_summary(_with_winner(spark, sf), "category", N, CATEGORIES)
+    rows = _with_winner(spark, sf)
+    return balance_summary(rows, balance(rows, "category", N, I.SEED, "doc_id"), "category", CATEGORIES)
 
 
 @query("e06_shuffle", f"WITH {S.DOCS} SELECT doc_id, {HASH} AS place FROM docs")
@@ -123,7 +124,7 @@ def _(spark, sf):
 @query("c04_quota_join", f"""WITH {S.DOCS}, {SIZES} SELECT source, language, n, CASE WHEN n < 2 THEN 0 ELSE CAST(ceil(n / 2) AS BIGINT) END AS quota FROM sizes""")
 def _(spark, sf):
     docs = I.documents(spark, sf)
-    return bucket_sizes(docs, KEYS).join(F.broadcast(_quotas(docs)), KEYS)
+    return bucket_sizes(docs, KEYS).join(small_side(_quotas(docs)), KEYS)
 
 
 _PARTS = f"parts AS (SELECT doc_id, text, {S.digit('part')} < '3' AS is_test FROM docs)"

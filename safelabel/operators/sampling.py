@@ -5,8 +5,10 @@ rows up to the k-th in that order.  The k-th row is found from counts per leadin
 hash digits (a small aggregate with map-side combine), taking further digits while the
 range it lies in is still large, and at last by ranking that one small range.  Then
 every row is compared with the cut-off where it lies.  So no key, however large, is
-ever gathered in one task, and the wide rows are not shuffled at all.  Row ids must be
-unique.
+ever gathered in one task, and the wide rows are not shuffled at all.
+
+Row ids, one column or a list of them, must be unique: where a repeated id would change a
+size or an order, the sampler raises.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from safelabel.catalog import CATEGORIES
-from safelabel.session import broadcast_if, pin, pin_if_small
+from safelabel.session import broadcast_if, pin, pin_if_small, stage_table
 
 # Hex digits of the hash that split a range further: 16**3 parts, few enough for a task
 # to combine most of its rows before the shuffle.
@@ -32,11 +34,28 @@ def row_hash(seed: int, *cols: Column | str) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") if isinstance(c, str) else c for c in cols]))
 
 
-def _hashed(df: DataFrame, keys: list[str], seed: int, id_col: str, digits: int) -> DataFrame:
-    return df.select(*keys, row_hash(seed, id_col).alias("_hash"), F.col(id_col).alias("_id")) \
+def id_columns(id_col: str | list[str]) -> list[str]:
+    return [id_col] if isinstance(id_col, str) else list(id_col)
+
+
+def _id(id_col: str | list[str]) -> Column:
+    return F.col(id_col) if isinstance(id_col, str) else F.struct(*id_col)
+
+
+def _hashed(df: DataFrame, keys: list[str], seed: int, id_col: str | list[str], digits: int) -> DataFrame:
+    return df.select(*keys, row_hash(seed, *id_columns(id_col)).alias("_hash"), _id(id_col).alias("_id")) \
         .withColumn("_range", F.substring("_hash", 1, digits))
 
 
+def _ranked(hashed: DataFrame, keys: list[str]) -> DataFrame:
+    """Add the position ``_nth`` within the keys and the place ``_last`` of a row; ids that repeat raise."""
+    order = Window.partitionBy(*keys).orderBy("_hash", "_id")
+    place = F.struct("_hash", "_id")
+    return (hashed.withColumn("_nth", F.row_number().over(order)).withColumn("_next", F.lead(place).over(order))
+            .withColumn("_last", F.when(F.col("_next") == place, F.raise_error(F.lit("row ids repeat; samples need unique ones"))).otherwise(place))
+            .drop("_next"))
+
+
 def _cumulated(counts: DataFrame, parent: list[str]) -> DataFrame:
     """Add the rows of the parent before each range, and in all."""
     within = Window.partitionBy(*parent)
@@ -45,7 +64,7 @@ def _cumulated(counts: DataFrame, parent: list[str]) -> DataFrame:
             .withColumn("_total", F.sum("_rows").over(within)))
 
 
-def hash_ranges(df: DataFrame, keys: list[str], seed: int, id_col: str) -> DataFrame:
+def hash_ranges(df: DataFrame, keys: list[str], seed: int, id_col: str | list[str]) -> DataFrame:
     """Rows per key and hash range, with the rows of the key before it and in all."""
     hashed = _hashed(df, keys, seed, id_col, RANGE_DIGITS)
     return _cumulated(hashed.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_rows")), keys)
@@ -57,16 +76,16 @@ def _boundaries(ranges: DataFrame, keys: list[str]) -> DataFrame:
     return ranges.filter(inside).select(*keys, "_cut", "_range", (F.col("_nth") - F.col("_before")).alias("_nth"), "_rows")
 
 
-def last_rows(df: DataFrame, ranges: DataFrame, keys: list[str], seed: int, id_col: str, few: bool,
+def last_rows(df: DataFrame, ranges: DataFrame, keys: list[str], seed: int, id_col: str | list[str], few: bool,
               check: Callable[[DataFrame], None] = lambda bounds: None) -> DataFrame:
     """Hash and id of the row at position ``_cut`` of each key, for every ``_cut`` given.
 
     ``ranges`` is the output of ``hash_ranges`` with a column ``_cut`` added.  ``few``
-    says that the number of cuts is known to be small: then they are worked out here and
-    now.  A cut past the end of its key has no row; ``check`` sees the keys and cuts
+    says that the number of cuts is known to be small: then they are kept with the plan,
+    else in a staged table.  A cut past the end of its key has no row; ``check`` sees the keys and cuts
     that have one.
     """
-    settle = pin if few else (lambda frame: frame)
+    settle = pin if few else (lambda frame: stage_table(frame, "cuts"))
     digits, bounds = RANGE_DIGITS, settle(_boundaries(ranges.withColumn("_nth", F.col("_cut")), keys))
     check(bounds)
 
@@ -74,23 +93,22 @@ def last_rows(df: DataFrame, ranges: DataFrame, keys: list[str], seed: int, id_c
         wanted = bounds.select(*keys, "_range").distinct()
         return _hashed(df, keys, seed, id_col, digits).join(broadcast_if(few, wanted), [*keys, "_range"], "left_semi")
 
-    while few and digits < 32 and (bounds.agg(F.max("_rows")).first()[0] or 0) > RANK_ROWS:
+    while digits < 32 and (bounds.agg(F.max("_rows")).first()[0] or 0) > RANK_ROWS:
         deeper = min(digits + RANGE_DIGITS, 32)
         counts = (rows_inside().groupBy(*keys, F.col("_range").alias("_parent"), F.substring("_hash", 1, deeper).alias("_range"))
                   .agg(F.count(F.lit(1)).alias("_rows")))
         positions = bounds.select(*keys, F.col("_range").alias("_parent"), "_cut", "_nth")
-        parts = _cumulated(counts, [*keys, "_parent"]).join(F.broadcast(positions), [*keys, "_parent"])
-        digits, bounds = deeper, pin(_boundaries(parts, keys))
+        parts = _cumulated(counts, [*keys, "_parent"]).join(broadcast_if(few, positions), [*keys, "_parent"])
+        digits, bounds = deeper, settle(_boundaries(parts, keys))
 
-    in_range = Window.partitionBy(*keys, "_range").orderBy("_hash", "_id")
-    ranked = rows_inside().withColumn("_nth", F.row_number().over(in_range))
+    ranked = _ranked(rows_inside(), [*keys, "_range"])
     positions = bounds.select(*keys, "_range", "_cut", "_nth")
     return settle(ranked.join(broadcast_if(few, positions), [*keys, "_range", "_nth"])
-                  .select(*keys, "_cut", F.struct("_hash", "_id").alias("_last")))
+                  .select(*keys, "_cut", "_last"))
 
 
-def _place(seed: int, id_col: str) -> Column:
-    return F.struct(row_hash(seed, id_col).alias("_hash"), F.col(id_col).alias("_id"))
+def _place(seed: int, id_col: str | list[str]) -> Column:
+    return F.struct(row_hash(seed, *id_columns(id_col)).alias("_hash"), _id(id_col).alias("_id"))
 
 
 # --- quota sampling -------------------------------------------------------------------
@@ -111,7 +129,7 @@ def quota_picks(quotas: DataFrame, keys: list[str], pick: str | None = None) ->
             .filter("_want > 0"))
 
 
-def quota_sample(df: DataFrame, quotas: DataFrame, keys: list[str], seed: int = 42, id_col: str = "id",
+def quota_sample(df: DataFrame, quotas: DataFrame, keys: list[str], seed: int = 42, id_col: str | list[str] = "id",
                  pick: str | None = None, on_short: str = "error") -> DataFrame:
     """Exactly ``quota`` random rows for each row of ``quotas``, without replacement.
 
@@ -147,7 +165,7 @@ def quota_sample(df: DataFrame, quotas: DataFrame, keys: list[str], seed: int =
 
 
 # --- whole-table draws ----------------------------------------------------------------
-def _below_cut(df: DataFrame, cut: Column, seed: int, id_col: str, out: str) -> tuple[DataFrame, bool]:
+def _below_cut(df: DataFrame, cut: Column, seed: int, id_col: str | list[str], out: str) -> tuple[DataFrame, bool]:
     """Add ``out``: whether a row is among the first ``cut`` rows in hash order.
 
     ``cut`` is computed from ``_total``, the number of rows.  Also tells whether there
@@ -162,7 +180,7 @@ def _below_cut(df: DataFrame, cut: Column, seed: int, id_col: str, out: str) ->
     return marked, not last.isEmpty()
 
 
-def sample_n(df: DataFrame, n: int | None, seed: int = 42, id_col: str = "id") -> DataFrame:
+def sample_n(df: DataFrame, n: int | None, seed: int = 42, id_col: str | list[str] = "id") -> DataFrame:
     """``n`` random rows without replacement; all rows when ``n`` is None or too large."""
     if n is None:
         return df
@@ -171,7 +189,7 @@ def sample_n(df: DataFrame, n: int | None, seed: int = 42, id_col: str = "id") -
     return marked.filter("_in").drop("_in")
 
 
-def ratio_split(df: DataFrame, ratio: float, seed: int = 42, id_col: str = "id", out: str = "split") -> DataFrame:
+def ratio_split(df: DataFrame, ratio: float, seed: int = 42, id_col: str | list[str] = "id", out: str = "split") -> DataFrame:
     """Mark a random ``ratio`` of the rows as train and the rest as test, exactly.
 
     Neither side is empty when there are two rows or more; a single row is train, and
@@ -200,18 +218,18 @@ DRAW_BLOCK = 100_000
 
 
 def _draw_counts(short: DataFrame, category: str, n: int, seed: int) -> DataFrame:
-    """How often each position of a short pool is drawn in ``n`` draws with replacement."""
+    """How often a block of the ``n`` draws with replacement takes each position of a short pool."""
     last_block = (n - 1) // DRAW_BLOCK
     blocks = short.select(category, "_total", F.explode(F.sequence(F.lit(0), F.lit(last_block))).alias("_block"))
     if last_block:
         blocks = blocks.repartition(category, "_block")
     first = F.col("_block").cast("bigint") * DRAW_BLOCK + 1
-    draws = blocks.select(category, "_total", F.explode(F.sequence(first, F.least(first + DRAW_BLOCK - 1, F.lit(n)))).alias("_draw"))
-    number = F.conv(F.substring(row_hash(seed, F.lit("draw"), category, "_draw"), 1, 8), 16, 10).cast("bigint")
-    return draws.groupBy(category, (number % F.col("_total") + 1).alias("_nth")).agg(F.count(F.lit(1)).alias("_times"))
+    draws = blocks.select(category, "_total", "_block", F.explode(F.sequence(first, F.least(first + DRAW_BLOCK - 1, F.lit(n)))).alias("_draw"))
+    number = F.conv(F.substring(row_hash(seed, F.lit("draw"), category, "_draw"), 1, 15), 16, 10).cast("bigint")
+    return draws.groupBy(category, (number % F.col("_total") + 1).alias("_nth"), "_block").agg(F.count(F.lit(1)).alias("_times"))
 
 
-def balance(df: DataFrame, category: str, n: int, seed: int = 42, id_col: str = "id",
+def balance(df: DataFrame, category: str, n: int, seed: int = 42, id_col: str | list[str] = "id",
             categories: list[str] = CATEGORIES) -> DataFrame:
     """Exactly ``n`` rows of every one of the ``categories`` that has any.
 
@@ -225,23 +243,28 @@ def balance(df: DataFrame, category: str, n: int, seed: int = 42, id_col: str =
     large = (df.join(F.broadcast(lasts), category)
              .filter(_place(seed, id_col) <= F.col("_last")).drop("_last").withColumn("draw", F.lit(1).cast("bigint")))
 
-    # A short pool has fewer than n rows, so ranking it in one task is bounded.
+    # A short pool has fewer than n rows, so ranking its ids in one task is bounded; the copies
+    # of its rows are made by block of draws, in many tasks however small the pool.
     short = pin(df.groupBy(category).agg(F.count(F.lit(1)).alias("_total")).filter(F.col("_total") < n))
-    ranked = (df.join(F.broadcast(short.select(category)), category, "left_semi")
-              .withColumn("_nth", F.row_number().over(Window.partitionBy(category).orderBy(row_hash(seed, id_col), id_col))))
-    drawn = (ranked.join(_draw_counts(short, category, n, seed), [category, "_nth"])
-             .withColumn("draw", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_times")))))
+    pools = df.join(F.broadcast(short.select(category)), category, "left_semi")
+    ranked = _ranked(_hashed(pools, [category], seed, id_col, RANGE_DIGITS), [category])
+    taken = ranked.join(_draw_counts(short, category, n, seed), [category, "_nth"]).select(category, "_last", "_block", "_times")
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    before = F.col("_block").cast("bigint") * DRAW_BLOCK
+    drawn = (pools.withColumn("_last", _place(seed, id_col)).join(taken, [category, "_last"])
+             .repartition(tasks, category, "_last", "_block")
+             .withColumn("draw", F.explode(F.sequence(before + 1, before + F.col("_times")))))
     return large.unionByName(drawn.select(*large.columns))
 
 
-def balance_summary(df: DataFrame, category: str, n: int, categories: list[str]) -> DataFrame:
-    """Pool and result size of every category, and how the result comes about."""
-    sizes = df.groupBy(category).agg(F.count(F.lit(1)).alias("pool"))
+def balance_summary(df: DataFrame, balanced: DataFrame, category: str, categories: list[str]) -> DataFrame:
+    """Rows of every category in the pool and in the balanced table, both counted, and what was done."""
+    size = lambda frame, name: frame.groupBy(category).agg(F.count(F.lit(1)).alias(name))
     names = df.sparkSession.range(1).select(F.posexplode(F.array(*[F.lit(c) for c in categories])).alias("ord", category))
-    pool = F.coalesce("pool", F.lit(0).cast("bigint"))
-    return names.join(sizes, category, "left").select(
-        category, "ord", pool.alias("before"), F.when(pool > 0, F.lit(n).cast("bigint")).otherwise(0).alias("after"),
-        F.when(pool == 0, "skipped").when(pool > n, "undersampled").when(pool < n, "oversampled").otherwise("kept").alias("action"))
+    before, after = (F.coalesce(c, F.lit(0).cast("bigint")) for c in ("before", "after"))
+    action = F.when(before == 0, "skipped").when(before > after, "undersampled").when(before < after, "oversampled").otherwise("kept")
+    return names.join(size(df, "before"), category, "left").join(size(balanced, "after"), category, "left").select(
+        category, "ord", before.alias("before"), after.alias("after"), action.alias("action"))
 
 
 # --- clean test set -------------------------------------------------------------------

@@ -9,7 +9,7 @@ from safelabel.catalog import DIALOGUE_COLUMNS, ROWS_PER_CATEGORY
 from safelabel.functions.taxonomy import Taxonomy
 from safelabel.functions.vectors import format_distribution, map_to_vector, parse_distribution, winner
 from safelabel.operators.labelling import VECTOR, keep_labelled, propagate_labels, with_dialogue_vector
-from safelabel.operators.sampling import balance, shuffle
+from safelabel.operators.sampling import balance, id_columns, shuffle
 from safelabel.operators.scanning import keep_computed
 from safelabel.session import stage_table
 
@@ -37,7 +37,7 @@ def with_distribution_text(labelled: DataFrame, distribution: str = "safety_dist
     return labelled.withColumn(distribution, format_distribution(map_to_vector(distribution)))
 
 
-def balanced_training_table(labelled: DataFrame, n: int = ROWS_PER_CATEGORY, seed: int = 42, id_col: str = "id",
+def balanced_training_table(labelled: DataFrame, n: int = ROWS_PER_CATEGORY, seed: int = 42, id_col: str | list[str] = "id",
                             ordered: bool = True, stage: bool = True) -> DataFrame:
     """``n`` rows per winning category, in random order.
 
@@ -46,4 +46,4 @@ def balanced_training_table(labelled: DataFrame, n: int = ROWS_PER_CATEGORY, see
     """
     rows = with_winner(labelled)
     rows = balance(stage_table(rows, "labelled") if stage else rows, "category", n, seed, id_col)
-    return shuffle(rows, seed, id_col, "draw") if ordered else rows
+    return shuffle(rows, seed, *id_columns(id_col), "draw") if ordered else rows

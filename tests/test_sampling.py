@@ -134,3 +134,26 @@ def test_one_hot_key_is_never_gathered(spark):
     assert out.count() == 1234 and "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
     largest = S.hash_ranges(df, ["k"], 42, "id").agg(F.max("_rows")).first()[0]
     assert largest <= 12
+
+
+def test_repeated_ids_raise_where_they_matter(spark):
+    twice = pool(spark, {"a": 30}).select(F.lit("same").alias("id"), "k")
+    with pytest.raises(Exception, match="row ids repeat"):
+        S.quota_sample(twice, quotas(spark, [("a", "x", 7)]), ["k"]).collect()
+    with pytest.raises(Exception, match="row ids repeat"):
+        S.balance(twice, "k", 50, categories=["a"]).collect()
+
+
+def test_ids_of_several_columns(spark):
+    rows = spark.createDataFrame([(i, lang, "a") for i in range(20) for lang in ("bn", "kn", "ml")], "id int, lang string, k string")
+    for n in (10, 30, 90):
+        out = S.balance(rows, "k", n, id_col=["id", "lang"], categories=["a"])
+        assert out.count() == n and out.select("id", "lang", "draw").distinct().count() == n
+    assert S.sample_n(rows, 31, id_col=["id", "lang"]).count() == 31
+
+
+def test_copies_of_one_row_are_made_in_many_tasks(spark):
+    out = S.balance(pool(spark, {"a": 1}), "k", 1_000_000, categories=["a"])
+    tasks = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert sum(r["count"] for r in tasks) == 1_000_000 and len(tasks) > 1
+    assert out.select("draw").distinct().count() == 1_000_000
