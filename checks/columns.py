@@ -17,7 +17,7 @@ from safelabel.functions import vectors as V
 from safelabel.functions.scripts import tag_language
 from safelabel.operators.confusion import misclassified
 from safelabel.operators.labelling import keep_labelled, label_coverage, propagate_labels, with_category_counts, with_dialogue_vector
-from safelabel.operators.pairs import pair_predictions, render_prompt, sft_pairs
+from safelabel.operators.pairs import pair_predictions, pairing_summary, render_prompt, sft_pairs
 from safelabel.operators.profanity import (
     drop_safety_columns, flag_profanity, minimise_lexicon, profanity_rows, term_hits, with_lexicon_terms,
 )
@@ -140,6 +140,19 @@ def _(spark, sf):
         "doc_id", I.micro(V.parse_distribution("truth")).alias("truth"), I.micro(V.parse_distribution("pred_raw")).alias("pred"))
 
 
+def _kv_text(before: str, after: str = "") -> str:
+    """Every number of ``truth`` in the form of ``I.map_text``; what no number can be read from is left out."""
+    number = lambda i: rf"TRY_CAST(nullif(regexp_extract(truth, concat('{before}S', {i}, '{after}: ([+-]?(?:[0-9]+[.]?[0-9]*|[.][0-9]+)(?:[eE][+-]?[0-9]+)?)'), 1), '') AS DOUBLE)"
+    entries = S.each("", f"CASE WHEN {number('i')} IS NOT NULL THEN concat('S', i, '=', CAST(round({number('i')} * 1000000) AS BIGINT)) END")
+    return f"array_to_string(list_filter({entries}, lambda e: e IS NOT NULL), ',')"
+
+
+@query("b16_all_values", rf"""WITH {S.DISTRIBUTIONS} SELECT doc_id, {_kv_text('(?:^|[{ ])')} AS entries FROM distributions WHERE truth IS NOT NULL""")
+def _(spark, sf):
+    m = V.parse_kv(F.translate("truth", "{}", ""))
+    return I.distributions(spark, sf).filter("truth IS NOT NULL").select("doc_id", I.map_text(m).alias("entries"))
+
+
 @query("b16_parse_kv", rf"""WITH {S.DISTRIBUTIONS} SELECT doc_id, len(string_split(truth, ',')) AS entries,
     CAST(round(TRY_CAST(regexp_extract(truth, '(^|[{{ ])S3: ([0-9.]*)', 2) AS DOUBLE) * 1000000) AS BIGINT) AS s3 FROM distributions
     WHERE truth IS NOT NULL""")
@@ -198,6 +211,12 @@ def _(spark, sf):
     return I.distributions(spark, sf).select("doc_id", F.size(m).alias("entries"))
 
 
+@query("b43_json_values", f"""WITH {S.DISTRIBUTIONS} SELECT doc_id, CASE WHEN {S.digit('kind truth')} = '2' THEN {_kv_text('"', '"')} ELSE '' END AS entries FROM distributions""")
+def _(spark, sf):
+    m = V.parse_distribution_json("truth")
+    return I.distributions(spark, sf).select("doc_id", F.coalesce(I.map_text(m), F.lit("")).alias("entries"))
+
+
 # --- labels ----------------------------------------------------------------------------
 _LABEL_SQL = f"""CASE {S.digit('label')} WHEN '0' THEN ' 1 ' WHEN '1' THEN '1.9' WHEN '2' THEN 'nan' WHEN '3' THEN '' WHEN '4' THEN NULL
     WHEN '5' THEN '2' WHEN '6' THEN 'yes' WHEN '7' THEN '-1' WHEN '8' THEN '1e0' ELSE harmful END"""
@@ -312,18 +331,32 @@ def _(spark, sf):
     return _pairs(spark, sf).select("doc_id", F.round(V.average_precision("t", "p"), 6).alias("ap"))
 
 
-_TOKENS_LOWER = "regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+')"
-_VOTES = ", ".join(f"{{n: len(list_filter(w, lambda x: x IN ({', '.join(map(S.quoted, words))}))), o: {-i}, k: '{code}'}}"
+TOKENS_LOWER = "regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+')"
+VOTES = ", ".join(f"{{n: len(list_filter(w, lambda x: x IN ({', '.join(map(S.quoted, words))}))), o: {-i}, k: '{code}'}}"
                    for i, (code, words) in enumerate(sorted(EXAMPLE_STOP_WORDS.items())))
 
 
-@query("b38_language_tag", f"""WITH {S.DOCS}, words AS (SELECT doc_id, language, {_TOKENS_LOWER} AS w FROM docs),
-    votes AS (SELECT doc_id, language, list_max([{_VOTES}]) AS best FROM words)
+@query("b38_language_tag", f"""WITH {S.DOCS}, words AS (SELECT doc_id, language, {TOKENS_LOWER} AS w FROM docs),
+    votes AS (SELECT doc_id, language, list_max([{VOTES}]) AS best FROM words)
     SELECT doc_id, language, CASE WHEN best.n > 0 THEN best.k ELSE 'unknown' END AS tag FROM votes""")
 def _(spark, sf):
     return I.documents(spark, sf).select("doc_id", "language", tag_language("text").alias("tag"))
 
 
+# Words of the scripts that the tables do not hold, planted by a digit of the row.
+_PLANTED = {"0": "নৌকা ঘাটে", "1": "ଡଙ୍ଗା ନଦୀ", "2": "ದೋಣಿ ನದಿ", "3": "വള്ളം പുഴ"}
+_PLANTED_TAGS = {"0": "bn", "1": "or", "2": "kn", "3": "ml"}
+
+
+@query("b38_planted_scripts", f"""WITH {S.DOCS}, planted AS (SELECT doc_id, {S.digit('script')} AS d, {TOKENS_LOWER} AS w FROM docs),
+    votes AS (SELECT doc_id, d, list_max([{VOTES}]) AS best FROM planted)
+    SELECT doc_id, CASE d {' '.join(f"WHEN '{d}' THEN '{t}'" for d, t in _PLANTED_TAGS.items())} ELSE CASE WHEN best.n > 0 THEN best.k ELSE 'unknown' END END AS tag FROM votes""")
+def _(spark, sf):
+    d = I.digit("script")
+    added = F.coalesce(*[F.when(d == k, F.lit(words)) for k, words in _PLANTED.items()], F.lit(""))
+    return I.documents(spark, sf).select("doc_id", tag_language(F.concat_ws(" ", "text", added)).alias("tag"))
+
+
 @query("b39_misclassified", f"WITH {S.JUDGED} SELECT doc_id, gold, pred, gold = pred AS correct FROM judged WHERE gold <> pred")
 def _(spark, sf):
     return misclassified(normalised(I.predictions(spark, sf))).select("doc_id", "gold", "pred", "correct")
@@ -375,6 +408,30 @@ def _(spark, sf):
     return pair_predictions(rows.select("doc_id", "gold"), rows.select("doc_id", "pred_raw"), "doc_id")
 
 
+_SIDES = f"""g AS (SELECT doc_id FROM docs WHERE {S.digit('gold side')} < 'd' UNION ALL SELECT doc_id FROM docs WHERE {S.digit('gold side')} = '1'),
+    p AS (SELECT doc_id FROM docs WHERE {S.digit('pred side')} < 'c' UNION ALL SELECT doc_id FROM docs WHERE {S.digit('pred side')} < '2')"""
+
+
+def _sides(spark, sf):
+    """Gold and predictions that lack some ids and repeat others."""
+    docs, g, p = I.documents(spark, sf).select("doc_id"), I.digit("gold side"), I.digit("pred side")
+    return (docs.filter(g < "d").unionByName(docs.filter(g == "1")), docs.filter(p < "c").unionByName(docs.filter(p < "2")))
+
+
+@query("c03_pairs_with_unmatched", f"WITH {S.DOCS}, {_SIDES} SELECT g.doc_id, p.doc_id IS NOT NULL AS answered FROM g LEFT JOIN p USING (doc_id)")
+def _(spark, sf):
+    gold, predictions = _sides(spark, sf)
+    return pair_predictions(gold, predictions.withColumn("answered", F.lit(True)), "doc_id", keep_unmatched=True).select(
+        "doc_id", F.coalesce("answered", F.lit(False)).alias("answered"))
+
+
+@query("c03_pairing_summary", f"""WITH {S.DOCS}, {_SIDES}, gs AS (SELECT doc_id, count(*) AS n FROM g GROUP BY ALL), ps AS (SELECT doc_id, count(*) AS n FROM p GROUP BY ALL)
+    SELECT count(*) FILTER (WHERE gs.n > 0 AND ps.n > 0) AS matched, count(*) FILTER (WHERE ps.n IS NULL) AS gold_only, count(*) FILTER (WHERE gs.n IS NULL) AS pred_only,
+    count(*) FILTER (WHERE gs.n > 1) AS repeated_gold, count(*) FILTER (WHERE ps.n > 1) AS repeated_pred FROM gs FULL JOIN ps USING (doc_id)""")
+def _(spark, sf):
+    return pairing_summary(*_sides(spark, sf), "doc_id")
+
+
 @query("c05_term_hits", f"WITH {S.DOCS}, {S.LEXICON} SELECT DISTINCT doc_id, d.language, term FROM docs d JOIN lexicon l ON d.language = l.language AND contains(text, term)")
 def _(spark, sf):
     return term_hits(I.documents(spark, sf), I.lexicon_table(spark)).select("doc_id", "language", "term")

@@ -14,6 +14,7 @@ from safelabel.operators import confusion as C
 from safelabel.operators import ranking as R
 from safelabel.operators import reports as P
 from safelabel.operators.pairs import render_prompt
+from safelabel.operators.sampling import ratio_split
 from safelabel.operators.scoring import fit_binary_head, moderate_with_models, predict_binary_head, score_batches
 from safelabel.plans.evaluation import normalised
 from safelabel.streaming.jobs import moderated
@@ -99,6 +100,9 @@ _MEANS = "round(avg(kl), 6) AS mean_kl, round(avg(ap), 6) AS map, round(avg(r1),
 _RATES = f"""round(count(CASE WHEN t IS NOT NULL AND p IS NOT NULL THEN 1 END)::DOUBLE / count(*), 6) AS success_rate,
     round((count({_USED}) - count(CASE WHEN t IS NOT NULL AND p IS NULL THEN 1 END))::DOUBLE / count({_USED}), 6) AS group_success_rate"""
 
+MULTI = (f"{_COUNTS}, {_RATES}, {_MEANS}, round(avg(jac), 6) AS jaccard, round(avg(em), 6) AS exact_match, "
+         "round(avg(hit), 6) AS top1_accuracy")
+
 
 @query("d15_distribution_metrics", f"WITH {S.SCORED} SELECT {_MEANS} FROM scored")
 def _(spark, sf):
@@ -137,9 +141,7 @@ _BY = f"m AS (SELECT language, count({_USED}) AS samples, avg(ap) AS map, avg(kl
     UNION ALL SELECT 'mean_kl', arg_min(language, mean_kl), round(min(mean_kl), 6) FROM m""")
 def _(spark, sf):
     table = R.distribution_metrics(scored(spark, sf), "language")
-    pick = lambda metric, largest: R.best_by(table, "language", metric, largest).select(
-        F.lit(metric).alias("metric"), "language", F.round(metric, 6).alias("value"))
-    return pick("map", True).unionByName(pick("mean_kl", False))
+    return R.best_of(table, "language", {"map": True, "mean_kl": False}).withColumns(I.six("value"))
 
 
 @query("d31_mean_group_size", f"WITH {S.SCORED}, {_BY} SELECT avg(samples) AS mean_size FROM m")
@@ -166,6 +168,16 @@ def _(spark, sf):
     return table.withColumns(I.six(*[c for c in table.columns if c not in ("run", "valid")]))
 
 
+@query("d32_compare_distributions", f"""WITH {S.SCORED}, runs AS (SELECT *, CASE WHEN {S.digit('run')} < '8' THEN 'run_a' ELSE 'run_b' END AS run FROM scored)
+    SELECT run, {_COUNTS}, {_RATES}, {_MEANS}, round(avg(jac), 6) AS jaccard, round(avg(em), 6) AS exact_match, round(avg(hit), 6) AS top1_accuracy,
+    round(avg((doc_id % 7)::DOUBLE / 4), 6) AS mean_latency_sec FROM runs GROUP BY run""")
+def _(spark, sf):
+    runs = scored(spark, sf).withColumns({
+        "run": F.when(I.digit("run") < "8", "run_a").otherwise("run_b"), "latency_sec": (F.col("doc_id") % 7) / 4})
+    table = R.compare_distribution_runs(runs, latency="latency_sec")
+    return table.withColumns(I.six(*[f.name for f in table.schema.fields if f.dataType.typeName() == "double"]))
+
+
 # --- scorers ---------------------------------------------------------------------------
 def _prompts(spark, sf):
     return render_prompt(I.documents(spark, sf), BINARY_TEMPLATE).select("doc_id", "prompt")
@@ -179,6 +191,12 @@ def _(spark, sf):
     return score_batches(_prompts(spark, sf), length_model(), batch_size=64).select("doc_id", "pred_raw")
 
 
+@query("d21_latency_by_run", f"WITH {S.PREDICTIONS} SELECT run, round(avg((doc_id % 7)::DOUBLE / 4), 6) AS mean_latency_sec FROM predictions GROUP BY run")
+def _(spark, sf):
+    rows = I.predictions(spark, sf).withColumn("latency_sec", (F.col("doc_id") % 7) / 4)
+    return P.mean_latency(rows, ["run"]).withColumns(I.six("mean_latency_sec"))
+
+
 @query("d21_mean_latency")
 def _(spark, sf):
     rows = score_batches(_prompts(spark, sf), length_model(), batch_size=64, latency="latency_sec")
@@ -203,9 +221,22 @@ def _(spark, sf):
     return moderated(I.documents(spark, sf), I.LEXICON, I.TAXONOMY).select("doc_id", "response.category", "response.safety")
 
 
+def _held_out(spark, sf):
+    """Gold and predicted label of the test rows, by a head fitted on the training rows."""
+    rows = I.binary_rows(spark, sf).select("doc_id", "text", F.when(F.col("harmful") == "1", UNSAFE).otherwise(SAFE).alias("label"))
+    rows = ratio_split(rows, 0.9, I.SEED, "doc_id")
+    model = fit_binary_head(rows.filter("split = 'train'"), kind="logistic")
+    return predict_binary_head(model, rows.filter("split = 'test'")).withColumnRenamed("label", "gold")
+
+
 @query("h04_binary_head")
 def _(spark, sf):
-    rows = I.binary_rows(spark, sf).withColumn("label", F.when(F.col("harmful") == "1", UNSAFE).otherwise(SAFE))
-    model = fit_binary_head(rows, kind="logistic")
-    predicted = predict_binary_head(model, rows.select("doc_id", "text", "label"))
-    return C.prf(predicted.withColumnRenamed("label", "gold")).withColumns(I.six(*METRICS))
+    return C.prf(_held_out(spark, sf)).withColumns(I.six(*METRICS))
+
+
+@query("h04_held_out", f"""WITH {S.BINARY}, total AS (SELECT count(*) AS n FROM binary_rows),
+    placed AS (SELECT harmful, row_number() OVER (ORDER BY {S.row_hash(I.SEED, 'doc_id')}, doc_id) AS rn FROM binary_rows),
+    test AS (SELECT harmful FROM placed, total WHERE rn > greatest(1, least(floor(n * 0.9::DOUBLE), n - 1)))
+    SELECT label, count(*) FILTER (WHERE harmful = h) AS support FROM test, (VALUES ('SAFE', '0'), ('UNSAFE', '1')) AS l(label, h) GROUP BY label""")
+def _(spark, sf):
+    return C.prf(_held_out(spark, sf)).select("label", "support")

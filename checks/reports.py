@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from checks import inputs as I
 from checks import sqltext as S
+from checks.columns import TOKENS_LOWER, VOTES
+from checks.metrics import MULTI
 from checks.registry import query
 from checks.samples import HASH
 from safelabel.catalog import CATEGORIES
@@ -13,7 +15,7 @@ from safelabel.operators import reports as P
 from safelabel.operators.profanity import flag_profanity
 from safelabel.operators.sampling import balance, balance_summary
 from safelabel.plans.binary_corpus import binary_table, sampled_pairs
-from safelabel.plans.evaluation import evaluate_binary
+from safelabel.plans.evaluation import evaluate_binary, evaluate_distributions, tagged
 from safelabel.plans.weak_labels import balanced_training_table, label_dialogues, with_distribution_text
 from safelabel.session import stage_table
 
@@ -139,3 +141,19 @@ def _(spark, sf):
 def _(spark, sf):
     report = evaluate_binary(I.predictions(spark, sf), by=["language"])["report"]
     return report.withColumns(I.six("precision", "recall", "f1"))
+
+
+@query("l3_distributions", f"""WITH {S.SCORED}, votes AS (SELECT doc_id, list_max([{VOTES}]) AS best FROM (SELECT doc_id, {TOKENS_LOWER} AS w FROM docs)),
+    named AS (SELECT s.*, CASE WHEN best.n > 0 THEN best.k ELSE 'unknown' END AS tag FROM scored s JOIN votes USING (doc_id)),
+    m AS (SELECT tag AS language, FALSE AS is_overall, {MULTI} FROM named GROUP BY tag UNION ALL SELECT NULL, TRUE, {MULTI} FROM named) SELECT * FROM m""")
+def _(spark, sf):
+    table = evaluate_distributions(tagged(I.distributions(spark, sf)))["metrics"]
+    return table.withColumns(I.six(*[f.name for f in table.schema.fields if f.dataType.typeName() == "double"]))
+
+
+@query("l3_report_by_tag", f"""WITH {S.SCORED}, votes AS (SELECT doc_id, list_max([{VOTES}]) AS best FROM (SELECT doc_id, {TOKENS_LOWER} AS w FROM docs)),
+    named AS (SELECT t.gold, t.pred, CASE WHEN best.n > 0 THEN best.k ELSE 'unknown' END AS language FROM top1 t JOIN votes USING (doc_id)),
+    {S.stats('named', None, 'language')} {S.report('named', None, 'language')}""")
+def _(spark, sf):
+    report = evaluate_distributions(tagged(I.distributions(spark, sf)))["report_by_language"]
+    return report.withColumns(I.six("precision", "recall", "f1"))

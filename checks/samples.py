@@ -10,12 +10,12 @@ from checks.registry import query
 from safelabel.functions import vectors as V
 from safelabel.operators.confusion import active_classes, classification_report
 from safelabel.operators.ranking import score_rows, winners
-from safelabel.operators.reports import bucket_sizes, category_histogram, category_share
+from safelabel.operators.reports import category_histogram, category_share
 from safelabel.operators.sampling import (
-    balance, balance_summary, clean_test, quota_sample, ratio_split, row_hash, sample_n, shuffle, union_picks,
+    balance, balance_summary, clean_test, quota_coverage, quota_sample, ratio_split, row_hash, sample_n, shuffle, union_picks,
 )
 from safelabel.catalog import CATEGORIES
-from safelabel.session import small_side, stage_table
+from safelabel.session import stage_table
 
 KEYS = ["source", "language"]
 HASH = S.row_hash(I.SEED, "doc_id")
@@ -124,7 +124,7 @@ def _(spark, sf):
 @query("c04_quota_join", f"""WITH {S.DOCS}, {SIZES} SELECT source, language, n, CASE WHEN n < 2 THEN 0 ELSE CAST(ceil(n / 2) AS BIGINT) END AS quota FROM sizes""")
 def _(spark, sf):
     docs = I.documents(spark, sf)
-    return bucket_sizes(docs, KEYS).join(small_side(_quotas(docs)), KEYS)
+    return quota_coverage(docs, _quotas(docs), KEYS)
 
 
 _PARTS = f"parts AS (SELECT doc_id, text, {S.digit('part')} < '3' AS is_test FROM docs)"

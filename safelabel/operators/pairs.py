@@ -26,6 +26,24 @@ def sft_pairs(df: DataFrame, input_col: str, output_col: str, template: str, id_
                      F.col(output_col).alias("completion"))
 
 
-def pair_predictions(gold: DataFrame, predictions: DataFrame, id_col: str = "id") -> DataFrame:
-    """Gold rows with their predictions, matched by id."""
-    return gold.join(predictions, id_col)
+def pair_predictions(gold: DataFrame, predictions: DataFrame, id_col: str = "id", keep_unmatched: bool = False) -> DataFrame:
+    """Gold rows with their predictions, matched by id.
+
+    ``keep_unmatched`` also keeps gold rows without a prediction, which is null then.
+    """
+    return gold.join(predictions, id_col, "left" if keep_unmatched else "inner")
+
+
+def pairing_summary(gold: DataFrame, predictions: DataFrame, id_col: str = "id") -> DataFrame:
+    """One row: ids on both sides, on one side only, and ids that a side repeats.
+
+    Ids are counted per side before they meet, so an id that fills a table is one row.
+    """
+    sides = gold.select(id_col, F.lit(1).alias("_g"), F.lit(0).alias("_p")).unionByName(
+        predictions.select(id_col, F.lit(0).alias("_g"), F.lit(1).alias("_p")))
+    ids = sides.filter(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.sum("_g").alias("_g"), F.sum("_p").alias("_p"))
+    g, p = F.col("_g"), F.col("_p")
+    return ids.agg(
+        F.count_if((g > 0) & (p > 0)).alias("matched"), F.count_if((g > 0) & (p == 0)).alias("gold_only"),
+        F.count_if((g == 0) & (p > 0)).alias("pred_only"), F.count_if(g > 1).alias("repeated_gold"),
+        F.count_if(p > 1).alias("repeated_pred"))

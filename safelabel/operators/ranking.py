@@ -6,7 +6,7 @@ groups are sums of the few group rows rather than a second pass over the data.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from safelabel.functions.text import not_empty
@@ -44,32 +44,51 @@ def score_rows(df: DataFrame, truth: str = "truth", pred: str = "pred_raw", text
     })
 
 
-def distribution_metrics(scored: DataFrame, by: str | None = None, overall: bool = False) -> DataFrame:
+def distribution_sums(scored: DataFrame, keys: list[str], means: list[str] | None = None) -> DataFrame:
+    """Per group the counts, and the sum and number of each row metric and column of ``means``.
+
+    Coarser groups follow from these rows by addition.
+    """
+    counts = {"rows": F.lit(True), "samples": F.col("usable"), "parsed": F.col("parsed"),
+              "format_errors": F.col("format_error"), "truth_errors": F.col("truth_error")}
+    measured = [*ROW_METRICS, *(means or [])]
+    return scored.groupBy(*keys).agg(
+        *[F.count_if(c).alias(name) for name, c in counts.items()],
+        *[F.sum(m).alias(f"_{m}") for m in measured], *[F.count(m).alias(f"_n_{m}") for m in measured])
+
+
+def distribution_metrics(scored: DataFrame, by: str | None = None, overall: bool = False,
+                         means: list[str] | None = None, counted: bool = False) -> DataFrame:
     """Means of the row metrics with the counts behind them.
 
     ``rows`` counts everything, ``samples`` the rows with text and truth.  The overall
     ``success_rate`` is parsed rows over all rows; per group the rows whose *truth* is
     unreadable are not failures of the model, so ``group_success_rate`` is the samples
     without format errors over the samples.  With ``overall`` a row for all groups is
-    added, whose group is null.
+    added, whose group is null.  ``means`` names further columns to average.  With
+    ``counted`` the input holds ``distribution_sums`` already, possibly of finer groups.
     """
-    counts = {"rows": F.lit(True), "samples": F.col("usable"), "parsed": F.col("parsed"),
-              "format_errors": F.col("format_error"), "truth_errors": F.col("truth_error")}
-    groups = [by] if by else []
-    sums = scored.groupBy(*groups).agg(
-        *[F.count_if(c).alias(name) for name, c in counts.items()],
-        *[F.sum(m).alias(f"_{m}") for m in ROW_METRICS], *[F.count(m).alias(f"_n_{m}") for m in ROW_METRICS])
-    parts = [c for c in sums.columns if c not in groups]
+    groups, counts = [by] if by else [], ["rows", "samples", "parsed", "format_errors", "truth_errors"]
+    sums = scored if counted else distribution_sums(scored, groups, means)
+    added = [F.sum(c).alias(c) for c in sums.columns if c in counts or c.startswith("_")]
     if by and overall:
-        sums = sums.rollup(by).agg(*[F.sum(c).alias(c) for c in parts], F.grouping_id().alias("_level"))
+        sums = sums.rollup(by).agg(*added, F.grouping_id().alias("_level"))
         sums = sums.withColumn("is_overall", F.col("_level") == 1)
+    elif counted:
+        sums = sums.groupBy(*groups).agg(*added)
     names = {"kl": "mean_kl", "ap": "map", "top1_recall": "top1_recall", "top3_recall": "top3_recall",
              "jaccard": "jaccard", "exact_match": "exact_match", "top1_correct": "top1_accuracy"}
     return sums.select(
         *groups, *(["is_overall"] if by and overall else []), *counts,
         F.try_divide("parsed", "rows").alias("success_rate"),
         F.try_divide(F.col("samples") - F.col("format_errors"), F.col("samples")).alias("group_success_rate"),
-        *[F.try_divide(f"_{m}", f"_n_{m}").alias(name) for m, name in names.items()])
+        *[F.try_divide(f"_{m}", f"_n_{m}").alias(name) for m, name in names.items()],
+        *[F.try_divide(f"_{m}", f"_n_{m}").alias(f"mean_{m}") for m in means or []])
+
+
+def compare_distribution_runs(scored: DataFrame, run: str = "run", latency: str | None = None) -> DataFrame:
+    """One row per run: divergence, precision, recalls, overlap, exact match, failures, mean latency; one pass."""
+    return distribution_metrics(scored, run, means=[latency] if latency else None)
 
 
 def success_rate(scored: DataFrame) -> DataFrame:
@@ -92,5 +111,17 @@ def best_by(df: DataFrame, group: str, metric: str, largest: bool = True) -> Dat
     return top.select(F.col("_top.g").alias(group), F.col("_top.m").alias(metric))
 
 
+def best_of(df: DataFrame, group: str, metrics: dict[str, bool]) -> DataFrame:
+    """``best_by`` for several metrics (True: the largest wins) as rows (metric, group, value), in one pass."""
+    def top(metric: str, largest: bool) -> Column:
+        value = -F.col(metric) if largest else F.col(metric)
+        entry = F.struct(value.alias("_v"), F.col(group).alias("g"), F.col(metric).cast("double").alias("m"))
+        return F.min(F.when(F.col(metric).isNotNull(), entry)).alias(f"_{metric}")
+
+    tops = df.agg(*[top(metric, largest) for metric, largest in metrics.items()])
+    return tops.select(F.inline(F.array(*[
+        F.struct(F.lit(m).alias("metric"), F.col(f"_{m}.g").alias(group), F.col(f"_{m}.m").alias("value")) for m in metrics])))
+
+
 def mean_group_size(df: DataFrame, size: str = "samples") -> DataFrame:
     return df.agg(F.avg(size).alias("mean_size"))

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from safelabel.catalog import CATEGORIES
-from safelabel.session import broadcast_if, pin, pin_if_small, stage_table
+from safelabel.session import broadcast_if, pin, pin_if_small, small_side, stage_table
 
 # Hex digits of the hash that split a range further: 16**3 parts, few enough for a task
 # to combine most of its rows before the shuffle.
@@ -129,6 +129,12 @@ def quota_picks(quotas: DataFrame, keys: list[str], pick: str | None = None) ->
             .filter("_want > 0"))
 
 
+def quota_coverage(df: DataFrame, quotas: DataFrame, keys: list[str]) -> DataFrame:
+    """Size and quota of every bucket; the quota is null where none is given."""
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    return sizes.join(small_side(quotas.select(*keys, "quota")), keys, "left")
+
+
 def quota_sample(df: DataFrame, quotas: DataFrame, keys: list[str], seed: int = 42, id_col: str | list[str] = "id",
                  pick: str | None = None, on_short: str = "error") -> DataFrame:
     """Exactly ``quota`` random rows for each row of ``quotas``, without replacement.

@@ -122,3 +122,30 @@ def test_histogram_full_lists_empty_categories(spark):
     rows = P.category_histogram(df, "v", full=True).collect()
     assert len(rows) == 17 and {r.category: r.n for r in rows if r.n} == {"S1": 1, "S17": 1}
     assert rows[0].category == "S1"
+
+
+def test_best_of_takes_each_metric_in_one_pass(spark):
+    df = spark.createDataFrame([("a", 0.5, 2.0), ("b", 0.9, None), ("c", 0.9, 1.0), ("d", None, 1.0)], "g string, up double, down double")
+    rows = {r.metric: (r.g, r.value) for r in R.best_of(df, "g", {"up": True, "down": False}).collect()}
+    assert rows == {"up": ("b", 0.9), "down": ("c", 1.0)}
+    assert [r.g for r in R.best_of(df.limit(0), "g", {"up": True}).collect()] == [None]
+
+
+def test_pairing_reports_what_does_not_match(spark):
+    from safelabel.operators.pairs import pair_predictions, pairing_summary
+
+    gold = spark.createDataFrame([(1,), (2,), (2,), (3,), (None,)], "id int")
+    pred = spark.createDataFrame([(2, "x"), (3, "y"), (3, "z"), (4, "w"), (None, "v")], "id int, pred string")
+    assert pairing_summary(gold, pred).first() == (2, 1, 1, 1, 1)
+    kept = sorted((str(r.id), str(r.pred)) for r in pair_predictions(gold, pred, keep_unmatched=True).collect())
+    assert kept == [("1", "None"), ("2", "x"), ("2", "x"), ("3", "y"), ("3", "z"), ("None", "None")]
+
+
+def test_distribution_sums_add_up_to_the_metrics(spark, sf):
+    from checks import inputs
+
+    scored = R.score_rows(inputs.distributions(spark, sf)).withColumn("half", inputs.digit("half") < "8")
+    direct = R.distribution_metrics(scored, "language").orderBy("language").collect()
+    added = R.distribution_metrics(R.distribution_sums(scored, ["language", "half"]), "language", counted=True).orderBy("language").collect()
+    for a, b in zip(direct, added, strict=True):
+        assert all(x == y if not isinstance(x, float) else abs(x - y) < 1e-9 for x, y in zip(a, b))
