@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from safelabel.llm import chat, decontamination, fuzzy_hash, html_text, jaccard_join, licenses, packing, quality, sharding, suffix_dedup, toxicity
+from safelabel.llm import chat, decontamination, fuzzy_hash, html_text, jaccard_join, licenses, packing, quality, sharding, spelling, suffix_dedup, toxicity
 from safelabel.llm.store import table
 
 
@@ -71,9 +71,14 @@ def op11_fuzzy_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fuzzy_hash.neighbour_report(table(spark, sf_dir, "documents"))
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with their commonest spelling and its root."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_toxicity, op2_decontamination, op3_jaccard_join, op4_packing, op5_quality, op6_licenses, op7_html, op8_sharding, op9_chat, op10_suffix_dedup, op11_fuzzy_hash)
+    for f in (op1_toxicity, op2_decontamination, op3_jaccard_join, op4_packing, op5_quality, op6_licenses, op7_html, op8_sharding, op9_chat, op10_suffix_dedup, op11_fuzzy_hash, op13_spelling)
 }
 
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
