@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from safelabel.llm import chat, decontamination, fuzzy_hash, html_text, jaccard_join, licenses, packing, quality, sharding, spelling, suffix_dedup, toxicity
+from safelabel.llm import chat, collocations, decontamination, fuzzy_hash, html_text, jaccard_join, licenses, packing, quality, sharding, spelling, suffix_dedup, toxicity
 from safelabel.llm.store import table
 
 
@@ -71,6 +71,11 @@ def op11_fuzzy_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fuzzy_hash.neighbour_report(table(spark, sf_dir, "documents"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of each language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of all documents with their commonest spelling and its root."""
     return spelling.variants(table(spark, sf_dir, "documents"))
@@ -78,7 +83,7 @@ def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_toxicity, op2_decontamination, op3_jaccard_join, op4_packing, op5_quality, op6_licenses, op7_html, op8_sharding, op9_chat, op10_suffix_dedup, op11_fuzzy_hash, op13_spelling)
+    for f in (op1_toxicity, op2_decontamination, op3_jaccard_join, op4_packing, op5_quality, op6_licenses, op7_html, op8_sharding, op9_chat, op10_suffix_dedup, op11_fuzzy_hash, op12_collocations, op13_spelling)
 }
 
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
@@ -93,6 +98,27 @@ hits as (select d.id as doc_id, b.id as item_id, count(*) as k from d join b on
 select doc_id, item_id, cast(n as integer) as n_item_shingles, cast(k as integer) as n_shared from hits join n on n.id = hits.item_id where 100 * k >= 75 * n
 """
 
+_OP12 = r"""
+with docs as (select row_number() over () as d, coalesce(lang, 'und') as lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents),
+pieces as (select d, lang, row_number() over () as p, regexp_extract_all(x, '[^\x20\x09]+') as w
+  from (select d, lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) as x from docs)),
+grams as (
+  select lang, k, array_to_string(w[i:i + k - 1], ' ') as phrase from (select lang, w, k, unnest(range(1, len(w) - k + 2)) as i from pieces, (values (1), (2), (3)) as s(k) where len(w) >= k)),
+f as (select lang, k, phrase, count(*) as n from grams group by all),
+totals as (select lang, cast(sum(n) as bigint) as n from f where k = 1 group by lang),
+cand as (select lang, k, phrase, n as a, string_split(phrase, ' ') as w from f where k > 1 and n >= 10),
+halves as (select lang, k, phrase, a, j, array_to_string(w[1:j], ' ') as left_, array_to_string(w[j + 1:], ' ') as right_
+  from (select *, unnest(range(1, k)) as j from cand)),
+withleft as (select h.*, n as l from halves h join f on f.lang = h.lang and f.phrase = h.left_),
+cuts as (select h.*, n as r, cast(1000000 as hugeint) * a * a // (cast(l as hugeint) * n) as score from withleft h join f on f.lang = h.lang and f.phrase = h.right_),
+low as (select * from cuts qualify row_number() over (partition by lang, phrase order by score, j) = 1),
+inner_ as (select lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) as phrase from cand where k = 3),
+cover as (select lang, phrase, max(a) as longer from inner_ group by all),
+kept as (select low.* from low left join cover using (lang, phrase) where k = 3 or longer is null or 100 * longer < 50 * low.a)
+select lang, rank, phrase, cast(a as bigint) as a, cast(l as bigint) as l, cast(r as bigint) as r, totals.n, cast(score as bigint) as score
+from (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept) join totals using (lang) where rank <= 2000
+"""
+
 _COUNT = "len(list_filter(w, lambda x: x = '{}'))"
 
 
@@ -136,4 +162,4 @@ select doc_id, cast(n_words as bigint) as n_words, cast(word_chars as bigint) as
 """
 
 
-ORACLES = {"op2_decontamination": _OP2, "op5_quality": _quality_sql()}
+ORACLES = {"op2_decontamination": _OP2, "op5_quality": _quality_sql(), "op12_collocations": _OP12}
