@@ -18,7 +18,9 @@ Steps, each a Spark job over narrow data:
    allowances in large groups are given where they are needed;
 4. each set is first compared with the smallest one it may link with and with the first of
    its groups; links give components; only pairs across components are compared after that,
-   those of a large group where the group is, so that no rows are made of them;
+   those of large groups where the groups are, so that no rows are made of them. Groups with
+   the same first member are one bundle: near copies share most of their groups, and a set
+   travels once a bundle and block;
 5. components of all verified links, and of equal texts.
 
 Comparison is exact on the sets of 64-bit shingle hashes. In bands beyond 64 elements, empty
@@ -40,7 +42,7 @@ from pyspark.sql import functions as F
 
 from safelabel.llm.graph import components
 from safelabel.llm.hashing import batches, mix, shingle_sets, stream
-from safelabel.llm.store import broadcast_if_small, written
+from safelabel.llm.store import broadcast_if_small, fresh_name, remove, written
 
 _U = np.uint64
 FLUSH_TOKENS = 600_000
@@ -48,10 +50,10 @@ FLUSH_DOCS = 16_000
 HEAVY = 48
 PAIRS_UP_TO = 64
 MARK = 0x3FFF
-BROADCAST_IDS = 2_000_000
+BROADCAST_IDS = 200_000
 FOUND = "kind int, a long, b long, n int, role int"
 CELLS = 128
-BLOCK_MEMBERS = 2_048
+BLOCK_MEMBERS = 4_096
 LONG = 2_048
 SIZE, PAIR, MEMBER = 0, 1, 2
 
@@ -70,6 +72,15 @@ def plan(top: int) -> tuple[int, int, bool]:
     return (m, m, True) if top <= 64 else (m, m * 8 // 100 + 4, False)
 
 
+def packed(entries: np.ndarray) -> bytes:
+    """Sorted 64-bit entries as steps, byte plane by byte plane: the high planes are nearly empty and compress."""
+    return np.diff(entries, prepend=_U(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view(_U).ravel(), dtype=_U)
+
+
 class Block:
     """Packed signatures of a block of sets: (bucket, entry), the entry holding hash, place and role."""
 
@@ -149,7 +160,7 @@ def sign(frames: Iterator[pd.DataFrame], buckets: int) -> Iterator[pd.DataFrame]
             for a in np.flatnonzero(count > HEAVY):
                 own = entry[start[a] : start[a] + count[a]]
                 at = (own >> _U(3)).astype(np.int64) & MARK
-                rows.append((-1, block.ids[at].tobytes(), block.size[at].astype(np.int32).tobytes(), own.tobytes()))
+                rows.append((-1, block.ids[at].tobytes(), block.size[at].astype(np.int32).tobytes(), packed(own)))
             marks = start[count > HEAVY]
             bucket = np.concatenate([bucket[~heavy], bucket[marks]])
             entry = np.concatenate([entry[~heavy], key[marks] << _U(17) | _U(MARK << 3)])
@@ -162,8 +173,8 @@ def sign(frames: Iterator[pd.DataFrame], buckets: int) -> Iterator[pd.DataFrame]
                 used, local = np.unique(at[at != MARK], return_inverse=True)
                 fresh = np.full(len(own), MARK, np.int64)
                 fresh[at != MARK] = local
-                own = (own & ~_U(MARK << 3)) | fresh.astype(_U) << _U(3)
-                rows.append((int(bucket[a]), block.ids[used].tobytes(), block.size[used].astype(np.int32).tobytes(), own.tobytes()))
+                own = np.sort((own & ~_U(MARK << 3)) | fresh.astype(_U) << _U(3))
+                rows.append((int(bucket[a]), block.ids[used].tobytes(), block.size[used].astype(np.int32).tobytes(), packed(own)))
         return pd.DataFrame(rows, columns=["bucket", "ids", "sizes", "entries"])
 
     for frame in frames:
@@ -198,12 +209,12 @@ def match(frame: pd.DataFrame) -> pd.DataFrame:
         if frame["bucket"].iloc[0] == -2:
             room = np.concatenate([np.frombuffer(x, np.int64) for x in frame["entries"]])
             return pd.DataFrame({"kind": SIZE, "a": ids, "b": room, "n": sizes, "role": 0})
-        entry = np.concatenate([np.frombuffer(x, _U) for x in frame["entries"]])
+        entry = np.concatenate([unpacked(x) for x in frame["entries"]])
         return pd.DataFrame({"kind": MEMBER, "a": (entry >> _U(17)).astype(np.int64), "b": ids, "n": sizes, "role": (entry & _U(7)).astype(np.int64)})
     ids = np.concatenate([np.frombuffer(x, np.int64) for x in frame["ids"]])
     sizes = np.concatenate([np.frombuffer(x, np.int32) for x in frame["sizes"]])
     shift = np.concatenate([[0], np.cumsum([len(x) // 8 for x in frame["ids"]])])
-    parts = [np.frombuffer(x, _U) for x in frame["entries"]]
+    parts = [unpacked(x) for x in frame["entries"]]
     entry = np.concatenate(parts)
     local = (entry >> _U(3)).astype(np.int64) & MARK
     marked = local == MARK
@@ -263,16 +274,16 @@ def outline(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def near_members(frame: pd.DataFrame) -> pd.DataFrame:
-    """Links that join components within a group, or across two blocks of one, and pairs of long sets that may link.
+    """Links that join components within a bundle of groups, or across two blocks of one, and pairs of long sets that may link.
 
-    Only what is asked for is compared. Cells that differ by a total of d mean sets that
-    differ in d elements or more; where that leaves a pair open, the sets are compared here.
-    A link between parts that are joined by then is not looked for: a group gives less links
-    than it has members. Sets beyond ``LONG`` do not travel; their pairs are given as
-    not linked yet.
+    Only what is asked for is compared, and a pair once, however many groups it shares. Cells
+    that differ by a total of d mean sets that differ in d elements or more; where that leaves
+    a pair open, the sets are compared here. A link between parts that are joined by then is
+    not looked for: a bundle gives less links than it has members. Sets beyond ``LONG`` do not
+    travel; their pairs are given as not linked yet.
     """
     frame = frame.sort_values(["n", "doc"], ignore_index=True)
-    n, doc, role, block = (frame[x].to_numpy() for x in ("n", "doc", "role", "block"))
+    n, doc, block = (frame[x].to_numpy() for x in ("n", "doc", "block"))
     part = np.unique(frame["c"].to_numpy(), return_inverse=True)[1]
     cells = np.frombuffer(b"".join(frame["cells"]), np.uint8).reshape(-1, CELLS).astype(np.int16)
     held = [np.frombuffer(x, _U) if x else np.zeros(0, _U) for x in frame["tokens"]]
@@ -281,11 +292,25 @@ def near_members(frame: pd.DataFrame) -> pd.DataFrame:
     names, code = np.unique(np.concatenate(held), return_inverse=True)
     mark = np.zeros(len(names) + 1, bool)
     crossing = frame["low"].iat[0] != frame["high"].iat[0]
+    # Members of each group in order of size, and where each set stands in its groups.
+    member = np.repeat(np.arange(len(frame)), [len(x) for x in frame["gs"]])
+    group = np.unique(np.concatenate(frame["gs"].to_list()), return_inverse=True)[1]
+    role = np.concatenate(frame["roles"].to_list()).astype(np.int64)
+    order = np.lexsort((role, member, group))
+    member, group, role = member[order], group[order], role[order]
+    first = np.searchsorted(group, np.arange(int(group.max()) + 1))
+    asks = np.flatnonzero(role & 3)
+    asks = asks[np.argsort(member[asks], kind="stable")]
     out = []
-    for i in np.flatnonzero(role & 3):
-        y = np.arange(int(np.searchsorted(n, -(-3 * n[i] // 4))), i)
-        cuts = (role[i] >> 2) + (role[y] >> 2)
-        y = y[(part[y] != part[i]) & (doc[y] != doc[i]) & (cuts < 2) & ((role[i] & 3) > cuts)]
+    for own_asks in np.split(asks, np.flatnonzero(np.diff(member[asks])) + 1) if len(asks) else ():
+        i = int(member[own_asks[0]])
+        least = int(np.searchsorted(n, -(-3 * n[i] // 4)))
+        near = []
+        for at in own_asks:
+            y, cuts = member[first[group[at]] : at], (role[first[group[at]] : at] >> 2) + (role[at] >> 2)
+            near.append(y[(y >= least) & (cuts < 2) & ((role[at] & 3) > cuts)])
+        y = np.unique(np.concatenate(near))
+        y = y[(part[y] != part[i]) & (doc[y] != doc[i])]
         y = y[block[y] != block[i]] if crossing else y
         y = y[np.abs(cells[y] - cells[i]).sum(axis=1) <= (n[y] + n[i]) // 7]
         if not len(y):
@@ -295,8 +320,8 @@ def near_members(frame: pd.DataFrame) -> pd.DataFrame:
             continue
         own = code[begin[i] : begin[i + 1]]
         mark[own] = True
-        first = np.concatenate([[0], np.cumsum(length[y])])
-        both = np.add.reduceat(mark[code[np.repeat(begin[y] - first[:-1], length[y]) + np.arange(first[-1])]].astype(np.int64), first[:-1])
+        edge = np.concatenate([[0], np.cumsum(length[y])])
+        both = np.add.reduceat(mark[code[np.repeat(begin[y] - edge[:-1], length[y]) + np.arange(edge[-1])]].astype(np.int64), edge[:-1])
         mark[own] = False
         for k in y[100 * both >= 75 * (n[y] + n[i] - both)]:
             if part[k] != part[i]:
@@ -341,18 +366,30 @@ def _pair(x: str, y: str, side: str) -> Column:
 
 
 def _named(groups: DataFrame, parts: DataFrame) -> DataFrame:
-    label = parts.select(F.col("node").alias("doc"), "component")
-    return groups.join(label, "doc", "left").select("g", "doc", "n", "role", F.coalesce("component", "doc").alias("c"))
+    """Members of groups, one row a document (doc, n, gs, roles), with the component ``c``."""
+    return groups.join(parts.select(F.col("node").alias("doc"), "component"), "doc", "left").select("doc", "n", "gs", "roles", F.coalesce("component", "doc").alias("c"))
+
 
+def _members(groups: DataFrame) -> DataFrame:
+    """One row a group and member."""
+    zipped = F.explode(F.arrays_zip(F.col("gs").alias("g"), F.col("roles").alias("role"))).alias("m")
+    return groups.select(*[c for c in groups.columns if c not in ("gs", "roles")], zipped).select("*", "m.g", "m.role").drop("m")
 
-def _losses(members: DataFrame) -> DataFrame:
-    """(doc, lost, segments, t): steps of each set that fall into large groups, at most."""
-    whole = "role in (1, 2)"
-    return members.groupBy("doc").agg(
-        F.expr(f"sum(case when {whole} then role when role > 4 then 1 else 0 end)").alias("lost"), F.expr(f"count_if({whole})").alias("segments"), F.max("n").alias("t"))
 
+def gathered(found: DataFrame) -> DataFrame:
+    """Large groups of each set, one row a document: (doc, t, mine: [(k, g, role)], lost, room).
 
-def counted_pairs(found: DataFrame) -> DataFrame:
+    ``k`` is the size of the group; ``lost`` are the steps of the set that fall into such groups, at most.
+    """
+    members = found.where(f"kind = {MEMBER}").select(F.col("a").alias("g"), F.col("b").alias("doc"), "n", "role").distinct()
+    sizes = members.groupBy("g").agg(F.count("*").alias("k")).where("k > 1")
+    mine = members.join(sizes, "g").groupBy("doc").agg(F.max("n").alias("t"), F.sort_array(F.collect_list(F.struct("k", "g", "role"))).alias("mine"))
+    room = found.where(f"kind = {SIZE}").select(F.col("a").alias("doc"), F.col("b").alias("room"))
+    lost = F.expr("aggregate(mine, 0L, (s, m) -> s + case when m.role in (1, 2) then m.role when m.role > 4 then 1 else 0 end)")
+    return mine.withColumn("lost", lost).join(room, "doc")
+
+
+def counted_pairs(found: DataFrame, mine: DataFrame) -> DataFrame:
     """Pairs (a < b) of small groups that share enough steps to be linked.
 
     A linked pair misses at most 2 t / 7 of the larger set's steps, so it shares the rest, but
@@ -360,30 +397,30 @@ def counted_pairs(found: DataFrame) -> DataFrame:
     """
     shared = found.where(f"kind = {PAIR}").groupBy("a", "b").agg(F.sum("n").alias("steps"))
     room = found.where(f"kind = {SIZE}").select(F.col("a").alias("b"), F.col("b").alias("room"), F.col("n").alias("t"))
-    lost = _losses(found.where(f"kind = {MEMBER}").select(F.col("b").alias("doc"), "n", "role")).select(F.col("doc").alias("b"), "lost")
-    enough = "steps >= room - coalesce(lost, 0) - div(2 * t, 7)"
-    return shared.join(room, "b").join(lost, "b", "left").where(enough).select(_pair("a", "b", "a"), _pair("a", "b", "b"))
+    lost = mine.select(F.col("doc").alias("b"), "lost")
+    needed = room.join(lost, "b", "left").select("b", F.expr("room - coalesce(lost, 0) - div(2 * t, 7)").alias("needed"))
+    return shared.join(needed, "b").where("steps >= needed").select(_pair("a", "b", "a"), _pair("a", "b", "b"))
 
 
-def allotted(found: DataFrame) -> DataFrame:
-    """Members (g, doc, n, role) of large groups, with allowances in ``role`` where a set has to ask there.
+def allotted(mine: DataFrame) -> DataFrame:
+    """Large groups of each set, one row a document (doc, n, gs, roles), with allowances in the roles where a set has to ask.
 
     All steps of a set in small groups are used, at their small cost. What is missing of its
     sum of allowances is made up by the segments of its smallest large groups; if those do
-    not suffice, by all it has.
+    not suffice, by all it has. Groups where nobody asks are left out.
     """
-    members = found.where(f"kind = {MEMBER}").select(F.col("a").alias("g"), F.col("b").alias("doc"), "n", "role").distinct()
-    counted = written(members.join(members.groupBy("g").agg(F.count("*").alias("k")).where("k > 1"), "g"))
-    room = found.where(f"kind = {SIZE}").select(F.col("a").alias("doc"), F.col("b").alias("room"))
-    whole = "role in (1, 2)"
-    lost = _losses(counted)
-    lack = lost.join(room, "doc").select("doc", "segments", F.expr("div(2 * t, 7) + 1 - (room - lost)").alias("lack")).where("lack > 0")
-    ranked = counted.join(lack, "doc", "left").withColumn(
-        "place", F.row_number().over(Window.partitionBy("doc", F.expr(whole)).orderBy("k", "g")))
-    level = f"case when lack is null then 0 when segments < lack then role % 4 when {whole} and place <= lack then 1 else 0 end"
-    told = written(ranked.select("g", "doc", "n", F.expr(f"shiftright(role, 2) * 4 + {level}").cast("int").alias("role")))
-    asked = told.groupBy("g").agg(F.max(F.col("role") % 4).alias("most")).where("most > 0")
-    return written(told.join(asked.select("g"), "g", "left_semi"))
+    lack = F.expr("div(2 * t, 7) + 1 - (room - lost)")
+    told = mine.withColumn("lack", lack).withColumn("whole", F.expr("filter(mine, m -> m.role in (1, 2))"))
+    place = "case when m.role in (1, 2) and array_position(whole, m) <= lack then 1 else 0 end"
+    level = f"case when lack <= 0 then 0 when size(whole) < lack then m.role % 4 else {place} end"
+    told = told.select("doc", F.col("t").alias("n"), F.expr("transform(mine, m -> m.g)").alias("gs"),
+                       F.expr(f"transform(mine, m -> cast(shiftright(m.role, 2) * 4 + {level} as int))").alias("roles"))
+    told = written(told)
+    asked = _members(told).groupBy("g").agg(F.max(F.col("role") % 4).alias("most")).where("most > 0").select("g")
+    kept = _members(told).join(asked, "g", "left_semi").groupBy("doc", "n").agg(F.collect_list(F.struct("g", "role")).alias("m"))
+    out = written(kept.select("doc", "n", F.col("m.g").alias("gs"), F.col("m.role").alias("roles")))
+    remove(told)
+    return out
 
 
 def near_copies(documents: DataFrame) -> DataFrame:
@@ -403,18 +440,21 @@ def near_copies(documents: DataFrame) -> DataFrame:
     )
     sizes = found.where(f"kind = {SIZE}").select(F.col("a").alias("rep"), F.col("n").cast("long").alias("n_shingles"))
 
-    groups = allotted(found)
-    pairs = written(counted_pairs(found))
+    mine = written(gathered(found))
+    groups = allotted(mine)
+    pairs = written(counted_pairs(found, mine))
+    remove(mine)
 
     # First, each document with the smallest one it may link with, and members of a group with its first.
-    first_of = groups.groupBy("g").agg(F.min(F.struct("doc", "n")).alias("c"))
-    star = groups.join(first_of, "g").where("doc <> c.doc and 4 * least(n, c.n) >= 3 * greatest(n, c.n)")
+    in_groups = _members(groups)
+    first_of = in_groups.groupBy("g").agg(F.min(F.struct("doc", "n")).alias("c"))
+    star = in_groups.join(first_of, "g").where("doc <> c.doc and 4 * least(n, c.n) >= 3 * greatest(n, c.n)")
     nearest = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
     tried = written(nearest.union(star.select(_pair("doc", "c.doc", "a"), _pair("doc", "c.doc", "b"))).distinct())
     links = written(verified(tried, source))
     parts = written(components(links))
     # Then members with the first of another component in the group.
-    named = _named(groups, parts)
+    named = _members(_named(groups, parts))
     other = named.join(named.groupBy("g").agg(F.min_by("c", "doc").alias("low")), "g").where("c <> low").groupBy("g").agg(F.min(F.struct("doc", "n", "c")).alias("c2"))
     star = named.join(other, "g").where("c <> c2.c and 4 * least(n, c2.n) >= 3 * greatest(n, c2.n)")
     again = written(star.select(_pair("doc", "c2.doc", "a"), _pair("doc", "c2.doc", "b")).distinct().join(tried, ["a", "b"], "left_anti"))
@@ -422,21 +462,24 @@ def near_copies(documents: DataFrame) -> DataFrame:
         links = written(links.union(verified(again, source)))
         parts = written(components(links))
         tried = tried.union(again)
-    # Last, all that is left across components. A group is split into blocks of bounded size.
+    # Last, all that is left across components. A bundle is split into blocks of bounded size.
     label = parts.select(F.col("node").alias("doc"), "component")
     in_a = label.select(F.col("doc").alias("a"), F.col("component").alias("ca"))
     in_b = label.select(F.col("doc").alias("b"), F.col("component").alias("cb"))
     across = pairs.join(in_a, "a", "left").join(in_b, "b", "left").where("coalesce(ca, a) <> coalesce(cb, b)").select("a", "b")
-    named = _named(groups, parts)
-    divided = named.groupBy("g").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("k")).where("low <> high")
-    mixed = written(named.join(divided, "g").select("g", "doc", "n", "role", "c", "k"))
+    named = _members(_named(groups, parts))
+    divided = named.groupBy("g").agg(F.min("c").alias("least"), F.max("c").alias("most"), F.min("doc").alias("bundle")).where("least <> most")
+    mixed = named.join(divided.select("g", "bundle"), "g").groupBy("bundle", "doc", "n", "c").agg(F.collect_list(F.struct("g", "role")).alias("m"))
+    mixed = written(mixed.select("bundle", "doc", "n", "c", F.col("m.g").alias("gs"), F.col("m.role").alias("roles")))
+    sized = mixed.join(mixed.groupBy("bundle").agg(F.count("*").alias("k")), "bundle")
     outlines = written(named_texts(mixed.select(F.col("doc").alias("doc_id")), source).mapInPandas(outline, "doc long, cells binary, tokens binary"))
-    blocks = mixed.withColumn("blocks", F.ceil(F.col("k") / BLOCK_MEMBERS)).withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")))
-    columns = ["block", "doc", "n", "role", "c"]
-    one = blocks.where("blocks = 1").select("g", F.col("block").alias("low"), F.col("block").alias("high"), *columns)
+    blocks = sized.withColumn("blocks", F.ceil(F.col("k") / BLOCK_MEMBERS)).withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")))
+    columns = ["block", "doc", "n", "c", "gs", "roles"]
+    one = blocks.where("blocks = 1").select("bundle", F.col("block").alias("low"), F.col("block").alias("high"), *columns)
     many = blocks.where("blocks > 1").withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    met = one.union(many.select("g", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), *columns))
-    rest = written(met.join(outlines, "doc").groupBy("g", "low", "high").applyInPandas(lambda frame: near_members(frame), "a long, b long, linked boolean"))
+    met = one.union(many.select("bundle", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), *columns))
+    rest = written(met.join(outlines, "doc").groupBy("bundle", "low", "high").applyInPandas(lambda frame: near_members(frame), "a long, b long, linked boolean"))
+    remove(outlines, mixed)
     links = links.union(rest.where("linked").select("a", "b"))
     remaining = written(across.union(rest.where("not linked").select("a", "b")).distinct().join(tried, ["a", "b"], "left_anti"))
     links = links.union(verified(remaining, source))
@@ -451,6 +494,11 @@ def near_copies(documents: DataFrame) -> DataFrame:
 
 
 def keep_one(documents: DataFrame) -> DataFrame:
-    """The documents with one of each group of near copies: the one with the smallest doc_id; columns as they were."""
-    first = near_copies(documents).where("component_id = doc_id").select(F.col("doc_id").alias("kept_id"))
-    return documents.join(first, documents["doc_id"].cast("long") == first["kept_id"], "left_semi")
+    """The documents with one of each group of near copies: the one with the smallest doc_id; columns as they were.
+
+    Rows without a doc_id cannot be compared by it and stay. Rows of one doc_id stay or go together.
+    """
+    name = fresh_name(documents, "kept_id")
+    first = near_copies(documents).where("component_id = doc_id").select(F.col("doc_id").alias(name))
+    kept = documents.where("doc_id is not null")
+    return kept.join(first, kept["doc_id"].cast("long") == first[name], "left_semi").union(documents.where("doc_id is null"))

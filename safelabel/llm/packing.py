@@ -52,7 +52,8 @@ class Coder:
 
     The same vocabulary is given to ``tiktoken``, which makes the same ids in a third of the
     time. Texts with very long runs without a break are left to ``tokenizers``, whose time
-    does not grow with their square. Strings of special tokens are ordinary text.
+    does not grow with their square, and so are texts that hold the string of an added token:
+    it becomes that token's id.
     """
 
     def __init__(self, path: str):
@@ -61,13 +62,14 @@ class Coder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        special = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
+        self.special = special = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
         byte = _bytes_of_symbols()
         ranks = {bytes(byte[c] for c in t): i for t, i in self.tokenizer.get_vocab().items() if t not in special}
         self.fast = Encoding("file", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, text: str) -> list[int]:
+        if any(token in text for token in self.special):
+            return self.tokenizer.encode(text, add_special_tokens=False).ids
         if len(text) > LONG_RUN and max(map(len, re.findall(r"\S+|\s+", text))) > LONG_RUN:
             return self.tokenizer.encode(text, add_special_tokens=False).ids
         return self.fast.encode_ordinary(text)

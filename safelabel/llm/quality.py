@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from safelabel.llm.store import written
+from safelabel.llm.store import fresh_name, written
 
 # Frequent words of each language.
 COMMON = {
@@ -144,5 +144,6 @@ def judge(documents: DataFrame) -> DataFrame:
 
 def keep(documents: DataFrame) -> DataFrame:
     """The documents that are kept; columns as they were. A doc_id is kept if all rows of it are."""
-    rejected = judge(documents).where("not kept").select(F.col("doc_id").alias("rejected_id"))
-    return documents.join(rejected, documents["doc_id"].cast("long").eqNullSafe(F.col("rejected_id")), "left_anti")
+    name = fresh_name(documents, "rejected_id")
+    rejected = judge(documents).where("not kept").select(F.col("doc_id").alias(name))
+    return documents.join(rejected, documents["doc_id"].cast("long").eqNullSafe(F.col(name)), "left_anti")

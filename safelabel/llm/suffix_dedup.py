@@ -19,9 +19,9 @@ Steps:
    each of its windows is counted by hash, by a combined aggregate. Nothing is capped.
 5. Marks return to all copies of a segment, and the marked bytes are cut out.
 
-Null and empty texts have no bytes. A row that is there twice is two documents; a doc_id must
-not name different texts. Rows without a doc_id are left as they are and not searched. Extra
-columns are kept. An empty table gives an empty result.
+Null and empty texts have no bytes. Each row is a document, whatever its doc_id: rows are told
+apart by a 64-bit hash of doc_id and text, and equal rows have equal spans. Extra columns are
+kept, whatever their names. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -35,14 +35,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from safelabel.llm.hashing import batches, encoded, mix, stream
-from safelabel.llm.store import broadcast_if_small, named, unnamed, written
+from safelabel.llm.store import broadcast_if_small, fresh_name, named, unnamed, written
 
 _U = np.uint64
 GRAM = 32
 PIECE = 4 << 20
 BUCKET_BYTES = 1 << 20
 HOT_BYTES = 2 << 20
-BROADCAST_IDS = 2_000_000
+BROADCAST_IDS = 200_000
 _BYTE = stream(101, 256)
 _RADIX = 0xA24BAED4963EE407
 _INVERSE = pow(_RADIX, -1, 1 << 64)
@@ -309,11 +309,12 @@ def _kept(data: bytes, spans: list | None, length: int) -> tuple[list[bytes], in
     return kept, removed, count
 
 
-def with_spans(documents: DataFrame, length: int = 400) -> DataFrame:
-    """The documents with ``_spans``: runs of window starts whose ``length`` bytes occur again; null if none."""
-    rows = documents.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("row"), "text")
-    spans = marks(rows, length).groupBy("row").agg(F.collect_set(F.struct("low", "high")).alias("_spans"))
-    return documents.join(spans.withColumnRenamed("row", "_row"), documents["doc_id"].cast("long") == F.col("_row"), "left").drop("_row")
+def with_spans(documents: DataFrame, length: int, out: str) -> DataFrame:
+    """The documents with runs of window starts whose ``length`` bytes occur again in a new column; null if none."""
+    key = F.xxhash64(named("doc_id"), F.coalesce("text", F.lit("")))
+    row = fresh_name(documents, out + "_row")
+    spans = marks(documents.select(key.alias("row"), "text"), length).groupBy("row").agg(F.collect_set(F.struct("low", "high")).alias(out))
+    return documents.withColumn(row, key).join(spans.withColumnRenamed("row", row), row, "left").drop(row)
 
 
 def _digest(frames: Iterator[pd.DataFrame], length: int) -> Iterator[pd.DataFrame]:
@@ -331,15 +332,15 @@ def _digest(frames: Iterator[pd.DataFrame], length: int) -> Iterator[pd.DataFram
 
 def removal_report(documents: DataFrame, length: int = 400) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every document."""
-    joined = with_spans(documents.select("doc_id", "text"), length)
+    joined = with_spans(documents.select("doc_id", "text"), length, "_spans")
     spec = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     return unnamed(joined.withColumn("doc_id", named("doc_id")).mapInPandas(lambda fs: _digest(fs, length), spec), "doc_id")
 
 
-def _without(frames: Iterator[pd.DataFrame], length: int) -> Iterator[pd.DataFrame]:
+def _without(frames: Iterator[pd.DataFrame], length: int, spans: str) -> Iterator[pd.DataFrame]:
     for frame in frames:
-        kept = [b"".join(_kept(encoded(t), s, length)[0]).decode("utf-8", "ignore") for t, s in zip(frame["text"], frame["_spans"], strict=True)]
-        yield frame.drop(columns="_spans").assign(text=kept, n_chars=[len(t) for t in kept])
+        kept = [b"".join(_kept(encoded(t), s, length)[0]).decode("utf-8", "ignore") for t, s in zip(frame["text"], frame[spans], strict=True)]
+        yield frame.drop(columns=spans).assign(text=kept, n_chars=[len(t) for t in kept])
 
 
 def remove_repeats(documents: DataFrame, length: int = 400) -> DataFrame:
@@ -347,6 +348,7 @@ def remove_repeats(documents: DataFrame, length: int = 400) -> DataFrame:
 
     A character of which only some bytes are removed goes with them.
     """
-    joined = with_spans(documents, length)
-    touched = joined.where("_spans is not null").mapInPandas(lambda fs: _without(fs, length), documents.schema)
-    return joined.where("_spans is null").select(documents.columns).union(touched.select(documents.columns))
+    spans = fresh_name(documents, "spans")
+    joined = with_spans(documents, length, spans)
+    touched = joined.where(F.col(spans).isNotNull()).mapInPandas(lambda fs: _without(fs, length, spans), documents.schema)
+    return joined.where(F.col(spans).isNull()).select(documents.columns).union(touched.select(documents.columns))

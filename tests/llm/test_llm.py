@@ -152,10 +152,29 @@ def test_suffix_dedup_keeps_columns_and_odd_rows(spark):
     frame = spark.createDataFrame(rows, "doc_id long, text string, row string").withColumn("n_chars", F.length("text").cast("long"))
     out = suffix_dedup.remove_repeats(frame)
     assert out.columns == frame.columns
-    assert {(r.doc_id, r.text, r.n_chars) for r in out.collect()} == {(1, "", 0), (2, "a", 1), (3, None, None), (None, "é" * 300, 300)}
+    assert {(r.doc_id, r.text, r.n_chars) for r in out.collect()} == {(1, "", 0), (2, "a", 1), (3, None, None), (None, "", 0)}
     assert suffix_dedup.removal_report(docs(spark, [])).count() == 0
 
 
+def test_suffix_dedup_tells_rows_of_one_id_apart(spark):
+    rows = [(7, "x" + "ab" * 300), (7, "sixteen bytes ok"), (8, "ab" * 300), (None, "only here " * 3)]
+    frame = docs(spark, rows).withColumn("_spans", F.lit("clash")).withColumn("SPANS", F.lit(1)).withColumn("spans_row", F.lit(2)).withColumn("n_chars", F.lit(0).cast("long"))
+    got = sorted((r.n_bytes, r.n_removed) for r in suffix_dedup.removal_report(frame).collect())
+    assert got == [(16, 0), (30, 0), (600, 600), (601, 600)]
+    out = suffix_dedup.remove_repeats(frame)
+    assert out.columns == frame.columns and sorted(r.text for r in out.collect()) == ["", "only here " * 3, "sixteen bytes ok", "x"]
+
+
+def test_filters_keep_clashing_columns_and_odd_rows(spark):
+    long = " ".join(f"w{k}" for k in range(40))
+    rows = [(1, long, "en", "s", 3), (2, long, "en", "s", 3), (None, long, None, None, None), (3, None, "en", "s", 3), (4, "", "en", "s", 3)]
+    frame = spark.createDataFrame(rows, DOCS).withColumn("rejected_id", F.lit(1)).withColumn("kept_id", F.lit(1))
+    kept = jaccard_join.keep_one(frame)
+    assert kept.columns == frame.columns and sorted(str(r.doc_id) for r in kept.collect()) == ["1", "3", "4", "None"]
+    judged = quality.keep(frame)
+    assert judged.columns == frame.columns and {r.doc_id for r in judged.collect()} <= {1, 2, None}
+
+
 def test_run_index_marks_equal_plain_search():
     rng = random.Random(2)
     for _ in range(20):
@@ -202,7 +221,6 @@ def test_packing_is_exact_and_tight(spark, sf):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(_tokenizer_path())
-    tokenizer.encode_special_tokens = True
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()] + ODD + [(907, "<|endoftext|> 's \n\n x"), (903, "one two")]
     out = packing.packed_sequences(docs(spark, rows), _tokenizer_path()).collect()
     by_doc, by_sequence = defaultdict(list), defaultdict(list)
@@ -380,21 +398,21 @@ def test_pipeline_equals_its_parts_by_brute_force(spark, sf):
     rows = [(r.doc_id, r.text) for r in documents.collect() if verdict[r.doc_id]]
     groups = brute_components(rows)
     rows = [(i, t) for i, t in rows if groups[i][1] == i]
-    seen = Counter(d[k : k + 400] for _, t in rows for d in [t.encode()] for k in range(len(d) - 399))
+    size = corpus_pipeline.REPEAT_BYTES
+    seen = Counter(d[k : k + size] for _, t in rows for d in [t.encode()] for k in range(len(d) - size + 1))
     cut = []
     for i, t in rows:
         d = np.frombuffer(t.encode(), np.uint8)
         mark = np.zeros(len(d), bool)
-        for k in range(len(d) - 399):
-            if seen[d[k : k + 400].tobytes()] > 1:
-                mark[k : k + 400] = True
+        for k in range(len(d) - size + 1):
+            if seen[d[k : k + size].tobytes()] > 1:
+                mark[k : k + size] = True
         cut.append((i, d[~mark].tobytes().decode("utf-8", "ignore")))
     items = [shingle_set(r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
     left = [(i, t) for i, t in cut for own in [shingle_set(t)] if not any(x and 100 * len(x & own) >= 75 * len(x) for x in items)]
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(_tokenizer_path())
-    tokenizer.encode_special_tokens = True
     want = set()
     for i, t in left:
         ids = tokenizer.encode(t, add_special_tokens=False).ids + [2]
