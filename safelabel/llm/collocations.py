@@ -3,15 +3,17 @@
 Method: broadcast double-array tries of Apriori-safe candidates. A phrase can occur ``least``
 times only if each part of it does. Level by level (1, 2, 3 words):
 1. Words are counted by a combined aggregate.
-2. Candidates of k words are phrases of the corpus whose first and last k-1 words pass a bit
-   filter of the frequent ones, and whose counts, summed over blocks of text and cut off at
-   ``least`` in each, reach ``least``. The filter has a fixed size and only lets too much
-   through, so no frequent phrase is lost.
+2. Candidates of k words are found in two scans. The first takes the phrases whose first and
+   last k-1 words are frequent, by a bit filter, and sums counts of their hashes, cut off at
+   ``least`` in each task. The second takes the phrases whose hash reached ``least``, by a bit
+   filter again. Filters have a bounded size and only let too much through, and sums of hashes
+   are never too small, so no frequent phrase is lost; rare ones never travel as text.
 3. Candidates are range-partitioned and built into double-array tries of bounded size over
    their bytes. Each is broadcast; a task walks its text through one after the other: the
    states of all word starts of a block move on together, one byte a step, with numpy.
-   Accepting states are counted by ``bincount``, and Spark sums the counts of all tasks.
-   The same scan finds the candidates of the next level.
+   Accepting states are counted by ``bincount``, one vector a task and trie; vectors are
+   summed in groups of about ``FAN``, and the sums again, until there is one for each trie.
+   The same scan hashes the phrases of one word more.
 4. Scores are exact decimals. Phrases inside a longer candidate that is at least half as
    common are dropped; the best of each language are ranked, first in salted groups.
 
@@ -33,18 +35,23 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from safelabel.llm.hashing import encoded, mix, stream
 from safelabel.llm.store import written
 
-GROUP_BYTES = 8 << 20
+GROUP_BYTES = 2 << 20
 LONG_WORD = 64
 TRIE_BYTES = 1 << 20
 FILTER_BITS = 1 << 27
 FLUSH_WORDS = 300_000
+FLUSH_HASHES = 1_000_000
+FAN = 64
+ROWS = 256
 RANK_GROUP = 200_000
 CODE = "￿"
 _U = np.uint64
@@ -140,8 +147,9 @@ def streams(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Stream]]:
     """(language, stream) of rows (lang, text), in blocks of about ``GROUP_BYTES`` that end between pieces."""
     held: dict[str, list[str]] = {}
     size: Counter = Counter()
-    for batch in batches:
-        for language, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
+    rows = (batch.slice(i, ROWS) for batch in batches for i in range(0, batch.num_rows, ROWS))
+    for few in rows:
+        for language, text in zip(few.column("lang").to_pylist(), few.column("text").to_pylist(), strict=True):
             at = 0
             while at < len(text):
                 cut = _BREAKS.search(text, at + GROUP_BYTES) if len(text) - at > GROUP_BYTES else None
@@ -184,24 +192,23 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from flush()
 
 
-def _bits(batches: Iterator[pa.RecordBatch], k: int, bits: int) -> Iterator[pa.RecordBatch]:
+def _phrase_hashes(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         by: dict[str, list[str]] = {}
         for language, phrase in zip(batch.column("lang").to_pylist(), batch.column("phrase").to_pylist(), strict=True):
             by.setdefault(language, []).append(phrase)
         for language, phrases in by.items():
             block = Stream(phrases, coded=True)
-            place = block.hashes(k, language)[block.phrases(k)] % _U(bits)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array((place >> _U(6)).astype(np.int64)), pa.array((_U(1) << (place & _U(63))).view(np.int64))], ["slot", "bit"])
+            yield pa.RecordBatch.from_arrays([pa.array(block.hashes(k, language)[block.phrases(k)].view(np.int64))], ["h"])
 
 
-def bit_filter(phrases: DataFrame, k: int, count: int) -> np.ndarray:
-    """Bits of the hashes of phrases (lang, phrase) of ``k`` words, at most ``FILTER_BITS``; Spark unites them."""
-    bits = 1 << 16
-    while bits < min(16 * count, FILTER_BITS):
+def bit_filter(hashes: DataFrame) -> np.ndarray:
+    """Bits of a written table of hashes (h), at most ``FILTER_BITS``; Spark unites them."""
+    count, bits = hashes.count(), 1 << 16
+    while bits < min(32 * count, FILTER_BITS):
         bits *= 2
-    rows = phrases.select("lang", "phrase").mapInArrow(lambda batches: _bits(batches, k, bits), "slot long, bit long")
+    place = F.col("h").bitwiseAND(bits - 1)
+    rows = hashes.select(F.shiftright(place, 6).alias("slot"), F.expr("shiftleft(1L, cast(h & 63 as int))").alias("bit"))
     found = rows.groupBy("slot").agg(F.bit_or("bit").alias("bit")).toArrow()
     out = np.zeros(bits >> 6, np.int64)
     out[found["slot"].to_numpy()] = found["bit"].to_numpy()
@@ -209,18 +216,63 @@ def bit_filter(phrases: DataFrame, k: int, count: int) -> np.ndarray:
 
 
 def _passes(filter_: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    place = hashes % _U(len(filter_) << 6)
+    place = hashes & _U((len(filter_) << 6) - 1)
     return (filter_[(place >> _U(6)).astype(np.int64)] >> (place & _U(63))) & _U(1) > 0
 
 
-def seen_candidates(language: str, block: Stream, k: int, filter_: np.ndarray, least: int) -> pa.RecordBatch:
-    """(lang, phrase, n): phrases of ``k`` words of a block whose parts pass the filter of k-1 words; n is at most ``least``."""
-    ok = _passes(filter_, block.hashes(k - 1, language))
-    at = block.phrases(k)
-    at = at[ok[at] & ok[at + 1]]
-    _, first, count = np.unique(block.hashes(k, language)[at], return_index=True, return_counts=True)
-    phrases = block.strings(block.start[at[first]], block.end[at[first] + k - 1])
-    return _rows(language, phrases, pa.array(np.minimum(count, least).astype(np.int64)), names=["phrase", "n"])
+class HashCounts:
+    """Counts of the hashes of phrases of ``k`` words whose first and last k-1 words pass a filter."""
+
+    def __init__(self, k: int, filter_: np.ndarray, least: int):
+        self.k, self.filter, self.least = k, filter_, least
+        self.hashes, self.counts, self.fresh = np.zeros(0, _U), np.zeros(0, np.int64), []
+
+    def add(self, language: str, block: Stream) -> None:
+        ok = _passes(self.filter, block.hashes(self.k - 1, language))
+        at = block.phrases(self.k)
+        self.fresh.append(block.hashes(self.k, language)[at[ok[at] & ok[at + 1]]])
+        if sum(map(len, self.fresh)) > FLUSH_HASHES:
+            self._merge()
+
+    def _merge(self) -> None:
+        new, n = np.unique(np.concatenate(self.fresh), return_counts=True)
+        place = np.searchsorted(self.hashes, new)
+        known = place < len(self.hashes)
+        known[known] = self.hashes[place[known]] == new[known]
+        self.counts[place[known]] += n[known]
+        joined = np.concatenate([self.hashes, new[~known]])
+        order = np.argsort(joined, kind="stable")
+        self.hashes, self.counts, self.fresh = joined[order], np.concatenate([self.counts, n[~known]])[order], []
+
+    def full(self) -> bool:
+        return len(self.hashes) > FLUSH_HASHES
+
+    def taken(self) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes and their counts, cut off at ``least``; they are forgotten here."""
+        if self.fresh:
+            self._merge()
+        out = self.hashes.view(np.int64), np.minimum(self.counts, self.least)
+        self.hashes, self.counts = np.zeros(0, _U), np.zeros(0, np.int64)
+        return out
+
+
+def _hash_counts(batches: Iterator[pa.RecordBatch], k: int, sent, least: int) -> Iterator[pa.RecordBatch]:
+    found = HashCounts(k, sent.value, least)
+    for language, block in streams(batches):
+        found.add(language, block)
+        if found.full():
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in found.taken()], ["h", "n"])
+    yield pa.RecordBatch.from_arrays([pa.array(x) for x in found.taken()], ["h", "n"])
+
+
+def _seen(batches: Iterator[pa.RecordBatch], k: int, sent, least: int) -> Iterator[pa.RecordBatch]:
+    """(lang, phrase, n): phrases of ``k`` words of each block whose hash passes the filter; n is at most ``least``."""
+    for language, block in streams(batches):
+        hashes, at = block.hashes(k, language), block.phrases(k)
+        at = at[_passes(sent.value, hashes[at])]
+        _, first, count = np.unique(hashes[at], return_index=True, return_counts=True)
+        phrases = block.strings(block.start[at[first]], block.end[at[first] + k - 1])
+        yield _rows(language, phrases, pa.array(np.minimum(count, least).astype(np.int64)), names=["phrase", "n"])
 
 
 class DoubleArray:
@@ -308,12 +360,12 @@ class DoubleArray:
 
 
 def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Tries (lang, phrases, base, check, accept) of sorted rows (lang, phrase); each holds about ``TRIE_BYTES`` of phrases."""
+    """Tries (name, lang, phrases, base, check, accept) of sorted rows (lang, phrase); each holds about ``TRIE_BYTES`` of phrases."""
     language, held, size = None, [], 0
 
     def built() -> pa.RecordBatch:
         trie = DoubleArray.of([p.encode("utf-8", "surrogatepass") for p in held])
-        return pa.RecordBatch.from_pydict({"lang": [language], "phrases": ["\n".join(held)], "base": [trie.base.tobytes()], "check": [trie.check.tobytes()], "accept": [trie.accept.tobytes()]})
+        return pa.RecordBatch.from_pydict({"name": [f"{language}\n{held[0]}"], "lang": [language], "phrases": ["\n".join(held)], "base": [trie.base.tobytes()], "check": [trie.check.tobytes()], "accept": [trie.accept.tobytes()]})
 
     for batch in batches:
         for own, phrase in zip(batch.column("lang").to_pylist(), batch.column("phrase").to_pylist(), strict=True):
@@ -330,7 +382,7 @@ def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def tries(candidates: DataFrame, size: int) -> DataFrame:
     """Double-array tries of candidates (lang, phrase) of about ``size`` bytes in all."""
     ranged = candidates.select("lang", "phrase").repartitionByRange(max(4, size // (8 * TRIE_BYTES)), "lang", "phrase").sortWithinPartitions("lang", "phrase")
-    return ranged.mapInArrow(_build, "lang string, phrases string, base binary, check binary, accept binary")
+    return ranged.mapInArrow(_build, "name string, lang string, phrases string, base binary, check binary, accept binary")
 
 
 def _value(sent) -> dict:
@@ -340,9 +392,15 @@ def _value(sent) -> dict:
     return value
 
 
-def _count_and_look(batches: Iterator[pa.RecordBatch], k: int, sent: list, filter_, least: int) -> Iterator[pa.RecordBatch]:
-    """(level, lang, phrase, n): counts of the tries' phrases of ``k`` words, and candidates of one word more if a filter is given."""
+def _count_and_look(batches: Iterator[pa.RecordBatch], k: int, sent: list, look, least: int) -> Iterator[pa.RecordBatch]:
+    """(h, n, name, part, counts): vectors of the counts of the tries' phrases of ``k`` words; if a filter is given, rows of hashes of one word more."""
     totals: dict[int, np.ndarray] = {}
+    ahead = HashCounts(k + 1, look.value, least) if look else None
+
+    def hashed() -> pa.RecordBatch:
+        h, n = ahead.taken()
+        return pa.RecordBatch.from_arrays([pa.array(h), pa.array(n), pa.nulls(len(h), pa.string()), pa.nulls(len(h), pa.int32()), pa.nulls(len(h), pa.binary())], ["h", "n", "name", "part", "counts"])
+
     for language, block in streams(batches):
         starts = block.start[block.phrases(k)]
         for i, (own, _) in enumerate(sent):
@@ -351,27 +409,73 @@ def _count_and_look(batches: Iterator[pa.RecordBatch], k: int, sent: list, filte
                 arrays = DoubleArray(*(np.frombuffer(trie[c], np.int32) for c in ("base", "check", "accept")))
                 counts = arrays.count(block, starts, trie["phrases"].count("\n") + 1)
                 totals[i] = totals[i] + counts if i in totals else counts
-        if filter_ is not None:
-            found = seen_candidates(language, block, k + 1, filter_.value, least)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), k + 1, np.int32)), *found.columns], ["level", "lang", "phrase", "n"])
+        if ahead:
+            ahead.add(language, block)
+            if ahead.full():
+                yield hashed()
+    if ahead:
+        yield hashed()
     for i, counts in totals.items():
-        some = np.flatnonzero(counts)
-        phrases = pa.array(_value(sent[i][1])["phrases"].split("\n")).take(pa.array(some))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(some), k, np.int32)), pa.array([sent[i][0]] * len(some), pa.string()), phrases, pa.array(counts[some].astype(np.int64))], ["level", "lang", "phrase", "n"])
+            [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([_value(sent[i][1])["name"]]), pa.array([TaskContext.get().partitionId()], pa.int32()),
+             pa.array([counts.astype(np.int64).tobytes()])], ["h", "n", "name", "part", "counts"])
+
 
+def _sum_vectors(frame: pd.DataFrame) -> pd.DataFrame:
+    total = np.frombuffer(frame["counts"].iat[0], np.int64).copy()
+    for counts in frame["counts"].iloc[1:]:
+        total += np.frombuffer(counts, np.int64)
+    return pd.DataFrame({"name": [frame["name"].iat[0]], "part": [frame["part"].iat[0]], "counts": [total.tobytes()]})
 
-def counted(texts: DataFrame, candidates: DataFrame, k: int, size: int, filter_: np.ndarray | None, least: int) -> DataFrame:
-    """Rows (level, lang, phrase, n), written: counts of candidate phrases of ``k`` words by block, and candidates of ``k`` + 1."""
+
+def summed(vectors: DataFrame) -> DataFrame:
+    """One vector (name, part, counts) for each name, from any number of them; parts tell the vectors of a name apart."""
+    groups = -(-(vectors.groupBy("name").count().agg(F.max("count")).first()[0] or 0) // FAN)
+    while True:
+        dealt = vectors.withColumn("part", F.col("part") % max(1, groups))
+        vectors = dealt.groupBy("name", "part").applyInPandas(lambda frame: _sum_vectors(frame), "name string, part int, counts binary")
+        if groups <= 1:
+            return vectors
+        vectors, groups = written(vectors), -(-groups // FAN)
+
+
+def _named_counts(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for language, phrases, counts in zip(*(batch.column(c).to_pylist() for c in ("lang", "phrases", "counts")), strict=True):
+            n = np.frombuffer(counts, np.int64)
+            some = np.flatnonzero(n >= least)
+            yield _rows(language, pa.array(phrases.split("\n")).take(pa.array(some)), pa.array(n[some]), names=["phrase", "n"])
+
+
+def counted(texts: DataFrame, candidates: DataFrame, k: int, look: np.ndarray | None, least: int) -> tuple[DataFrame, DataFrame]:
+    """Frequent phrases (lang, phrase, n) among candidates of ``k`` words, and rows (h, n) of hashes of ``k`` + 1 words."""
     context = texts.sparkSession.sparkContext
-    sent = [(row["lang"], context.broadcast(row.asDict())) for row in written(tries(candidates, size)).toLocalIterator()]
-    look = None if filter_ is None else context.broadcast(filter_)
-    out = written(texts.mapInArrow(lambda batches: _count_and_look(batches, k, sent, look, least), "level int, lang string, phrase string, n long"))
-    for one in [x for _, x in sent] + ([look] if look else []):
+    size = candidates.agg(F.sum(F.octet_length("phrase") + 1)).first()[0] or 0
+    built = written(tries(candidates, size))
+    sent = [(row["lang"], context.broadcast(row.asDict())) for row in built.toLocalIterator()]
+    filter_ = None if look is None else context.broadcast(look)
+    found = written(texts.mapInArrow(lambda batches: _count_and_look(batches, k, sent, filter_, least), "h long, n long, name string, part int, counts binary"))
+    for one in [x for _, x in sent] + ([filter_] if filter_ else []):
         one.destroy()
+    vectors = summed(found.where("h is null").select("name", "part", "counts"))
+    named = vectors.join(built.select("name", "lang", "phrases"), "name").select("lang", "phrases", "counts")
+    phrases = written(named.mapInArrow(lambda batches: _named_counts(batches, least), "lang string, phrase string, n long"))
+    return phrases, found.where("h is not null").select("h", "n")
+
+
+def candidates_of(texts: DataFrame, hashed: DataFrame, k: int, least: int) -> DataFrame:
+    """Phrases (lang, phrase, n) of ``k`` words that may be frequent, from rows (h, n) of counted hashes."""
+    heavy = written(hashed.groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("h"))
+    filter_ = texts.sparkSession.sparkContext.broadcast(bit_filter(heavy))
+    out = _reaching(texts.mapInArrow(lambda batches: _seen(batches, k, filter_, least), "lang string, phrase string, n long"), least)
+    filter_.destroy()
     return out
 
 
+def _filter_of(phrases: DataFrame, k: int) -> np.ndarray:
+    return bit_filter(written(phrases.select("lang", "phrase").mapInArrow(lambda batches: _phrase_hashes(batches, k), "h long")))
+
+
 def _reaching(rows: DataFrame, least: int) -> DataFrame:
     return written(rows.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= least))
 
@@ -382,17 +486,14 @@ def frequent_phrases(documents: DataFrame, least: int, longest: int) -> tuple[Da
     rows = texts.mapInArrow(_words, "lang string, word string, full string, n long")
     words = written(rows.groupBy("lang", "word", "full").agg(F.sum("n").alias("n")))
     levels = [words.where(F.col("n") >= least).select("lang", F.col("word").alias("phrase"), "n")]
-    filter_ = texts.sparkSession.sparkContext.broadcast(bit_filter(levels[0], 1, levels[0].count()))
-    seen = texts.mapInArrow(lambda batches: (seen_candidates(x, block, 2, filter_.value, least) for x, block in streams(batches)), "lang string, phrase string, n long")
-    candidates = _reaching(seen, least)
+    filter_ = texts.sparkSession.sparkContext.broadcast(_filter_of(levels[0], 1))
+    candidates = candidates_of(texts, texts.mapInArrow(lambda batches: _hash_counts(batches, 2, filter_, least), "h long, n long"), 2, least)
     filter_.destroy()
     for k in range(2, longest + 1):
-        count, size = candidates.agg(F.count("*"), F.sum(F.octet_length("phrase") + 1)).first()
-        more = bit_filter(candidates, k, count) if k < longest else None
-        found = counted(texts, candidates, k, size or 0, more, least)
-        levels.append(_reaching(found.where(F.col("level") == k), least))
+        phrases, hashed = counted(texts, candidates, k, _filter_of(candidates, k) if k < longest else None, least)
+        levels.append(phrases)
         if k < longest:
-            candidates = _reaching(found.where(F.col("level") == k + 1), least)
+            candidates = candidates_of(texts, hashed, k + 1, least)
     return words, levels
 
 

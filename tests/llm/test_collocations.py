@@ -61,14 +61,14 @@ def corpus(rng):
     return rows + [(70, None, "en"), (71, "", None), (72, "alone here", "zz"), rows[0], rows[0]]
 
 
-@pytest.mark.parametrize("settings", [{}, {"GROUP_BYTES": 200, "TRIE_BYTES": 60, "FLUSH_WORDS": 5, "RANK_GROUP": 7, "FILTER_BITS": 1 << 16}])
+@pytest.mark.parametrize("settings", [{}, {"GROUP_BYTES": 200, "TRIE_BYTES": 60, "FLUSH_WORDS": 5, "FLUSH_HASHES": 9, "FAN": 2, "RANK_GROUP": 7, "FILTER_BITS": 1 << 16}])
 def test_collocations_equal_brute_force(spark, monkeypatch, settings):
     for name, value in settings.items():
         monkeypatch.setattr(co, name, value)
     cloudpickle.register_pickle_by_value(co)
     try:
         rows = corpus(random.Random(9))
-        frame = spark.createDataFrame(rows, SPEC).withColumn("phrase", F.lit("clash")).withColumn("n", F.lit(1)).repartition(3)
+        frame = spark.createDataFrame(rows, SPEC).withColumn("phrase", F.lit("clash")).withColumn("n", F.lit(1)).repartition(9)
         assert rows_of(co.collocations(frame, least=3, longest=4 if settings else 3, top=25)) == plain(rows, 3, 4 if settings else 3, 50, 25)
     finally:
         cloudpickle.unregister_pickle_by_value(co)
