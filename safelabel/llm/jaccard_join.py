@@ -301,16 +301,17 @@ def near_members(frame: pd.DataFrame) -> pd.DataFrame:
     first = np.searchsorted(group, np.arange(int(group.max()) + 1))
     asks = np.flatnonzero(role & 3)
     asks = asks[np.argsort(member[asks], kind="stable")]
+    near = np.zeros(len(frame), bool)
     out = []
     for own_asks in np.split(asks, np.flatnonzero(np.diff(member[asks])) + 1) if len(asks) else ():
         i = int(member[own_asks[0]])
         least = int(np.searchsorted(n, -(-3 * n[i] // 4)))
-        near = []
+        near[:] = False
         for at in own_asks:
-            y, cuts = member[first[group[at]] : at], (role[first[group[at]] : at] >> 2) + (role[at] >> 2)
-            near.append(y[(y >= least) & (cuts < 2) & ((role[at] & 3) > cuts)])
-        y = np.unique(np.concatenate(near))
-        y = y[(part[y] != part[i]) & (doc[y] != doc[i])]
+            low = first[group[at]]
+            low += np.searchsorted(member[low:at], least)
+            near[member[low:at][(role[low:at] >> 2) + (role[at] >> 2) < min(2, role[at] & 3)]] = True
+        y = np.flatnonzero(near & (part != part[i]) & (doc != doc[i]))
         y = y[block[y] != block[i]] if crossing else y
         y = y[np.abs(cells[y] - cells[i]).sum(axis=1) <= (n[y] + n[i]) // 7]
         if not len(y):
