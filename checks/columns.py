@@ -48,11 +48,12 @@ _WORD_LEXICON = f"""{S.DOCS}, lexicon AS (SELECT DISTINCT language, w AS term FR
     (SELECT language, unnest(regexp_split_to_array(text, '[ \t-\r]+')) AS w FROM docs) WHERE length(w) > 0)"""
 
 
-@query("b03_minimise_lexicon", f"""WITH {_WORD_LEXICON}, pieces AS (SELECT language, term, unnest(list_transform(range(1, length(term) + 1),
-    lambda s: list_transform(range(1, length(term) - s + 2), lambda n: term[s:s + n - 1]))) AS ps FROM lexicon),
-    parts AS (SELECT language, term, unnest(ps) AS part FROM pieces)
-    SELECT language, term FROM lexicon l WHERE NOT EXISTS (SELECT 1 FROM parts p JOIN lexicon o ON o.language = p.language AND o.term = p.part
-    WHERE p.language = l.language AND p.term = l.term AND p.part <> p.term)""")
+@query("b03_minimise_lexicon", f"""WITH {_WORD_LEXICON},
+    posts AS (SELECT language, term, CASE WHEN length(term) < 3 THEN term ELSE substr(term, length(term) // 2, 3) END AS gram FROM lexicon),
+    pieces AS (SELECT DISTINCT language, term AS whole, unnest(flatten([[substr(term, i, n) FOR i IN range(1, length(term) - n + 2)] FOR n IN [1, 2, 3]])) AS gram FROM lexicon),
+    redundant AS (SELECT DISTINCT p.language, p.whole FROM pieces p JOIN posts o ON o.language = p.language AND o.gram = p.gram
+        WHERE o.term <> p.whole AND contains(p.whole, o.term))
+    SELECT language, term FROM lexicon l WHERE NOT EXISTS (SELECT 1 FROM redundant r WHERE r.language = l.language AND r.whole = l.term)""")
 def _(spark, sf):
     words = I.documents(spark, sf).select("language", F.explode(F.split("text", "[ \t-\r]+")).alias("term"))
     return minimise_lexicon(words.filter(F.length("term") > 0))
@@ -435,3 +436,26 @@ def _(spark, sf):
 @query("c05_term_hits", f"WITH {S.DOCS}, {S.LEXICON} SELECT DISTINCT doc_id, d.language, term FROM docs d JOIN lexicon l ON d.language = l.language AND contains(text, term)")
 def _(spark, sf):
     return term_hits(I.documents(spark, sf), I.lexicon_table(spark)).select("doc_id", "language", "term")
+
+
+# The corpus' own commonest words as a lexicon, short ones included.
+_COMMON_WORDS = 20_000
+_COMMON = f"""{S.DOCS}, lexicon AS (SELECT language, term FROM (SELECT language, w AS term, count(*) AS n FROM
+    (SELECT language, unnest(regexp_split_to_array(text, '[ \t-\r]+')) AS w FROM docs) WHERE length(w) > 0 GROUP BY ALL)
+    QUALIFY row_number() OVER (ORDER BY n DESC, language, term) <= {_COMMON_WORDS})"""
+
+
+def _common_lexicon(spark, sf):
+    words = I.documents(spark, sf).select("language", F.explode(F.split("text", "[ \t-\r]+")).alias("term"))
+    counted = words.filter(F.length("term") > 0).groupBy("language", "term").agg(F.count("*").alias("n"))
+    return counted.orderBy(F.desc("n"), "language", "term").limit(_COMMON_WORDS).select("language", "term")
+
+
+@query("c05_common_words", f"""WITH {_COMMON}, words AS (SELECT doc_id, language, text FROM docs),
+    found AS (SELECT DISTINCT doc_id, d.language, term, strpos(text, term) - 1 AS place FROM docs d JOIN lexicon l ON l.language = d.language AND contains(text, term))
+    SELECT doc_id, language, count(*) AS n_terms, cast(sum(place) AS BIGINT) AS places, md5(string_agg(term, ' ' ORDER BY term)) AS terms FROM found GROUP BY ALL""")
+def _(spark, sf):
+    hits = term_hits(I.documents(spark, sf), _common_lexicon(spark, sf), place="place")
+    sums = hits.groupBy("doc_id", "language").agg(
+        F.count("*").alias("n_terms"), F.sum("place").alias("places"), F.array_sort(F.collect_list("term")).alias("terms"))
+    return sums.withColumn("terms", F.md5(F.array_join("terms", " ")))

@@ -12,7 +12,7 @@ from collections import defaultdict
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from safelabel.functions.base import as_col
+from safelabel.functions.base import as_col, let
 from safelabel.functions.patterns import any_of
 from safelabel.session import collect_config
 
@@ -46,7 +46,14 @@ class Lexicon:
         return F.coalesce(as_col(text).rlike(pattern), F.lit(False))
 
 
-def found_terms(text: Column | str, terms: Column) -> Column:
-    """The members of an array of terms that the text holds."""
-    text = as_col(text)
-    return F.filter(terms, lambda t: F.contains(text, t))
+GRAM = 3
+
+
+def grams(text: Column | str, *sizes: int) -> Column:
+    """All runs of so many neighbouring code points of a text, size by size, in order."""
+    def runs(letters: Column, size: int) -> Column:
+        starts = F.when(F.size(letters) >= size, F.sequence(F.lit(0), F.size(letters) - size)).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.concat(*[F.get(letters, i + k) for k in range(size)]))
+
+    cut = lambda letters: F.concat(*[runs(letters, size) for size in sizes])
+    return let(F.regexp_extract_all(as_col(text), F.lit("(?s)."), F.lit(0)), cut)

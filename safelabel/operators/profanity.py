@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from safelabel.functions.lexicon import MAX_TERMS, Lexicon, found_terms
-from safelabel.session import broadcast_if, pin_if_small
+from safelabel.functions.lexicon import GRAM, MAX_TERMS, Lexicon, grams
+from safelabel.session import broadcast_if, pin_if_small, small_side, stage_table
 
 SAFETY_COLUMNS = ["safety_categories", "safety_distribution"]
 
@@ -32,19 +32,32 @@ def profanity_rows(df: DataFrame, lexicon: Lexicon) -> DataFrame:
     return drop_safety_columns(flag_profanity(df.filter(ok), lexicon))
 
 
+def term_postings(terms: DataFrame) -> DataFrame:
+    """One gram for each term (language, term): ``gram`` and ``at``, its place in the term, from 0.
+
+    A term of three letters or more posts the one of its grams that fewest terms hold, so common
+    grams hardly have postings; a shorter term posts itself, the empty term an empty gram.
+    """
+    long = terms.filter(F.char_length("term") >= GRAM)
+    own = long.select("language", "term", F.posexplode(grams("term", GRAM)).alias("at", "gram"))
+    common = own.groupBy("language", "gram").agg(F.count_distinct("term").alias("holders"))
+    rarest = own.join(small_side(common), ["language", "gram"]).groupBy("language", "term").agg(
+        F.min(F.struct("holders", "gram", "at")).alias("post"))
+    short = terms.filter(F.char_length("term") < GRAM).select("language", "term", F.col("term").alias("gram"), F.lit(0).alias("at"))
+    return rarest.select("language", "term", "post.gram", "post.at").union(short)
+
+
 def minimise_lexicon(lexicon: DataFrame) -> DataFrame:
     """Terms that decide the flag: no duplicates, none that holds a shorter term.
 
-    Each term is taken apart into its substrings, and those are looked up by equality,
-    so no pair of terms is ever compared that cannot match.
+    Each term looks up its own grams among the postings of all terms, and only terms that post
+    one of them are searched for in it. Work grows with the letters of the lexicon.
     """
-    terms = lexicon.select("language", "term").distinct()
-    starts = F.sequence(F.lit(1), F.char_length("term"))
-    pieces = terms.select("language", F.col("term").alias("whole"), F.explode(starts).alias("at")).select(
-        "language", "whole", F.explode(F.transform(
-            F.sequence(F.lit(1), F.char_length("whole") - F.col("at") + 1),
-            lambda n: F.substring(F.col("whole"), F.col("at"), n))).alias("term"))
-    redundant = (pieces.filter(F.col("term") != F.col("whole")).join(terms, ["language", "term"], "left_semi")
+    terms = stage_table(lexicon.select("language", "term").filter("term is not null").distinct(), "terms")
+    held = F.array_distinct(F.concat(F.array(F.lit("")), grams("term", *range(1, GRAM + 1))))
+    lookups = terms.select("language", F.col("term").alias("whole"), F.explode(held).alias("gram"))
+    posted = small_side(term_postings(terms).select("language", "gram", "term"))
+    redundant = (lookups.join(posted, ["language", "gram"]).filter((F.col("term") != F.col("whole")) & F.contains("whole", "term"))
                  .select("language", F.col("whole").alias("term")).distinct())
     return terms.join(redundant, ["language", "term"], "left_anti")
 
@@ -56,8 +69,16 @@ def with_lexicon_terms(df: DataFrame, lexicon: DataFrame, language: str = "langu
     return df.join(broadcast_if(small, lists), language, "left")
 
 
-def term_hits(df: DataFrame, lexicon: DataFrame, text: str = "text", language: str = "language") -> DataFrame:
-    """One row per text and term of its language found in it."""
-    hits = found_terms(text, F.col("_terms"))
-    return (with_lexicon_terms(df, lexicon, language, "_terms")
-            .withColumn("term", F.explode(hits)).drop("_terms"))
+def term_hits(df: DataFrame, lexicon: DataFrame, text: str = "text", language: str = "language", place: str | None = None) -> DataFrame:
+    """One row per text and term of its language found in it: the columns of ``df``, ``term`` and, if named, its first place from 0.
+
+    A text is read once, cut into its distinct grams, and they look up the terms that post them;
+    a term is searched for only in texts that hold the gram it posts. A term posts one gram, so
+    no pair comes twice, and no list of terms lies on a row. Null texts and empty terms have no hits.
+    """
+    terms = lexicon.select("language", "term").filter("length(term) > 0").distinct()
+    posted, small = pin_if_small(term_postings(terms).select(F.col("language").alias("_language"), F.col("gram").alias("_gram"), "term"))
+    held = F.array_distinct(grams(text, *range(1, GRAM + 1)))
+    pieces = df.filter(F.col(text).isNotNull()).withColumn("_piece", F.explode(held))
+    hits = pieces.join(broadcast_if(small, posted), (F.col(language) == F.col("_language")) & (F.col("_piece") == F.col("_gram"))).filter(F.contains(text, "term"))
+    return hits.select(*df.columns, "term", *([(F.instr(F.col(text), F.col("term")) - 1).alias(place)] if place else []))
