@@ -24,9 +24,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return jaccard_join.keep_one(docs)
 
 
+#: Passages of over 50 words of some five letters count as repeats.
+REPEAT_BYTES = 50 * 6
+
+
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Byte strings of 400 or more that start anywhere else are cut out; the rows stay."""
-    return suffix_dedup.remove_repeats(docs)
+    """Byte strings of ``REPEAT_BYTES`` or more that start anywhere else are cut out; the rows stay."""
+    return suffix_dedup.remove_repeats(docs, REPEAT_BYTES)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
