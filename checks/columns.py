@@ -16,6 +16,7 @@ from safelabel.functions import text as T
 from safelabel.functions import vectors as V
 from safelabel.functions.scripts import tag_language
 from safelabel.operators.confusion import misclassified
+from safelabel.operators.language import fit_language_profiles, tag_by_profile
 from safelabel.operators.labelling import keep_labelled, label_coverage, propagate_labels, with_category_counts, with_dialogue_vector
 from safelabel.operators.pairs import pair_predictions, pairing_summary, render_prompt, sft_pairs
 from safelabel.operators.profanity import (
@@ -344,6 +345,29 @@ def _(spark, sf):
     return I.documents(spark, sf).select("doc_id", "language", tag_language("text").alias("tag"))
 
 
+_HELD_OUT = ["0", "1"]
+_LANGUAGES = ["en", "fr", "de", "es"]
+_PROFILE_SQL = ", ".join(
+    f"cast(round(1000 * (ln(({c}_n + 1) / ({c}_d + 2)::DOUBLE) - ln((n - {c}_n + 1) / (d - {c}_d + 2)::DOUBLE))) AS BIGINT) AS {c}" for c in _LANGUAGES)
+_RANKED_SQL = "list_sort([" + ", ".join(f"{{'w': sum({c}), 'k': {-k}, 'name': '{c}'}}" for k, c in enumerate(_LANGUAGES)) + "], 'DESC')"
+
+
+@query("b38_language_profiles", f"""WITH {S.DOCS}, parts AS (SELECT doc_id, language, {S.digit('language')} IN ('0', '1') AS held_out, string_split(lower(text), '') AS c FROM docs),
+    held AS (SELECT DISTINCT doc_id, language, held_out, unnest([c[i] || c[i + 1] || c[i + 2] FOR i IN range(1, len(c) - 1)]) AS gram FROM parts),
+    totals AS (SELECT count(*) AS d, {', '.join(f"count(*) FILTER (WHERE language = '{c}') AS {c}_d" for c in _LANGUAGES)} FROM parts WHERE NOT held_out),
+    counts AS (SELECT gram, count(*) AS n, {', '.join(f"count(*) FILTER (WHERE language = '{c}') AS {c}_n" for c in _LANGUAGES)} FROM held WHERE NOT held_out GROUP BY gram HAVING count(*) >= 5),
+    profile AS (SELECT gram, {_PROFILE_SQL} FROM counts, totals),
+    told AS (SELECT doc_id, count(*) AS known, {_RANKED_SQL} AS best FROM held JOIN profile USING (gram) WHERE held_out GROUP BY doc_id)
+    SELECT p.doc_id, language, CASE WHEN known IS NULL OR best[1].w - best[2].w < 50 * known THEN 'unknown' ELSE best[1].name END AS tag,
+    cast(coalesce(best[1].w - best[2].w, 0) AS BIGINT) AS lead, coalesce(known, 0) AS known FROM parts p LEFT JOIN told t ON t.doc_id = p.doc_id WHERE held_out""")
+def _(spark, sf):
+    """Held-out documents, tagged by profiles of the others."""
+    docs = I.documents(spark, sf).select("doc_id", "language", "text")
+    held_out = I.digit("language").isin(_HELD_OUT)
+    tagged = tag_by_profile(docs.filter(held_out), fit_language_profiles(docs.filter(~held_out), _LANGUAGES), "doc_id")
+    return docs.filter(held_out).select("doc_id", "language").join(tagged, "doc_id")
+
+
 # Words of the scripts that the tables do not hold, planted by a digit of the row.
 _PLANTED = {"0": "নৌকা ঘাটে", "1": "ଡଙ୍ଗା ନଦୀ", "2": "ದೋಣಿ ನದಿ", "3": "വള്ളം പുഴ"}
 _PLANTED_TAGS = {"0": "bn", "1": "or", "2": "kn", "3": "ml"}

@@ -191,6 +191,27 @@ def _(spark, sf):
     return score_batches(_prompts(spark, sf), length_model(), batch_size=64).select("doc_id", "pred_raw")
 
 
+def failing_model():
+    """As ``length_model``, but a batch with a prompt whose length 7 divides fails as a whole."""
+    def make():
+        def answer(prompts):
+            for p in prompts:
+                if len(p) % 7 == 0:
+                    raise ValueError(f"length {len(p)}")
+            return ["UNSAFE" if len(p) % 3 == 0 else "SAFE" for p in prompts]
+
+        return answer
+
+    return make
+
+
+@query("h02_failing_prompts", f"""WITH {S.DOCS} SELECT doc_id, CASE WHEN {_CHARS} % 7 = 0 THEN NULL WHEN {_CHARS} % 3 = 0 THEN 'UNSAFE' ELSE 'SAFE' END AS pred_raw,
+    CASE WHEN {_CHARS} % 7 = 0 THEN 'ValueError: length ' || {_CHARS} END AS error FROM docs""")
+def _(spark, sf):
+    scored_rows = score_batches(_prompts(spark, sf), failing_model(), batch_size=64, error="error", retries=1)
+    return scored_rows.select("doc_id", "pred_raw", "error")
+
+
 @query("d21_latency_by_run", f"WITH {S.PREDICTIONS} SELECT run, round(avg((doc_id % 7)::DOUBLE / 4), 6) AS mean_latency_sec FROM predictions GROUP BY run")
 def _(spark, sf):
     rows = I.predictions(spark, sf).withColumn("latency_sec", (F.col("doc_id") % 7) / 4)

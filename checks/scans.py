@@ -18,7 +18,7 @@ from safelabel.session import scratch_path
 from safelabel.sources.jsonl import parse_json_lines, read_jsonl
 from safelabel.sources.sinks import write_jsonl, write_predictions, write_split
 from safelabel.sources.tables import read_parquet_with_id, read_table
-from safelabel.streaming.jobs import moderate_stream, score_to_sink
+from safelabel.streaming.jobs import moderate_stream, score_to_sink, split_stream
 
 DOC_SCHEMA = "doc_id bigint, text string, language string, source string"
 DOC_FIELDS = ["doc_id", "text", "language", "source"]
@@ -174,3 +174,19 @@ def _(spark, sf):
     write_jsonl(I.documents(spark, sf), path)
     moderate_stream(spark, path, DOC_SCHEMA, out, state, I.LEXICON, I.TAXONOMY).awaitTermination()
     return spark.read.parquet(out).select("doc_id", "response.category", "response.safety", F.round("response.score", 6).alias("score"))
+
+
+@query("g01_rejected_lines", f"""WITH {S.DOCS}, lines AS (SELECT doc_id, text, {S.digit('line')} IN ('0', '1') AS bad FROM docs)
+    SELECT 'processed' AS kind, count(*) AS n, 0::BIGINT AS letters FROM lines UNION ALL SELECT 'valid', count(*), 0 FROM lines WHERE NOT bad
+    UNION ALL SELECT 'malformed', count(*), 0 FROM lines WHERE bad UNION ALL SELECT 'rows', count(*), cast(sum(length(text)) AS BIGINT) FROM lines WHERE NOT bad
+    UNION ALL SELECT 'rejects', count(*), cast(sum(length(CASE {S.digit('line')} WHEN '0' THEN '{{"doc_id": ' || doc_id || ', "text": "' ELSE '[' || doc_id || ']' END)) AS BIGINT) FROM lines WHERE bad""")
+def _(spark, sf):
+    path, out, state = (scratch_path(spark, n) for n in ("stream-in", "stream-out", "stream-state"))
+    _lines_with_errors(I.documents(spark, sf)).write.text(path)
+    split_stream(spark, path, DOC_SCHEMA, out, state, lambda rows: rows.withColumn("letters", F.length("text"))).awaitTermination()
+    counts = spark.read.parquet(f"{out}/counts").select(F.stack(
+        F.lit(3), *[x for name in ("processed", "valid", "malformed") for x in (F.lit(name), F.col(name))]).alias("kind", "n"))
+    size = lambda name, letters: spark.read.parquet(f"{out}/{name}").select(F.lit(name).alias("kind"), letters.cast("long").alias("letters"))
+    both = size("rows", F.col("letters")).union(size("rejects", F.length("_corrupt_record")))
+    summed = both.groupBy("kind").agg(F.count("*").alias("n"), F.sum("letters").alias("letters"))
+    return counts.groupBy("kind").agg(F.sum("n").alias("n"), F.lit(0).cast("long").alias("letters")).unionByName(summed)

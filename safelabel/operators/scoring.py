@@ -20,31 +20,61 @@ from safelabel.functions.vectors import moderation_response
 Factory = Callable[[], Callable[[list], list]]
 
 
+def answers_or_errors(model: Callable[[list], list], prompts: list, retries: int = 0) -> tuple[list, list]:
+    """Answers of a model and errors, one of the two for each prompt.
+
+    A batch that fails is halved until the failing prompt stands alone; that one is tried
+    ``retries`` times more.  A batch of k failing prompts among n costs at most 2 k log2(n) calls
+    beyond the first.
+    """
+    try:
+        answers = list(model(prompts))
+        if len(answers) != len(prompts):
+            raise ValueError(f"{len(answers)} answers to {len(prompts)} prompts")
+        return answers, [None] * len(prompts)
+    except Exception as error:  # whatever the model raises belongs to its prompts
+        if len(prompts) > 1:
+            half = len(prompts) // 2
+            left, right = (answers_or_errors(model, part, retries) for part in (prompts[:half], prompts[half:]))
+            return left[0] + right[0], left[1] + right[1]
+        return answers_or_errors(model, prompts, retries - 1) if retries > 0 else ([None], [f"{type(error).__name__}: {error}"])
+
+
 def score_batches(df: DataFrame, make_model: Factory, batch_size: int = 8, prompt: str = "prompt",
-                  out: str = "pred_raw", latency: str | None = None) -> DataFrame:
+                  out: str = "pred_raw", latency: str | None = None, error: str | None = None, retries: int = 0) -> DataFrame:
     """Add the answer of a model to every row, and the seconds per row if asked.
 
     Rows stream through the Python workers in Arrow batches; no partition is held in
-    memory as a whole.
+    memory as a whole.  Without ``error``, a prompt that fails fails the job; with it, its row
+    has no answer and its error in the column of that name, and all other rows are scored.
     """
     schema = T.StructType([*df.schema.fields, T.StructField(out, T.StringType())])
     if latency:
         schema = schema.add(latency, T.DoubleType())
+    if error:
+        schema = schema.add(error, T.StringType())
+    isolated = answers_or_errors
 
     def run(frames):
         import time
 
         model = make_model()
         for frame in frames:
-            answers, seconds = [], []
+            answers, seconds, errors = [], [], []
             prompts = frame[prompt].tolist()
             for start in range(0, len(prompts), batch_size):
                 batch = prompts[start : start + batch_size]
                 began = time.perf_counter()
-                answers.extend(model(batch))
+                if error:
+                    got, failed = isolated(model, batch, retries)
+                    errors.extend(failed)
+                else:
+                    got = model(batch)
+                answers.extend(got)
                 seconds.extend([(time.perf_counter() - began) / len(batch)] * len(batch))
             frame = frame.assign(**{out: answers})
-            yield frame.assign(**{latency: seconds}) if latency else frame
+            frame = frame.assign(**{latency: seconds}) if latency else frame
+            yield frame.assign(**{error: errors}) if error else frame
 
     return df.mapInPandas(run, schema)
 
