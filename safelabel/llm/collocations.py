@@ -381,7 +381,7 @@ def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def tries(candidates: DataFrame, size: int) -> DataFrame:
     """Double-array tries of candidates (lang, phrase) of about ``size`` bytes in all."""
-    ranged = candidates.select("lang", "phrase").repartitionByRange(max(4, size // (8 * TRIE_BYTES)), "lang", "phrase").sortWithinPartitions("lang", "phrase")
+    ranged = candidates.select("lang", "phrase").repartitionByRange(max(4, size // TRIE_BYTES), "lang", "phrase").sortWithinPartitions("lang", "phrase")
     return ranged.mapInArrow(_build, "name string, lang string, phrases string, base binary, check binary, accept binary")
 
 

@@ -9,7 +9,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from safelabel.llm.store import written
+from safelabel.llm.store import remove, written
+
+
+def settled(edges: DataFrame) -> bool:
+    """True if every node of ``edges`` (u, v) points to one node at most, and none to a node that points on; one shuffle."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("hit")).union(edges.select("v", F.lit(0), F.lit(1)))
+    return ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("hit").alias("hit")).where("out > 1 or out = 1 and hit = 1").isEmpty()
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
@@ -18,8 +24,9 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     Loops and repeated edges change nothing. No edges give no rows.
     """
     now = written(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    last = None
     for _ in range(rounds):
+        if settled(now):
+            break
         # Large star: larger neighbours of a node go to its smallest neighbour.
         both = now.select("u", "v").union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -27,13 +34,10 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         # Small star: smaller neighbours and the node itself go to the smallest.
         small = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(small, "u")
-        now = written(
+        last, now = now, written(
             joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(joined.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
         )
-        state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == last:
-            break
-        last = state
+        remove(last)
     else:
         raise RuntimeError("components did not settle")
-    return now.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component")).union(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(now.select("v", "v").distinct())
