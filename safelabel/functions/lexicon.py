@@ -46,7 +46,7 @@ class Lexicon:
         return F.coalesce(as_col(text).rlike(pattern), F.lit(False))
 
 
-GRAM = 3
+GRAM = 4
 
 
 def grams(text: Column | str, *sizes: int) -> Column:

@@ -35,7 +35,7 @@ def profanity_rows(df: DataFrame, lexicon: Lexicon) -> DataFrame:
 def term_postings(terms: DataFrame) -> DataFrame:
     """One gram for each term (language, term): ``gram`` and ``at``, its place in the term, from 0.
 
-    A term of three letters or more posts the one of its grams that fewest terms hold, so common
+    A term of ``GRAM`` letters or more posts the one of its grams that fewest terms hold, so common
     grams hardly have postings; a shorter term posts itself, the empty term an empty gram.
     """
     long = terms.filter(F.char_length("term") >= GRAM)
@@ -76,9 +76,9 @@ def term_hits(df: DataFrame, lexicon: DataFrame, text: str = "text", language: s
     a term is searched for only in texts that hold the gram it posts. A term posts one gram, so
     no pair comes twice, and no list of terms lies on a row. Null texts and empty terms have no hits.
     """
-    terms = lexicon.select("language", "term").filter("length(term) > 0").distinct()
+    terms = stage_table(lexicon.select("language", "term").filter("length(term) > 0").distinct(), "terms")
     posted, small = pin_if_small(term_postings(terms).select(F.col("language").alias("_language"), F.col("gram").alias("_gram"), "term"))
     held = F.array_distinct(grams(text, *range(1, GRAM + 1)))
     pieces = df.filter(F.col(text).isNotNull()).withColumn("_piece", F.explode(held))
-    hits = pieces.join(broadcast_if(small, posted), (F.col(language) == F.col("_language")) & (F.col("_piece") == F.col("_gram"))).filter(F.contains(text, "term"))
+    hits = pieces.join(broadcast_if(small, posted), (F.col(language) == F.col("_language")) & (F.col("_piece") == F.col("_gram"))).filter((F.col("term") == F.col("_gram")) | F.contains(text, "term"))
     return hits.select(*df.columns, "term", *([(F.instr(F.col(text), F.col("term")) - 1).alias(place)] if place else []))
