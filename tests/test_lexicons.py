@@ -4,6 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from safelabel.functions import trie
 from safelabel.functions.lexicon import grams
 from safelabel.operators import profanity
 from safelabel.operators.language import fit_language_profiles, tag_by_profile
@@ -65,3 +66,38 @@ def test_language_profiles_tag_held_out_rows(spark, sf):
     assert sum(r.tag == r.language for r in told) >= 0.95 * len(told)
     assert {r.tag for r in rows if r.doc_id < 0} == {"unknown"} and all(r.known == 0 for r in rows if r.doc_id < 0)
     assert fit_language_profiles(docs.limit(0), ["en"]).count() == 0
+
+
+def test_gathered_hits_equal_plain_search_without_grams_on_rows(spark, monkeypatch):
+    rng = random.Random(6)
+    terms = terms_of(rng) + [("fr", t) for t in ("\t", "a b", "x\ny", "漢字", "漢")] + [(None, "a")]
+    rows = [(i, rng.choice(["en", "fr", None]), "".join(rng.choice("abé𝒳 x\t\n漢字") for _ in range(rng.randrange(90)))) for i in range(300)]
+    rows += [rows[3], (None, "fr", "a b"), (-1, "fr", None), (-2, "fr", ""), (-3, "zz", "ab"), (-4, "en", "é" * 300_000 + "x" * 10_000)]
+    texts = spark.createDataFrame(rows, "id int, language string, text string")
+    lexicon = spark.createDataFrame(terms + terms[:9] + [("en", None)], "language string, term string")
+    own = lambda lang: {t for o, t in terms if o == lang and t and lang}
+    want = sorted((str(i), lang, len(text), sorted((t, text.index(t)) for t in own(lang) if t in text)) for i, lang, text in rows if text)
+    want = [w for w in want if w[3]]
+
+    def gathered():
+        hits = profanity.term_hits(texts, lexicon, gather="hits")
+        assert hits.columns == ["id", "language", "text", "hits"]
+        return hits, sorted((str(r.id), r.language, len(r.text), sorted(map(tuple, r.hits))) for r in hits.collect())
+
+    hits, got = gathered()
+    assert got == want and "explode" not in physical(hits) and "Exchange" not in physical(hits)
+    assert sorted((str(r.id), r.term) for r in profanity.term_hits(texts, lexicon).collect()) == sorted((w[0], t) for w in want for t, _ in w[3])
+    monkeypatch.setattr(profanity, "pin_if_small", lambda df: (df, False))
+    texts, want = texts.filter("id > -4 or id is null"), [w for w in want if w[0] != "-4"]
+    assert gathered()[1] == want
+
+
+def test_first_places_of_long_texts_and_colliding_keys(monkeypatch):
+    monkeypatch.setattr(trie, "WALKERS", 7)
+    rng = random.Random(7)
+    for letters in ("ab", "aé漢𝒳"):
+        terms = sorted({"".join(rng.choice(letters) for _ in range(rng.randrange(1, 6))) for _ in range(60)})
+        texts = ["".join(rng.choice(letters + " ") for _ in range(rng.randrange(40))) for _ in range(30)]
+        text, term, place = trie.TermTrie(terms).first_places([t.encode() for t in texts])
+        got = {(int(i), terms[t], int(p)) for i, t, p in zip(text, term, place)}
+        assert len(got) == len(text) and got == {(i, t, x.index(t)) for i, x in enumerate(texts) for t in terms if t in x}
