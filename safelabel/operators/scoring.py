@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
@@ -40,13 +41,39 @@ def answers_or_errors(model: Callable[[list], list], prompts: list, retries: int
         return answers_or_errors(model, prompts, retries - 1) if retries > 0 else ([None], [f"{type(error).__name__}: {error}"])
 
 
+# Rows that leave a Python worker at a time.
+ROWS_OUT = 512
+
+
+def prompt_batches(prompts: pa.Array, batch_size: int) -> Iterator[list]:
+    """Prompts for one call each; only these are Python objects at a time."""
+    for start in range(0, len(prompts), batch_size):
+        yield prompts.slice(start, batch_size).to_pylist()
+
+
+def answer_column(answers: list) -> pa.Array:
+    """Answers as strings, also where a model gives numbers."""
+    try:
+        return pa.array(answers, pa.string(), from_pandas=True)
+    except (pa.ArrowInvalid, pa.ArrowTypeError):
+        return pa.array(answers, from_pandas=True).cast(pa.string())
+
+
+def with_columns(frame: pa.RecordBatch, columns: dict[str, pa.Array]) -> Iterator[pa.RecordBatch]:
+    """The rows with further columns, few at a time, without a copy of the rest."""
+    whole = pa.RecordBatch.from_arrays([*frame.columns, *columns.values()], [*frame.schema.names, *columns])
+    for start in range(0, whole.num_rows, ROWS_OUT):
+        yield whole.slice(start, ROWS_OUT)
+
+
 def score_batches(df: DataFrame, make_model: Factory, batch_size: int = 8, prompt: str = "prompt",
                   out: str = "pred_raw", latency: str | None = None, error: str | None = None, retries: int = 0) -> DataFrame:
     """Add the answer of a model to every row, and the seconds per row if asked.
 
-    Rows stream through the Python workers in Arrow batches; no partition is held in
-    memory as a whole.  Without ``error``, a prompt that fails fails the job; with it, its row
-    has no answer and its error in the column of that name, and all other rows are scored.
+    Rows stream through the Python workers in Arrow batches and stay in Arrow; of a batch only the
+    prompts of one call are Python objects, and no partition is held in memory as a whole. Without
+    ``error``, a prompt that fails fails the job; with it, its row has no answer and its error in
+    the column of that name, and all other rows are scored.
     """
     schema = T.StructType([*df.schema.fields, T.StructField(out, T.StringType())])
     if latency:
@@ -61,9 +88,7 @@ def score_batches(df: DataFrame, make_model: Factory, batch_size: int = 8, promp
         model = make_model()
         for frame in frames:
             answers, seconds, errors = [], [], []
-            prompts = frame[prompt].tolist()
-            for start in range(0, len(prompts), batch_size):
-                batch = prompts[start : start + batch_size]
+            for batch in prompt_batches(frame.column(prompt), batch_size):
                 began = time.perf_counter()
                 if error:
                     got, failed = isolated(model, batch, retries)
@@ -72,11 +97,14 @@ def score_batches(df: DataFrame, make_model: Factory, batch_size: int = 8, promp
                     got = model(batch)
                 answers.extend(got)
                 seconds.extend([(time.perf_counter() - began) / len(batch)] * len(batch))
-            frame = frame.assign(**{out: answers})
-            frame = frame.assign(**{latency: seconds}) if latency else frame
-            yield frame.assign(**{error: errors}) if error else frame
+            columns = {out: answer_column(answers)}
+            if latency:
+                columns[latency] = pa.array(seconds, pa.float64())
+            if error:
+                columns[error] = pa.array(errors, pa.string())
+            yield from with_columns(frame, columns)
 
-    return df.mapInPandas(run, schema)
+    return df.mapInArrow(run, schema)
 
 
 def moderate(df: DataFrame, binary: Callable[[Column], Column], category: Callable[[Column], Column],
@@ -99,19 +127,21 @@ def moderate_with_models(df: DataFrame, make_binary: Factory, make_category: Fac
 
     def run(frames):
         def in_batches(model, prompts):
-            return [a for i in range(0, len(prompts), batch_size) for a in model(prompts[i : i + batch_size])]
+            return [a for batch in prompt_batches(prompts, batch_size) for a in model(batch)]
 
         binary, category = make_binary(), make_category()
         for frame in frames:
-            prompts = frame[prompt].tolist()
+            prompts = frame.column(prompt)
             first = in_batches(binary, prompts)
             flagged = [i for i, answer in enumerate(first) if answer is not None and unsafe in answer.upper()]
             second = [None] * len(prompts)
-            for i, answer in zip(flagged, in_batches(category, [prompts[i] for i in flagged])):
-                second[i] = answer
-            yield frame.assign(binary_raw=first, category_raw=second)
+            for start in range(0, len(flagged), batch_size):
+                some = flagged[start : start + batch_size]
+                for i, answer in zip(some, category(prompts.take(pa.array(some)).to_pylist())):
+                    second[i] = answer
+            yield from with_columns(frame, {"binary_raw": answer_column(first), "category_raw": answer_column(second)})
 
-    return df.mapInPandas(run, schema)
+    return df.mapInArrow(run, schema)
 
 
 def fit_binary_head(train: DataFrame, text: str = "text", label: str = "label", kind: str = "linear_svc",

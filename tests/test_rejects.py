@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from safelabel.operators.scoring import answers_or_errors, score_batches
+from safelabel.operators.scoring import answers_or_errors, moderate_with_models, score_batches
 from safelabel.streaming.jobs import score_to_sink, split_stream
 
 SPEC = "id int, prompt string"
@@ -50,6 +50,39 @@ def test_rows_without_answer_carry_their_error(spark):
         score_batches(rows, make).collect()
 
 
+def test_rows_of_a_batch_are_not_python_objects_at_once(spark):
+    """Python holds an Arrow batch (120 MB here) once, as it was read, and no strings of all its prompts besides."""
+    def make():
+        import tracemalloc
+
+        tracemalloc.start()
+
+        def answer(prompts):
+            return [str(tracemalloc.get_traced_memory()[1]) for _ in prompts]
+
+        return answer
+
+    rows = spark.range(0, 6000, 1, 1).select(F.col("id").cast("int").alias("id"), F.lpad(F.col("id").cast("string"), 20_000, "long ").alias("prompt"))
+    scored = score_batches(rows, lambda: make(), batch_size=8)
+    peak = scored.agg(F.count("*"), F.max(F.length("prompt")), F.max(F.col("pred_raw").cast("long"))).first()
+    assert tuple(peak)[:2] == (6000, 20_000) and peak[2] < 160_000_000
+    both = moderate_with_models(rows, lambda: lambda p: ["UNSAFE"] * len(p), lambda: make(), batch_size=8)
+    assert both.agg(F.max(F.col("category_raw").cast("long"))).first()[0] < 160_000_000
+
+
+def test_scored_rows_keep_their_columns_and_values(spark):
+    rows = spark.createDataFrame([(i, None if i % 7 == 0 else f"p{i}", [i, None], {"k": i}, None) for i in range(1500)] * 2,
+                                 "id int, prompt string, a array<int>, m map<string, int>, n timestamp").repartition(1)
+    number = lambda: lambda prompts: [None if p is None else len(p) for p in prompts]
+    got = score_batches(rows, number, batch_size=7, latency="s", error="error")
+    assert got.columns == [*rows.columns, "pred_raw", "s", "error"] and got.filter("s < 0 or s is null or error is not null").count() == 0
+    value = lambda r, answer: (r.id, r.prompt, answer, *r.a, r.m["k"], r.n)
+    assert {value(r, r.pred_raw) for r in got.collect()} == {value(r, r.prompt and str(len(r.prompt))) for r in rows.collect()}
+    assert got.count() == 3000 and score_batches(rows.limit(0), number).count() == 0
+    with pytest.raises(Exception, match="length"):
+        score_batches(rows, lambda: lambda p: ["one"]).collect()
+
+
 def test_a_failing_prompt_does_not_stop_the_stream(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.jsonl").write_text('{"id": 1, "prompt": "ok"}\n{"id": 2, "prompt": "bad"}\nnot json\n')
