@@ -33,6 +33,21 @@ def test_minimised_terms_equal_plain_search(spark):
     assert profanity.minimise_lexicon(spark.createDataFrame([], "language string, term string")).count() == 0
 
 
+def test_short_terms_strike_out_before_long_ones_are_cut(spark, monkeypatch):
+    rng = random.Random(8)
+    terms = {("en", "".join(rng.choice("abcdefgh") for _ in range(rng.randrange(5, 12)))) for _ in range(400)} | {("en", "a"), ("en", "bc"), ("en", "efg"), ("fr", "b")}
+    posted, given = profanity.term_postings, []
+
+    def recorded(some):
+        given.extend(tuple(r) for r in some.select("language", "term").collect())
+        return posted(some)
+
+    monkeypatch.setattr(profanity, "term_postings", recorded)
+    got = {tuple(r) for r in profanity.minimise_lexicon(spark.createDataFrame(sorted(terms), "language string, term string")).collect()}
+    assert got == {(lang, t) for lang, t in terms if not any(o == lang and u != t and u in t for o, u in terms)}
+    assert sorted(given) == sorted((lang, t) for lang, t in terms if len(t) > 3 and not any(o == lang and u in t for o, u in [("en", "a"), ("en", "bc"), ("en", "efg")]))
+
+
 def test_term_hits_equal_plain_search(spark):
     rng = random.Random(4)
     terms = terms_of(rng)
