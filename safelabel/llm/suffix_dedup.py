@@ -6,7 +6,8 @@ on the input. Matches never cross documents.
 
 Steps:
 1. Every window of ``length`` bytes has an anchor: the leftmost smallest hash among its
-   32-byte grams. Windows with one anchor form a segment; equal windows have equal anchors.
+   grams of a quarter of ``length`` bytes, 32 at least. Windows with one anchor form a segment;
+   equal windows have equal anchors. Shorter grams would share anchors where no window recurs.
 2. Anchors are counted by a combined aggregate. Equal segments are one segment with a count;
    an anchor that occurs once has no repeated window and is done.
 3. Distinct segments of an anchor meet in one bucket of bounded size. There a run index is
@@ -83,9 +84,10 @@ def segments(data: np.ndarray, ends: np.ndarray, length: int) -> pd.DataFrame:
     if len(data) < length:
         return empty
     prefixes = Prefixes(data)
-    grams = np.arange(len(data) - GRAM + 1)
-    value = prefixes.of(grams, grams + GRAM)
-    low = _sliding_min((value & ~_PLACE) | grams.astype(_U), length - GRAM + 1) & _PLACE
+    gram = min(max(GRAM, length // 4), length)
+    grams = np.arange(len(data) - gram + 1)
+    value = prefixes.of(grams, grams + gram)
+    low = _sliding_min((value & ~_PLACE) | grams.astype(_U), length - gram + 1) & _PLACE
     place = low.astype(np.int64)
     document = np.repeat(np.arange(len(ends)), np.diff(np.concatenate([[0], ends])))[: len(place)]
     inside = np.arange(len(place)) + length <= ends[document]
@@ -124,67 +126,72 @@ class RunIndex:
 
     ``before`` holds, for the first row of each run, its text position and the common prefix
     with the suffix one row up; ``after`` the same for last rows and the suffix one row down.
-    Every text ends in a symbol of its own, so no match crosses texts.
+    A common prefix of fewer than ``least`` bytes counts as none. Every text ends in a symbol
+    of its own, so no match crosses texts.
     """
 
-    def __init__(self, parts: list[bytes]):
+    def __init__(self, parts: list[bytes], least: int = 1):
         ends = np.cumsum([len(p) + 1 for p in parts])
-        data = np.frombuffer(b"\0".join(parts) + b"\0", np.uint8).astype(np.int64)
+        data = np.frombuffer(b"\0".join(parts) + b"\0", np.uint8)
         self.starts = np.concatenate([[0], ends[:-1]])
         n = len(data)
-        code = data + len(parts)
+        remains = np.repeat(ends, np.diff(np.concatenate([[0], ends]))) - np.arange(n) - 1
+        order = self._suffixes(data, remains)
+        code = data.astype(np.int64) + len(parts)
         code[ends - 1] = np.arange(len(parts))  # each end is a symbol of its own
-        order = self._suffixes(code)
         symbol = code[order - 1]  # of the first suffix: the last symbol
         head = np.flatnonzero(np.concatenate([[True], symbol[1:] != symbol[:-1]]))
         tail = np.append(head[1:], n) - 1
         self.runs, self.symbols = np.diff(np.append(head, n)), symbol[head]
-        remains = np.repeat(ends, np.diff(np.concatenate([[0], ends]))) - np.arange(n) - 1
-        pairs = Prefixes(data.astype(np.uint8))
+        pairs = Prefixes(data)
         up = head[head > 0]
         down = tail[tail < n - 1]
-        self.before = self._sampled(order[up], self._common(pairs, remains, order[up], order[up - 1]), order[:1])
-        self.after = self._sampled(order[down], self._common(pairs, remains, order[down], order[down + 1]), order[-1:])
+        self.before = self._sampled(order[up], self._common(pairs, remains, order[up], order[up - 1], least), order[:1])
+        self.after = self._sampled(order[down], self._common(pairs, remains, order[down], order[down + 1], least), order[-1:])
         self.n = n
 
     @staticmethod
-    def _suffixes(code: np.ndarray) -> np.ndarray:
-        """Suffix order by doubling; places whose order is settled drop out."""
-        n = len(code)
-        rank = np.unique(code, return_inverse=True)[1].astype(np.int64)
-        h, most = 1, int(rank.max()) + 1
+    def _suffixes(data: np.ndarray, remains: np.ndarray) -> np.ndarray:
+        """Suffix order by doubling; places whose order is settled drop out. Ends come first, in text order."""
+        n = len(data)
+        at = np.arange(n)
+        used = np.bincount(data, minlength=256) > 0
+        rank = np.where(remains > 0, np.cumsum(used)[data], 0)
+        h, base, most = 1, int(used.sum()) + 1, int(used.sum()) + 1
         while most ** 2 < 1 << 62 and h < 8:  # several symbols in one key before the first sort
             moved = np.append(rank[h:], np.zeros(min(h, n), np.int64))[:n]
-            rank = rank * most + moved
+            rank = rank * most + np.where(remains >= h, moved, 0)
             most, h = most ** 2, 2 * h
         order = np.argsort(rank, kind="stable")
+        key, own, rows = rank[order], order, at
+        rank = np.empty(n, np.int64)
+        over = remains[own] < h  # the end is among the symbols compared: text order settles the rest
         while True:
-            key = rank[order]
-            fresh = np.concatenate([[True], key[1:] != key[:-1]])
-            rank = np.empty(n, np.int64)
-            rank[order] = np.maximum.accumulate(np.where(fresh, np.arange(n), 0))
-            if fresh.all():
+            fresh = np.concatenate([[True], key[1:] != key[:-1]]) | over
+            rank[own] = np.maximum.accumulate(np.where(fresh, rows, 0))
+            rest = np.flatnonzero(~(fresh & np.append(fresh[1:], True)))
+            if not len(rest):
                 return order
-            single = fresh & np.append(fresh[1:], True)
-            rows = np.flatnonzero(~single)
-            own = order[rows]
-            follow = np.where(own + h < n, rank[np.minimum(own + h, n - 1)], 0)
-            again = np.argsort(rank[own] * n + follow, kind="stable")
-            order[rows] = own[again]
-            key = np.full(n, -1, np.int64)
-            key[own] = follow
-            joint = rank * (n + 1)
-            joint[own] += key[own] + 1
-            rank, h = joint, 2 * h
+            rows, own = rows[rest], own[rest]
+            key = rank[own] * n + rank[own + h]
+            again = np.argsort(key)
+            key, own = key[again], own[again]
+            order[rows] = own
+            over, h = False, 2 * h
 
     @staticmethod
-    def _common(pairs: Prefixes, remains: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Longest common prefixes of suffixes, by halving over hashes."""
-        low, high = np.zeros(len(a), np.int64), np.minimum(remains[a], remains[b])
+    def _common(pairs: Prefixes, remains: np.ndarray, a: np.ndarray, b: np.ndarray, least: int) -> np.ndarray:
+        """Longest common prefixes of suffixes, by halving over hashes; 0 if under ``least``."""
+        out = np.zeros(len(a), np.int64)
+        far = np.flatnonzero(np.minimum(remains[a], remains[b]) >= least)
+        far = far[pairs.of(a[far], a[far] + least) == pairs.of(b[far], b[far] + least)]
+        a, b = a[far], b[far]
+        low, high = np.full(len(far), least), np.minimum(remains[a], remains[b])
         while True:
             open_ = np.flatnonzero(low < high)
             if not len(open_):
-                return low
+                out[far] = low
+                return out
             half = (low[open_] + high[open_] + 1) // 2
             x, y = a[open_], b[open_]
             same = pairs.of(x, x + half) == pairs.of(y, y + half)
@@ -217,26 +224,31 @@ def repeated_windows(frame: pd.DataFrame, length: int) -> pd.DataFrame:
     fresh[1:] = (row[1:] != row[:-1]) | (first[1:] > last[:-1] + length)
     base = np.flatnonzero(fresh)
     group = np.cumsum(fresh) - 1
+    data, begin = frame["bytes"].tolist(), first.tolist()
     parts = []
-    for a, b in zip(base, np.append(base[1:], len(frame)), strict=True):
-        text = bytearray(frame["bytes"].iloc[a])
+    for a, b in zip(base.tolist(), np.append(base[1:], len(frame)).tolist(), strict=True):
+        text = bytearray(data[a])
         for i in range(a + 1, b):
-            text += frame["bytes"].iloc[i][first[a] + len(text) - first[i] :]
+            text += data[i][begin[a] + len(text) - begin[i] :]
         parts.append(bytes(text))
-    index = RunIndex(parts)
+    index = RunIndex(parts, length)
     low, high = index.long_matches(length)
     hit = np.zeros(index.n + 1, np.int64)
     np.add.at(hit, low, 1)
     np.add.at(hit, high, -1)
     hit = np.cumsum(hit)[:-1] > 0
-    out = []
+    # Every segment meets each run of marked starts that reaches into it.
+    edge = np.flatnonzero(np.diff(np.concatenate([[0], hit.view(np.int8), [0]])))
+    low, high = edge[::2], edge[1::2] - 1
     start = index.starts[group] + first - first[base[group]]
-    for i in range(len(frame)):
-        own = hit[start[i] : start[i] + last[i] - first[i] + 1]
-        edge = np.flatnonzero(np.diff(np.concatenate([[0], own.view(np.int8), [0]])))
-        for a, b in zip(edge[::2], edge[1::2], strict=True):
-            out.append((frame["anchor"].iat[i], frame["print"].iat[i], a, b - 1))
-    return pd.DataFrame(out, columns=["anchor", "print", "low", "high"])
+    stop = start + last - first
+    from_, to = np.searchsorted(high, start), np.searchsorted(low, stop, "right")
+    met = np.maximum(to - from_, 0)
+    own = np.repeat(np.arange(len(frame)), met)
+    run = np.arange(met.sum()) - np.repeat(np.cumsum(met) - met, met) + from_[own]
+    return pd.DataFrame({
+        "anchor": frame["anchor"].to_numpy()[own], "print": frame["print"].to_numpy()[own],
+        "low": np.maximum(low[run], start[own]) - start[own], "high": np.minimum(high[run], stop[own]) - start[own]})
 
 
 def _cut_segments(frames: Iterator[pd.DataFrame], length: int) -> Iterator[pd.DataFrame]:

@@ -187,6 +187,22 @@ def test_run_index_marks_equal_plain_search():
         assert got == {s + k for s, p in zip(index.starts.tolist(), parts) for k in range(len(p) - 4) if seen[p[k : k + 5]] > 1}
 
 
+def test_run_index_leaves_out_short_matches():
+    parts = [b"abcdefgh" * 4, b"xyabcdefgh", b"abcdefghabcdefghz", b""]
+    whole, cut = suffix_dedup.RunIndex(parts), suffix_dedup.RunIndex(parts, 9)
+    assert [x.tolist() for x in cut.long_matches(9)] == [x.tolist() for x in whole.long_matches(9)]
+    assert min(c for c in (*cut.before[1], *cut.after[1]) if c) >= 9 > min(c for c in whole.before[1] if c)
+
+
+def test_short_phrases_do_not_share_anchors():
+    rng = random.Random(5)
+    text = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    phrases = [text(60) for _ in range(5)]
+    data = [" ".join(text(80) + rng.choice(phrases) for _ in range(30)).encode() for _ in range(20)]
+    got = suffix_dedup.segments(np.frombuffer(b"".join(data), np.uint8), np.cumsum([len(d) for d in data]), 400)
+    assert got["anchor"].is_unique  # no 400 bytes recur, so nothing is left to index
+
+
 def test_decontamination_equals_brute_force(spark):
     rng = random.Random(3)
     items = [(k, " ".join(f"w{rng.randrange(9999)}" for _ in range(n))) for k, n in enumerate([1, 4, 5, 6, 9, 20, 36, 60, 130, 300])] + [(20, None), (21, ""), (5, "same id again here now")]
