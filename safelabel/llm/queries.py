@@ -63,7 +63,8 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.removal_report(table(spark, sf_dir, "documents"))
+    """What repeats of 400 bytes remove from every document, and its bytes in repeated passages of 300."""
+    return suffix_dedup.removal_report(table(spark, sf_dir, "documents"), passage=suffix_dedup.PASSAGE_BYTES)
 
 
 def op11_fuzzy_hash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,6 +20,9 @@ Steps:
    each of its windows is counted by hash, by a combined aggregate. Nothing is capped.
 5. Marks return to all copies of a segment, and the marked bytes are cut out.
 
+Several lengths go through one index: anchors and segments are those of the shortest, and a
+segment reaches on as far as the longest, if its text does, so longer matches show as well.
+
 Null and empty texts have no bytes. Each row is a document, whatever its doc_id: rows are told
 apart by a 64-bit hash of doc_id and text, and equal rows have equal spans. Extra columns are
 kept, whatever their names. An empty table gives an empty result.
@@ -41,6 +44,8 @@ from safelabel.llm.store import broadcast_if_small, fresh_name, named, unnamed,
 _U = np.uint64
 GRAM = 32
 PIECE = 4 << 20
+#: Passages of over 50 words of some five letters, reported beside the bytes removed.
+PASSAGE_BYTES = 50 * 6
 BUCKET_BYTES = 1 << 20
 HOT_BYTES = 2 << 20
 BROADCAST_IDS = 200_000
@@ -78,9 +83,12 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(left[:n], right[width - 1 : width - 1 + n])
 
 
-def segments(data: np.ndarray, ends: np.ndarray, length: int) -> pd.DataFrame:
-    """Segments of concatenated documents ending at ``ends``: document, first and last window start, anchor, print."""
-    empty = pd.DataFrame({"d": [], "first": [], "last": [], "anchor": [], "print": []}).astype("int64")
+def segments(data: np.ndarray, ends: np.ndarray, length: int, reach: int = 0) -> pd.DataFrame:
+    """Segments of concatenated documents ending at ``ends``: document, first and last window start, size, anchor, print.
+
+    Only the first ``PIECE`` windows of a document count. A segment goes on to ``reach`` bytes from its last window start.
+    """
+    empty = pd.DataFrame({"d": [], "first": [], "last": [], "size": [], "anchor": [], "print": []}).astype("int64")
     if len(data) < length:
         return empty
     prefixes = Prefixes(data)
@@ -90,35 +98,37 @@ def segments(data: np.ndarray, ends: np.ndarray, length: int) -> pd.DataFrame:
     low = _sliding_min((value & ~_PLACE) | grams.astype(_U), length - gram + 1) & _PLACE
     place = low.astype(np.int64)
     document = np.repeat(np.arange(len(ends)), np.diff(np.concatenate([[0], ends])))[: len(place)]
-    inside = np.arange(len(place)) + length <= ends[document]
+    origin = np.concatenate([[0], ends[:-1]])
+    inside = (np.arange(len(place)) + length <= ends[document]) & (np.arange(len(place)) < origin[document] + PIECE)
     fresh = np.concatenate([[True], (place[1:] != place[:-1]) | ~inside[:-1]]) & inside
     first = np.flatnonzero(fresh)
     if not len(first):
         return empty
     stop = np.flatnonzero(inside & np.concatenate([fresh[1:] | ~inside[1:], [True]]))
-    begin = np.concatenate([[0], ends[:-1]])[document[first]]
+    begin = origin[document[first]]
+    end = np.minimum(stop + max(length, reach), ends[document[first]])
     return pd.DataFrame({
-        "d": document[first], "first": first - begin, "last": stop - begin,
-        "anchor": value[place[first]].astype(np.int64), "print": (prefixes.of(first, stop + length) + mix((stop - first).astype(_U))).astype(np.int64),
+        "d": document[first], "first": first - begin, "last": stop - begin, "size": end - first,
+        "anchor": value[place[first]].astype(np.int64), "print": (prefixes.of(first, end) + mix((stop - first).astype(_U))).astype(np.int64),
     })
 
 
-def _segment_rows(frames: Iterator[pd.DataFrame], length: int) -> Iterator[pd.DataFrame]:
+def _segment_rows(frames: Iterator[pd.DataFrame], length: int, reach: int) -> Iterator[pd.DataFrame]:
     for frame in frames:
         texts, rows = frame["text"].tolist(), frame["row"].to_numpy()
         for a, b in batches(texts):
             parts = [encoded(t) for t in texts[a:b]]
             # A very long text is taken in pieces; a window lies in the piece that it starts in.
-            pieces = [(a + i, at, p[at : at + PIECE + length - 1]) for i, p in enumerate(parts) for at in range(0, max(len(p), 1), PIECE)]
+            pieces = [(a + i, at, p[at : at + PIECE + reach - 1]) for i, p in enumerate(parts) for at in range(0, max(len(p), 1), PIECE)]
             for i in range(0, len(pieces), len(pieces) if sum(map(len, parts)) <= PIECE else 1):
                 own = pieces[i:] if sum(map(len, parts)) <= PIECE else pieces[i : i + 1]
-                got = segments(np.frombuffer(b"".join(p for *_, p in own), np.uint8), np.cumsum([len(p) for *_, p in own]), length)
+                got = segments(np.frombuffer(b"".join(p for *_, p in own), np.uint8), np.cumsum([len(p) for *_, p in own]), length, reach)
                 if len(got):
                     at = got["d"].to_numpy()
                     shift = np.array([p[1] for p in own])[at]
                     yield pd.DataFrame({
                         "row": rows[np.array([p[0] for p in own])[at]], "first": got["first"] + shift, "last": got["last"] + shift,
-                        "anchor": got["anchor"], "print": got["print"]})
+                        "size": got["size"], "anchor": got["anchor"], "print": got["print"]})
 
 
 class RunIndex:
@@ -215,69 +225,77 @@ class RunIndex:
         return tuple(np.concatenate(out, axis=1))
 
 
-def repeated_windows(frame: pd.DataFrame, length: int) -> pd.DataFrame:
-    """Window starts of a bucket's distinct segments that occur twice or more: runs of starts."""
+def repeated_windows(frame: pd.DataFrame, lengths: tuple[int, ...]) -> pd.DataFrame:
+    """Window starts of a bucket's distinct segments that occur twice or more: runs of starts, per length."""
     # Segments of one document overlap by design; merged, no byte is indexed twice.
     frame = frame.sort_values(["row", "first", "last"], kind="stable").reset_index(drop=True)
     row, first, last = (frame[c].to_numpy() for c in ("row", "first", "last"))
+    data, begin = frame["bytes"].tolist(), first.tolist()
+    end = first + np.array([len(x) for x in data])
     fresh = np.ones(len(frame), bool)
-    fresh[1:] = (row[1:] != row[:-1]) | (first[1:] > last[:-1] + length)
+    fresh[1:] = (row[1:] != row[:-1]) | (first[1:] > end[:-1])
     base = np.flatnonzero(fresh)
     group = np.cumsum(fresh) - 1
-    data, begin = frame["bytes"].tolist(), first.tolist()
     parts = []
     for a, b in zip(base.tolist(), np.append(base[1:], len(frame)).tolist(), strict=True):
         text = bytearray(data[a])
         for i in range(a + 1, b):
             text += data[i][begin[a] + len(text) - begin[i] :]
         parts.append(bytes(text))
-    index = RunIndex(parts, length)
-    low, high = index.long_matches(length)
-    hit = np.zeros(index.n + 1, np.int64)
-    np.add.at(hit, low, 1)
-    np.add.at(hit, high, -1)
-    hit = np.cumsum(hit)[:-1] > 0
-    # Every segment meets each run of marked starts that reaches into it.
-    edge = np.flatnonzero(np.diff(np.concatenate([[0], hit.view(np.int8), [0]])))
-    low, high = edge[::2], edge[1::2] - 1
+    index = RunIndex(parts, min(lengths))
     start = index.starts[group] + first - first[base[group]]
     stop = start + last - first
-    from_, to = np.searchsorted(high, start), np.searchsorted(low, stop, "right")
-    met = np.maximum(to - from_, 0)
-    own = np.repeat(np.arange(len(frame)), met)
-    run = np.arange(met.sum()) - np.repeat(np.cumsum(met) - met, met) + from_[own]
-    return pd.DataFrame({
-        "anchor": frame["anchor"].to_numpy()[own], "print": frame["print"].to_numpy()[own],
-        "low": np.maximum(low[run], start[own]) - start[own], "high": np.minimum(high[run], stop[own]) - start[own]})
-
-
-def _cut_segments(frames: Iterator[pd.DataFrame], length: int) -> Iterator[pd.DataFrame]:
+    out = []
+    for length in lengths:
+        low, high = index.long_matches(length)
+        hit = np.zeros(index.n + 1, np.int64)
+        np.add.at(hit, low, 1)
+        np.add.at(hit, high, -1)
+        hit = np.cumsum(hit)[:-1] > 0
+        # Every segment meets each run of marked starts that reaches into it.
+        edge = np.flatnonzero(np.diff(np.concatenate([[0], hit.view(np.int8), [0]])))
+        low, high = edge[::2], edge[1::2] - 1
+        from_, to = np.searchsorted(high, start), np.searchsorted(low, stop, "right")
+        met = np.maximum(to - from_, 0)
+        own = np.repeat(np.arange(len(frame)), met)
+        run = np.arange(met.sum()) - np.repeat(np.cumsum(met) - met, met) + from_[own]
+        out.append(pd.DataFrame({
+            "anchor": frame["anchor"].to_numpy()[own], "print": frame["print"].to_numpy()[own], "length": length,
+            "low": np.maximum(low[run], start[own]) - start[own], "high": np.minimum(high[run], stop[own]) - start[own]}))
+    return pd.concat(out)
+
+
+def _cut_segments(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
         out = []
         for text, wanted in zip(frame["text"], frame["wanted"], strict=True):
             data = encoded(text)
-            out += [(w["row"], w["first"], w["last"], w["anchor"], w["print"], data[w["first"] : w["last"] + length]) for w in wanted]
-        yield pd.DataFrame(out, columns=["row", "first", "last", "anchor", "print", "bytes"])
+            out += [(w["row"], w["first"], w["last"], w["size"], w["anchor"], w["print"], data[w["first"] : w["first"] + w["size"]]) for w in wanted]
+        yield pd.DataFrame(out, columns=["row", "first", "last", "size", "anchor", "print", "bytes"])
 
 
-def _window_prints(frames: Iterator[pd.DataFrame], length: int) -> Iterator[pd.DataFrame]:
-    """Every window of hot segments: anchor, print, offset in the segment, hash of the window."""
+def _window_prints(frames: Iterator[pd.DataFrame], lengths: tuple[int, ...]) -> Iterator[pd.DataFrame]:
+    """Every window of hot segments: anchor, print, length, offset in the segment, hash of the window."""
     for frame in frames:
-        for anchor, print_, data in zip(frame["anchor"], frame["print"], frame["bytes"], strict=True):
-            n = len(data) - length + 1
-            at = np.arange(n)
-            yield pd.DataFrame({"anchor": anchor, "print": print_, "at": at, "window": Prefixes(np.frombuffer(data, np.uint8)).of(at, at + length).astype(np.int64)})
-
-
-def marks(rows: DataFrame, length: int) -> DataFrame:
-    """(row, low, high): runs of repeated window starts of each row (row, text); see the module."""
-    spec = "row long, first int, last int, anchor long, print long"
-    found = written(rows.where(F.octet_length("text") >= length).mapInPandas(lambda fs: _segment_rows(fs, length), spec))
-    kinds = found.groupBy("anchor", "print").agg(F.count("*").alias("n"), F.min(F.struct("row", "first", "last")).alias("at"))
-    kinds = written(kinds.withColumn("size", F.col("at.last") - F.col("at.first") + length))
+        for anchor, print_, last, data in zip(frame["anchor"], frame["print"], frame["last"] - frame["first"], frame["bytes"], strict=True):
+            prefixes = Prefixes(np.frombuffer(data, np.uint8))
+            for length in lengths:
+                at = np.arange(min(last, len(data) - length) + 1)
+                yield pd.DataFrame({"anchor": anchor, "print": print_, "length": length, "at": at, "window": prefixes.of(at, at + length).astype(np.int64)})
+
+
+def marks(rows: DataFrame, *lengths: int) -> DataFrame:
+    """(row, length, low, high): runs of repeated window starts of each row (row, text); see the module."""
+    least, reach = min(lengths), max(lengths)
+    spec = "row long, first int, last int, size int, anchor long, print long"
+    found = written(rows.where(F.octet_length("text") >= least).mapInPandas(lambda fs: _segment_rows(fs, least, reach), spec))
+    kinds = found.groupBy("anchor", "print").agg(F.count("*").alias("n"), F.min(F.struct("row", "first", "last", "size")).alias("at"))
+    kinds = written(kinds.withColumn("size", F.col("at.size")))
     anchors = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.sum("n").alias("all"), F.sum("size").alias("bytes"))
     shared = written(kinds.join(anchors.where("all > 1"), "anchor"))
-    whole = shared.where("n > 1").select("anchor", "print", F.lit(0).alias("low"), (F.col("size") - length).cast("int").alias("high"))
+    each = F.explode(F.array(*map(F.lit, lengths))).alias("length")
+    whole = shared.where("n > 1").select("anchor", "print", each, F.lit(0).alias("low"), (F.col("at.last") - F.col("at.first")).alias("last"), "size")
+    whole = whole.select("anchor", "print", "length", "low", F.least("last", F.col("size") - F.col("length")).alias("high")).where("high >= 0")
 
     wanted = shared.where("kinds > 1")
     total = wanted.agg(F.sum("size")).first()[0] or 0
@@ -288,28 +306,28 @@ def marks(rows: DataFrame, length: int) -> DataFrame:
         ids = per_row.select("row")
         held = rows.join(broadcast_if_small(ids, ids.count(), BROADCAST_IDS), "row", "left_semi")
         chosen = held.join(per_row, "row").select("text", "wanted")
-        cut = written(chosen.mapInPandas(lambda fs: _cut_segments(fs, length), bytes_spec))
+        cut = written(chosen.mapInPandas(_cut_segments, bytes_spec))
         hot = anchors.where(F.col("bytes") > HOT_BYTES).select("anchor")
         calm = anchors.where(F.col("bytes") <= HOT_BYTES).select("anchor")
         buckets = max(12, total // BUCKET_BYTES)
         indexed = (
             cut.join(calm, "anchor", "left_semi").groupBy(F.pmod(F.xxhash64("anchor"), F.lit(buckets)).alias("bucket"))
-            .applyInPandas(lambda frame: repeated_windows(frame, length), "anchor long, print long, low int, high int")
+            .applyInPandas(lambda frame: repeated_windows(frame, lengths), "anchor long, print long, length int, low int, high int")
         )
-        windows = cut.join(hot, "anchor", "left_semi").select("anchor", "print", "bytes").mapInPandas(
-            lambda fs: _window_prints(fs, length), "anchor long, print long, at int, window long")
+        windows = cut.join(hot, "anchor", "left_semi").select("anchor", "print", "first", "last", "bytes").mapInPandas(
+            lambda fs: _window_prints(fs, lengths), "anchor long, print long, length int, at int, window long")
         windows = written(windows)
-        twice = windows.groupBy("anchor", "window").agg(F.count("*").alias("n")).where("n > 1").select("anchor", "window")
-        counted = windows.join(twice, ["anchor", "window"]).select("anchor", "print", F.col("at").alias("low"), F.col("at").alias("high"))
+        twice = windows.groupBy("anchor", "length", "window").agg(F.count("*").alias("n")).where("n > 1").select("anchor", "length", "window")
+        counted = windows.join(twice, ["anchor", "length", "window"]).select("anchor", "print", "length", F.col("at").alias("low"), F.col("at").alias("high"))
         whole = whole.union(indexed).union(counted)
     runs = written(whole)
-    return found.join(runs, ["anchor", "print"]).select("row", (F.col("first") + F.col("low")).alias("low"), (F.col("first") + F.col("high")).alias("high"))
+    return found.join(runs, ["anchor", "print"]).select("row", "length", (F.col("first") + F.col("low")).alias("low"), (F.col("first") + F.col("high")).alias("high"))
 
 
 def _kept(data: bytes, spans: list | None, length: int) -> tuple[list[bytes], int, int]:
     """(kept pieces, bytes removed, maximal removed runs)."""
     kept, removed, count, at = [], 0, 0, 0
-    for low, high in sorted((s["low"], s["high"] + length) for s in spans) if spans is not None else ():
+    for low, high in sorted((s["low"], s["high"] + length) for s in spans if s["length"] == length) if spans is not None else ():
         if count and low <= at:
             removed += max(0, high - at)
             at = max(at, high)
@@ -321,15 +339,15 @@ def _kept(data: bytes, spans: list | None, length: int) -> tuple[list[bytes], in
     return kept, removed, count
 
 
-def with_spans(documents: DataFrame, length: int, out: str) -> DataFrame:
-    """The documents with runs of window starts whose ``length`` bytes occur again in a new column; null if none."""
+def with_spans(documents: DataFrame, out: str, *lengths: int) -> DataFrame:
+    """The documents with runs of window starts whose ``lengths`` bytes occur again in a new column; null if none."""
     key = F.xxhash64(named("doc_id"), F.coalesce("text", F.lit("")))
     row = fresh_name(documents, out + "_row")
-    spans = marks(documents.select(key.alias("row"), "text"), length).groupBy("row").agg(F.collect_set(F.struct("low", "high")).alias(out))
+    spans = marks(documents.select(key.alias("row"), "text"), *lengths).groupBy("row").agg(F.collect_set(F.struct("length", "low", "high")).alias(out))
     return documents.withColumn(row, key).join(spans.withColumnRenamed("row", row), row, "left").drop(row)
 
 
-def _digest(frames: Iterator[pd.DataFrame], length: int) -> Iterator[pd.DataFrame]:
+def _digest(frames: Iterator[pd.DataFrame], length: int, passage: int) -> Iterator[pd.DataFrame]:
     for frame in frames:
         out = []
         for doc, text, spans in zip(frame["doc_id"], frame["text"], frame["_spans"], strict=True):
@@ -338,15 +356,21 @@ def _digest(frames: Iterator[pd.DataFrame], length: int) -> Iterator[pd.DataFram
             digest = hashlib.sha256()
             for piece in kept:
                 digest.update(piece)
-            out.append((doc, len(data), removed, count, digest.hexdigest()))
-        yield pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+            out.append((doc, len(data), removed, count, digest.hexdigest(), _kept(data, spans, passage)[1]))
+        yield pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_passage_bytes"])
 
 
-def removal_report(documents: DataFrame, length: int = 400) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every document."""
-    joined = with_spans(documents.select("doc_id", "text"), length, "_spans")
-    spec = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    return unnamed(joined.withColumn("doc_id", named("doc_id")).mapInPandas(lambda fs: _digest(fs, length), spec), "doc_id")
+def removal_report(documents: DataFrame, length: int = 400, passage: int | None = None) -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every document.
+
+    With ``passage``, also n_passage_bytes: the bytes covered by a string of that many bytes that
+    starts anywhere else too. They are reported only; what is removed goes by ``length``.
+    """
+    lengths = [length] if passage in (None, length) else [passage, length]
+    joined = with_spans(documents.select("doc_id", "text"), "_spans", *lengths)
+    spec = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_passage_bytes long"
+    report = unnamed(joined.withColumn("doc_id", named("doc_id")).mapInPandas(lambda fs: _digest(fs, length, passage or length), spec), "doc_id")
+    return report if passage else report.drop("n_passage_bytes")
 
 
 def _without(frames: Iterator[pd.DataFrame], length: int, spans: str) -> Iterator[pd.DataFrame]:
@@ -361,6 +385,6 @@ def remove_repeats(documents: DataFrame, length: int = 400) -> DataFrame:
     A character of which only some bytes are removed goes with them.
     """
     spans = fresh_name(documents, "spans")
-    joined = with_spans(documents, length, spans)
+    joined = with_spans(documents, spans, length)
     touched = joined.where(F.col(spans).isNotNull()).mapInPandas(lambda fs: _without(fs, length, spans), documents.schema)
     return joined.where(F.col(spans).isNull()).select(documents.columns).union(touched.select(documents.columns))

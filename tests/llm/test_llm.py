@@ -147,6 +147,19 @@ def test_suffix_dedup_equals_brute_force(spark, set_in_tasks, settings):
     assert sorted(tuple(r) for r in got.collect()) == brute_removal(rows, 50)
 
 
+@pytest.mark.parametrize("settings", [{}, {"PIECE": 70}, {"HOT_BYTES": 100}])
+def test_suffix_dedup_reports_shorter_passages(spark, set_in_tasks, settings):
+    set_in_tasks(suffix_dedup, **settings)
+    rng = random.Random(7)
+    text = lambda n: "".join(rng.choice("abcdefgh é") for _ in range(n))
+    passages = [text(n) for n in (36, 48, 52, 61, 90)]
+    rows = [(i, text(rng.randrange(60)) + passages[i % 5] + text(rng.randrange(40)) + passages[i % 3]) for i in range(30)]
+    rows += [(40, "ab" * 60), (41, text(80)), (42, rows[3][1]), (43, None), (44, passages[2])]
+    got = sorted(tuple(r) for r in suffix_dedup.removal_report(docs(spark, rows), 60, 40).collect())
+    assert [r[:5] for r in got] == brute_removal(rows, 60)
+    assert [r[5] for r in got] == [r[2] for r in brute_removal(rows, 40)] != [r[2] for r in got]
+
+
 def test_suffix_dedup_keeps_columns_and_odd_rows(spark):
     rows = [(1, "é" * 300, "x"), (2, "a" + "é" * 300, "x"), (3, None, "x"), (None, "é" * 300, None)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, row string").withColumn("n_chars", F.length("text").cast("long"))
